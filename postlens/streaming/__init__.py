@@ -1,0 +1 @@
+"""Empty on purpose: the workload is batch only, so no streaming operator exists."""
