@@ -17,12 +17,12 @@ def word_frequency(
     min_len: int = 3,
     stop_words: Sequence[str] | DataFrame = REPORT_STOP_WORDS,
 ) -> DataFrame:
-    """``(label, word, count)`` over lowercase text, for words of ``min_len`` characters or more.
+    """``(label, word, count)`` of the lowercased text's words of ``min_len`` characters or more.
 
     ``stop_words`` is a list, or a table with a column ``word``.  A list filters the tokens;
     a table is anti-joined after counting, so that only distinct words take part.
     """
-    words = labelled.select("label", F.explode(text.pieces(F.col(col))).alias("word")).where(
+    words = labelled.select("label", F.explode(text.pieces(F.lower(col))).alias("word")).where(
         F.length("word") >= max(min_len, 1)
     )
     as_table = isinstance(stop_words, DataFrame)

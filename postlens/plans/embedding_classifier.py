@@ -87,16 +87,18 @@ class Fitted(NamedTuple):
 
 
 def token_segments(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
-    """``(subject_id, label, is_train, segment, filtered)`` of training and test subjects."""
+    """``(subject_id, label, is_train, segment, filtered)`` of training and test subjects.
+
+    Where posts tell their ``chunk`` and ``file``, ``pos`` counts within them.
+    """
     stops = text.english_stop_words()
+    keys = ["subject_id", "label", "is_train"] + [c for c in ("chunk", "file") if c in labelled.columns]
     tokenized = roles.train_and_test(labelled, train_fraction).select(
-        "subject_id",
-        "label",
-        "is_train",
+        *keys,
         "pos",
         text.tokens(F.col("text"), stop_words=stops).alias("filtered"),
     )
-    return corpus.segment_tokens(tokenized, ("subject_id", "label", "is_train"), col="filtered")
+    return corpus.segment_tokens(tokenized, keys, col="filtered")
 
 
 def fit(

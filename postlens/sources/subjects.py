@@ -14,6 +14,9 @@ WRITING_FIELDS = ("TITLE", "DATE", "INFO", "TEXT")
 
 CORRUPT = "_corrupt_record"
 
+# White space around a value is content; flattening trims the spaces of it.
+_XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
+
 
 def subject_schema(fields: Sequence[str] = WRITING_FIELDS, corrupt: bool = False) -> T.StructType:
     """Explicit schema.  Inference would read subjects with one writing as a struct, not an array."""
@@ -56,7 +59,7 @@ def read_subjects_xml(
     stay as rows that only fill ``_corrupt_record``.  A path that does not exist raises.
     """
     parsed = _records(spark, path).select(
-        F.from_xml("record", subject_schema(fields, corrupt=True)).alias("r"), "file"
+        F.from_xml("record", subject_schema(fields, corrupt=True), _XML_OPTIONS).alias("r"), "file"
     )
     chunk = F.regexp_extract("file", r"chunk(\d+)[^/]*/[^/]*$", 1).try_cast("int")
     rows = parsed.select("r.ID", "r.WRITING", f"r.{CORRUPT}", chunk.alias("chunk"), "file")
