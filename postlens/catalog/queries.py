@@ -28,7 +28,7 @@ DIGITS = 6
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flatten, join labels, count words: posts and mean length per class."""
-    return summary.kpi_by_class(P.word_count(S.labelled(spark, sf_dir)))
+    return summary.kpi_by_class(S.totals(spark, sf_dir))
 
 
 # --- sources ---------------------------------------------------------------
@@ -112,9 +112,9 @@ def view_roundtrip(spark, sf_dir):
 def dashboard_scatter(spark, sf_dir):
     """The dashboard's post views written and the verbosity view read back."""
     folder = S.staging_path(spark, "dashboard")
-    posts = S.labelled(spark, sf_dir, ("DATE", "TEXT"), etl.SUBJECT_SALTS)
-    facts = dashboard.stage_facts(posts)
-    dashboard.write_views(dashboard.post_views(facts.withColumn("subject_id", F.col("subject_id").cast("string"))), folder)
+    facts = dashboard.stage_facts(S.posts(spark, sf_dir, ("DATE", "TEXT")), S.labels(spark, sf_dir))
+    named = facts.withColumn("subject_id", F.col("subject_id").cast("string"))
+    dashboard.write_views(dashboard.post_views(named), folder)
     return read_dashboard_view(spark, folder, "dashboard_scatter")
 
 
@@ -189,17 +189,17 @@ def preview(spark, sf_dir):
 
 
 def class_counts(spark, sf_dir):
-    return summary.class_counts(S.labelled(spark, sf_dir))
+    return summary.class_counts(S.totals(spark, sf_dir))
 
 
 def class_imbalance(spark, sf_dir):
-    train = S.labelled(spark, sf_dir).where(sampling.in_train("subject_id"))
-    counts = summary.class_imbalance(train.select("subject_id", "label").distinct())
+    train = S.totals(spark, sf_dir).where(sampling.in_train("subject_id"))
+    counts = summary.class_imbalance(train)
     return counts.withColumn("imbalance_pct", F.round("imbalance_pct", DIGITS))
 
 
 def kpi(spark, sf_dir):
-    return _rounded(summary.kpi(P.word_count(S.labelled(spark, sf_dir))), "risk_ratio", "avg_length")
+    return _rounded(summary.kpi(S.totals(spark, sf_dir)), "risk_ratio", "avg_length")
 
 
 def kpi_by_class(spark, sf_dir):
@@ -208,13 +208,12 @@ def kpi_by_class(spark, sf_dir):
 
 def kpi_cards(spark, sf_dir):
     metrics = evaluate.classification_metrics(evaluate.confusion(_rule_predictions(spark, sf_dir)))
-    cards = summary.kpi_cards(summary.kpi(P.word_count(S.labelled(spark, sf_dir))), metrics)
+    cards = summary.kpi_cards(summary.kpi(S.totals(spark, sf_dir)), metrics)
     return _rounded(cards, "risk_ratio", "avg_length", "f1_score")
 
 
 def subject_verbosity(spark, sf_dir):
-    posts = P.word_count(S.posts(spark, sf_dir))
-    return _rounded(summary.subject_verbosity(posts, S.labels(spark, sf_dir)), "avg_len")
+    return _rounded(summary.subject_verbosity(S.totals(spark, sf_dir)), "avg_len")
 
 
 def heatmap_all(spark, sf_dir):

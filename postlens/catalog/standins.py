@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.operators import posts as P
-from postlens.plans.etl import SUBJECT_SALTS, normalized_text
+from postlens.operators.summary import subject_totals
+from postlens.plans.etl import normalized_text
 from postlens.sources import staging
 from postlens.sources.subjects import WRITING_FIELDS
 from postlens.sources.tables import read_table
@@ -66,9 +67,18 @@ def labelled(
     return P.label_posts(posts(spark, sf_dir, fields), labels(spark, sf_dir), salts=salts)
 
 
+def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(subject_id, word_count)`` per post, labelled or not."""
+    return P.word_count(posts(spark, sf_dir)).select("subject_id", "word_count")
+
+
+def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subject_totals(word_counts(spark, sf_dir), labels(spark, sf_dir))
+
+
 def training_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled posts with normalized text, spread for grouping by subject."""
-    return normalized_text(labelled(spark, sf_dir, salts=SUBJECT_SALTS))
+    """Labelled posts with normalized text, stored for the passes that a fit makes."""
+    return staging.stage(normalized_text(labelled(spark, sf_dir)), staging_path(spark, "posts"))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

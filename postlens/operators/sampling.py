@@ -24,25 +24,24 @@ def keyed_split(
     return df.where(train), df.where(~train)
 
 
-def class_sizes(subjects: DataFrame) -> DataFrame:
-    """One row, one struct column ``sizes(n1, n0)``."""
-    return subjects.agg(
-        F.struct(
-            F.count_if(F.col("label") == 1).alias("n1"), F.count_if(F.col("label") == 0).alias("n0")
-        ).alias("sizes")
-    )
+def balance_limits(subjects: DataFrame) -> DataFrame:
+    """One row, one array ``limits``: the key bits below which a row of class 0 or 1 is kept.
 
+    The smaller class is kept whole, the larger one in proportion.  When a class is empty
+    nothing is thinned.
+    """
+    n0, n1 = F.col("n0"), F.col("n1")
+    smaller = F.least(n0, n1)
+    limit = lambda own: F.when(smaller > 0, smaller / own).otherwise(1.0) * KEY_BITS_RANGE
+    return subjects.agg(
+        F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")
+    ).select(F.array(limit(n0), limit(n1)).alias("limits"))
 
-def kept_by_balance(key: str, sizes: Column) -> Column:
-    """True for every row of the smaller class and a matching share of the larger one.
 
-    Only labels 0 and 1 pass.  When a class is empty nothing is thinned.
-    """
-    n1, n0 = sizes["n1"], sizes["n0"]
-    own = F.when(F.col("label") == 1, n1).when(F.col("label") == 0, n0)
-    smaller = F.least(n1, n0)
-    share = F.when(smaller > 0, smaller / own).otherwise(F.lit(1.0))
-    return own.isNotNull() & (key_bits(F.col(key), SAMPLE_SALT) < share * KEY_BITS_RANGE)
+def kept_by_balance(key: str, limits: Column) -> Column:
+    """Whether a row stays; ``limits`` is the value of :func:`balance_limits`.  Other labels go."""
+    own = F.get(limits, F.col("label"))
+    return F.coalesce(key_bits(F.col(key), SAMPLE_SALT) < own, F.lit(False))
 
 
 def undersample(subjects: DataFrame, key: str = "subject_id") -> DataFrame:
@@ -51,4 +50,4 @@ def undersample(subjects: DataFrame, key: str = "subject_id") -> DataFrame:
     One filter stands for sampling one class and uniting it with the other.  The class
     sizes come from a scalar subquery, not through the driver program.
     """
-    return subjects.where(kept_by_balance(key, class_sizes(subjects).scalar()))
+    return subjects.where(kept_by_balance(key, balance_limits(subjects).scalar()))

@@ -26,21 +26,20 @@ def similar_vectors(
     """The ``k`` nearest neighbours of every seed, ties by key: ``(seed, <key>, similarity)``.
 
     ``seeds`` lists keys of ``vectors``, or is a small table with that column.  A seed that
-    has no vector gives no row and no error, and a seed is not its own neighbour.  The
-    seeds' unit vectors reach the scan as one scalar subquery value, whose size is set by
+    has no vector gives no row and no error, and a seed is not its own neighbour; neither
+    is a zero vector.  The seeds' vectors reach the scan as one scalar subquery value, whose size is set by
     the number of seeds; the big side is scanned once and never shuffled whole, since the
     rank filter keeps ``k`` rows per seed in each task.
     """
     rows = vectors.select(F.col(key).alias("_key"), F.col(vector).cast("array<double>").alias("_vec"))
-    norm = F.sqrt(_dot(F.col("_vec"), F.col("_vec")))
-    units = rows.withColumn("_norm", norm).where(F.col("_norm") > 0)
     if isinstance(seeds, DataFrame):
-        chosen = units.join(seeds.select(F.col(key).alias("_key")), "_key", "left_semi")
+        chosen = rows.join(seeds.select(F.col(key).alias("_key")), "_key", "left_semi")
     else:
-        chosen = units.where(F.col("_key").isin(list(seeds)))
-    table = chosen.agg(F.collect_list(F.struct("_key", "_vec", "_norm")).alias("seeds")).scalar()
+        chosen = rows.where(F.col("_key").isin(list(seeds)))
+    norm = F.sqrt(_dot(F.col("_vec"), F.col("_vec"))).alias("_norm")
+    table = chosen.agg(F.collect_list(F.struct("_key", "_vec", norm)).alias("seeds")).scalar()
     scored = (
-        units.withColumn("_seeds", table)
+        rows.select("*", norm, table.alias("_seeds"))
         .select(
             "_key",
             F.inline(
@@ -48,12 +47,14 @@ def similar_vectors(
                     "_seeds",
                     lambda s: F.struct(
                         s["_key"].alias("seed"),
-                        (_dot(F.col("_vec"), s["_vec"]) / (F.col("_norm") * s["_norm"])).alias("similarity"),
+                        F.try_divide(
+                            _dot(F.col("_vec"), s["_vec"]), F.col("_norm") * s["_norm"]
+                        ).alias("similarity"),
                     ),
                 )
             ),
         )
-        .where(F.col("_key") != F.col("seed"))
+        .where((F.col("_key") != F.col("seed")) & F.col("similarity").isNotNull())
     )
     if min_similarity is not None:
         scored = scored.where(F.col("similarity") >= min_similarity)

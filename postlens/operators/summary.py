@@ -1,23 +1,54 @@
-"""Counts, KPIs and per-subject statistics."""
+"""Counts and KPIs, all derived from one row of totals per subject."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def class_counts(labelled: DataFrame) -> DataFrame:
+def subject_totals(posts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``(subject_id, label, posts, words, counted)``; the last two if posts have a ``word_count``.
+
+    ``counted`` is the number of posts whose word count is known.  With ``labels``, posts
+    are reduced to one row per subject before the join: it moves no text, and a prolific
+    subject reaches it as a single row.  Without, the posts must hold their label.
+    """
+    sums = [F.count("*").alias("posts")]
+    if "word_count" in posts.columns:
+        sums += [F.sum("word_count").alias("words"), F.count("word_count").alias("counted")]
+    if labels is None:
+        return posts.groupBy("subject_id", "label").agg(*sums)
+    totals = posts.groupBy("subject_id").agg(*sums)
+    return totals.join(labels, "subject_id", "inner").select(
+        "subject_id", "label", *totals.columns[1:]
+    )
+
+
+def _count(condition: Column | None = None) -> Column:
+    """Posts of the subjects that meet ``condition``."""
+    posts = F.col("posts") if condition is None else F.when(condition, F.col("posts"))
+    return F.coalesce(F.sum(posts), F.lit(0))
+
+
+def _mean_length() -> Column:
+    return F.try_divide(F.sum("words"), F.sum("counted"))
+
+
+def class_counts(totals: DataFrame) -> DataFrame:
     """Total, class 1 and the rest in one pass: ``(total_posts, class1_posts, control_posts)``."""
-    class1 = F.count_if(F.col("label") == 1)
-    return labelled.agg(
-        F.count("*").alias("total_posts"),
+    class1 = _count(F.col("label") == 1)
+    return totals.agg(
+        _count().alias("total_posts"),
         class1.alias("class1_posts"),
-        (F.count("*") - class1).alias("control_posts"),
+        (_count() - class1).alias("control_posts"),
     )
 
 
 def class_imbalance(subjects: DataFrame) -> DataFrame:
-    """``(n_rows, n_class1, n_class0, imbalance_pct)``; the percentage is NULL without controls."""
+    """Of one row per subject: ``(n_rows, n_class1, n_class0, imbalance_pct)``.
+
+    The percentage is NULL without controls.
+    """
     n1 = F.count_if(F.col("label") == 1)
     n0 = F.count_if(F.col("label") == 0)
     return subjects.agg(
@@ -28,22 +59,19 @@ def class_imbalance(subjects: DataFrame) -> DataFrame:
     )
 
 
-def _kpi_columns():
-    return (
-        F.count("*").alias("total_posts"),
-        F.avg("label").alias("risk_ratio"),
-        F.avg("word_count").alias("avg_length"),
+def kpi(totals: DataFrame) -> DataFrame:
+    """One row ``(total_posts, risk_ratio, avg_length)``: posts, mean label, mean word count."""
+    labelled_posts = _count(F.col("label").isNotNull())
+    return totals.agg(
+        _count().alias("total_posts"),
+        F.try_divide(F.sum(F.col("label") * F.col("posts")), labelled_posts).alias("risk_ratio"),
+        _mean_length().alias("avg_length"),
     )
 
 
-def kpi(labelled: DataFrame) -> DataFrame:
-    """One row over posts with ``label`` and ``word_count``: ``(total_posts, risk_ratio, avg_length)``."""
-    return labelled.agg(*_kpi_columns())
-
-
-def kpi_by_class(labelled: DataFrame) -> DataFrame:
-    total, _, length = _kpi_columns()
-    return labelled.groupBy("label").agg(total, length)
+def kpi_by_class(totals: DataFrame) -> DataFrame:
+    """``(label, total_posts, avg_length)``."""
+    return totals.groupBy("label").agg(_count().alias("total_posts"), _mean_length().alias("avg_length"))
 
 
 def kpi_cards(kpi_row: DataFrame, metrics: DataFrame, metric: str = "f1_score") -> DataFrame:
@@ -56,18 +84,7 @@ def kpi_cards(kpi_row: DataFrame, metrics: DataFrame, metric: str = "f1_score")
     return kpi_row.withColumn(metric, F.coalesce(value, F.lit(0.0)))
 
 
-def subject_verbosity(posts: DataFrame, labels: DataFrame | None = None, n: int = 1000) -> DataFrame:
-    """Mean word count per labelled subject, first ``n`` by id: ``(subject_id, label, avg_len)``.
-
-    With ``labels``, posts are reduced to one row per subject before the join: it moves no
-    text, and a prolific subject reaches it as a single row.  Without, the posts must hold
-    their label.
-    """
-    mean = F.avg("word_count").alias("avg_len")
-    if labels is None:
-        per_subject = posts.groupBy("subject_id", "label").agg(mean)
-    else:
-        per_subject = posts.groupBy("subject_id").agg(mean).join(labels, "subject_id", "inner")
-    return (
-        per_subject.select("subject_id", "label", "avg_len").orderBy("subject_id", "label").limit(n)
-    )
+def subject_verbosity(totals: DataFrame, n: int = 1000) -> DataFrame:
+    """Mean word count of a subject's posts, first ``n`` by id: ``(subject_id, label, avg_len)``."""
+    mean = F.try_divide("words", "counted").alias("avg_len")
+    return totals.select("subject_id", "label", mean).orderBy("subject_id", "label").limit(n)

@@ -18,8 +18,10 @@ BROADCAST_WORDS = 200_000
 
 def term_counts(df: DataFrame, keys: Sequence[str], words: str = "words") -> DataFrame:
     """``(*keys, word, n)`` from rows with a token array."""
+    # An inner explode would make Catalyst tokenize once more, to test for empty arrays first.
     return (
-        df.select(*keys, F.explode(words).alias("word"))
+        df.select(*keys, F.explode_outer(words).alias("word"))
+        .where(F.col("word").isNotNull())
         .groupBy(*keys, "word")
         .agg(F.count("*").alias("n"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postlens.functions import text
 from postlens.operators import activity as A
 from postlens.operators import similarity, summary
+from postlens.operators.posts import label_posts
 from postlens.sources.staging import stage, staging_path
 from postlens.sources.views import VIEWS, write_view
 
@@ -22,29 +23,31 @@ _ORDER = {
 }
 
 
-def post_facts(labelled: DataFrame) -> DataFrame:
-    """What the views need of a post, without its text: ``(subject_id, label, date, word_count)``."""
-    return labelled.select(
-        "subject_id",
-        "label",
-        "date",
-        text.word_count(text.normalized(F.col("text"))).alias("word_count"),
-    )
+def post_facts(posts: DataFrame) -> DataFrame:
+    """What the views need of a post, without its text: ``(subject_id, [label], date, word_count)``."""
+    label = ["label"] if "label" in posts.columns else []
+    words = text.word_count(text.normalized(F.col("text")))
+    return posts.select("subject_id", *label, "date", words.alias("word_count"))
+
 
+def stage_facts(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Facts of labelled posts, written once and read back for all views.
 
-def stage_facts(labelled: DataFrame) -> DataFrame:
-    """Facts written once and read back, so that the views do not parse the posts again."""
-    return stage(post_facts(labelled), staging_path(labelled.sparkSession, "facts"))
+    Words are counted in front of the label join, which then moves no text.
+    """
+    facts = label_posts(post_facts(posts), labels)
+    return stage(facts, staging_path(posts.sparkSession, "facts"))
 
 
 def post_views(facts: DataFrame) -> dict[str, DataFrame]:
     """The views that need posts only; each holds at most 1000 rows."""
     cells = A.activity(facts)
+    totals = summary.subject_totals(facts)
     return {
-        "dashboard_kpi": summary.kpi(facts),
+        "dashboard_kpi": summary.kpi(totals),
         "dashboard_time_dep": A.heatmap(cells, 1),
         "dashboard_time_ctrl": A.heatmap(cells, 0),
-        "dashboard_scatter": summary.subject_verbosity(facts, n=SCATTER_ROWS),
+        "dashboard_scatter": summary.subject_verbosity(totals, SCATTER_ROWS),
     }
 
 

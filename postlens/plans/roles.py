@@ -12,11 +12,12 @@ def train_and_test(labelled: DataFrame, train_fraction: float = 0.8) -> DataFram
     """Posts of the balanced training subjects and of all test subjects, with ``is_train``.
 
     Both decisions are functions of the subject id and of two class sizes, so posts are
-    filtered where they are: no join of a subject list, no shuffle of text.
+    filtered where they are: no join of a subject list, no shuffle of text.  The sizes need
+    a pass of their own over ids and labels, so ``labelled`` should be a stored table.
     """
     is_train = sampling.in_train("subject_id", train_fraction)
     train_subjects = labelled.where(is_train).select("subject_id", "label").distinct()
-    sizes = sampling.class_sizes(train_subjects).scalar()
+    limits = sampling.balance_limits(train_subjects).scalar()
     return labelled.withColumn("is_train", is_train).where(
-        ~F.col("is_train") | sampling.kept_by_balance("subject_id", sizes)
+        ~F.col("is_train") | sampling.kept_by_balance("subject_id", limits)
     )
