@@ -111,6 +111,40 @@ parts AS (
   FROM labels
 )"""
 
+# The balanced training subjects and the test subjects, and the model's vocabulary.
+_ROLES = (
+    _SPLIT
+    + r""",
+sizes AS (
+  SELECT label, count(*) AS own, min(count(*)) OVER () AS smaller
+  FROM parts WHERE is_train AND label IN (0, 1) GROUP BY label
+),
+roles AS (
+  SELECT subject_id, label, is_train FROM parts LEFT JOIN sizes USING (label)
+  WHERE NOT is_train OR bits < CAST(smaller AS DOUBLE) / own * 4294967296
+)"""
+)
+
+_MODEL_WORDS = (
+    _ROLES
+    + r""",
+model_counts AS (
+  SELECT subject_id, label, is_train, word, count(*) AS n
+  FROM (SELECT subject_id, label, is_train, unnest("""
+    + _FILTERED.format(text="text")
+    + r""") AS word FROM roles JOIN documents ON doc_id = subject_id)
+  GROUP BY ALL
+),
+model_vocab AS (
+  SELECT word, sum(n) AS n FROM model_counts WHERE is_train GROUP BY word
+  HAVING count(*) BETWEEN 5 AND 0.75 * (SELECT count(*) FROM roles WHERE is_train)
+  ORDER BY n DESC, word LIMIT 5000
+),
+model_index AS (
+  SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS INTEGER) AS index FROM model_vocab
+)"""
+)
+
 _CLEAN = r"regexp_replace(regexp_replace(lower({text}), 'http\S+', '', 'g'), '[^a-zA-Z\s]', '', 'g')"
 
 _ETL = (
@@ -288,6 +322,14 @@ train AS (SELECT * FROM parts WHERE is_train AND label IN (0, 1)),
 sizes AS (SELECT label, count(*) AS own, min(count(*)) OVER () AS smaller FROM train GROUP BY label)
 SELECT t.subject_id, t.label FROM train t JOIN sizes s USING (label)
 WHERE t.bits < CAST(s.smaller AS DOUBLE) / s.own * 4294967296""",
+    "model_roles": f"WITH {_ROLES} SELECT subject_id, label, is_train FROM roles",
+    "model_vocabulary": f"WITH {_MODEL_WORDS} SELECT index, word FROM model_index",
+    "count_vectors": f"""
+WITH {_MODEL_WORDS}
+SELECT subject_id, label, is_train, index, CAST(n AS DOUBLE) AS n
+FROM model_counts JOIN model_index USING (word)""",
+    "model_save_load": f"""
+WITH {_ROLES} SELECT count(*) AS n_test, CAST(0 AS BIGINT) AS n_changed FROM roles WHERE NOT is_train""",
     "confusion_matrix": f"WITH {_MATRIX} SELECT label, prediction, count FROM matrix",
     "classification_metrics": f"""
 WITH {_MATRIX}

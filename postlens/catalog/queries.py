@@ -15,7 +15,7 @@ from postlens.functions.stopwords import REPORT_STOP_WORDS
 from postlens.operators import activity as A
 from postlens.operators import corpus, evaluate, sampling, similarity, summary, terms, words
 from postlens.operators import posts as P
-from postlens.plans import dashboard, embedding_classifier, etl, tfidf_classifier
+from postlens.plans import dashboard, embedding_classifier, etl, roles, tfidf_classifier
 from postlens.sources.labels import label_rejects, read_labels
 from postlens.sources.subjects import read_subjects_xml, subject_rejects, write_subjects_xml
 from postlens.sources.views import read_dashboard_view, read_view, write_view
@@ -366,6 +366,11 @@ def lr_metrics(spark, sf_dir):
     return evaluate.classification_metrics(evaluate.confusion(predicted))
 
 
+def rf_metrics(spark, sf_dir):
+    predicted = embedding_classifier.fit(S.training_posts(spark, sf_dir)).predictions()
+    return evaluate.classification_metrics(evaluate.confusion(predicted))
+
+
 def doc_embedding(spark, sf_dir):
     fitted = embedding_classifier.fit(S.training_posts(spark, sf_dir))
     vectors = fitted.train.unionByName(fitted.test)
@@ -375,11 +380,34 @@ def doc_embedding(spark, sf_dir):
 
 
 def model_save_load(spark, sf_dir):
-    """Both pipelines' predictions do not change when the model is saved and loaded."""
+    """Test predictions of the fitted and of the saved and loaded model, compared."""
     fitted = tfidf_classifier.fit(S.training_posts(spark, sf_dir))
     path = S.staging_path(spark, "model")
     fitted.model.write().overwrite().save(path)
-    return _scored(fitted._replace(model=PipelineModel.load(path)).predictions())
+    loaded = fitted._replace(model=PipelineModel.load(path))
+    before = fitted.predictions().select("subject_id", "label", F.col("prediction").alias("before"))
+    after = loaded.predictions().select("subject_id", "label", F.col("prediction").alias("after"))
+    return before.join(after, ["subject_id", "label"]).agg(
+        F.count("*").alias("n_test"), F.count_if(F.col("before") != F.col("after")).alias("n_changed")
+    )
+
+
+def model_roles(spark, sf_dir):
+    """Subjects that train (balanced) or test the models."""
+    chosen = roles.train_and_test(S.training_posts(spark, sf_dir))
+    return chosen.select("subject_id", "label", "is_train").distinct()
+
+
+def count_vectors(spark, sf_dir):
+    """The classifier's sparse term-count vectors, one row per entry."""
+    fitted = tfidf_classifier.fit(S.training_posts(spark, sf_dir))
+    vector = F.unwrap_udt("raw_features")
+    return fitted.train.unionByName(fitted.test).select(
+        "subject_id",
+        "label",
+        "is_train",
+        F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("n"))),
+    )
 
 
 def model_vocabulary(spark, sf_dir):
@@ -471,8 +499,11 @@ QUERIES: dict[str, Query] = {
         lr_predictions,
         lr_metrics,
         rf_predictions,
+        rf_metrics,
         doc_embedding,
         model_save_load,
+        model_roles,
+        count_vectors,
         model_vocabulary,
         similar_words,
         similar_words_top20,

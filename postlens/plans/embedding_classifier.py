@@ -116,9 +116,14 @@ def fit(
     """
     spark = labelled.sparkSession
     partitions = num_partitions or spark.sparkContext.defaultParallelism
-    segments = stage(token_segments(labelled, train_fraction), staging_path(spark, "token-segments"))
+    cut = token_segments(labelled, train_fraction)
+    segments = stage(cut, staging_path(spark, "token-segments"), sort_by=cut.columns[:-1])
     word2vec = _word2vec(vector_size, min_count, partitions).fit(segments.where("is_train"))
-    features = stage(subject_vectors(word2vec, segments), staging_path(spark, "embedding-features"))
+    features = stage(
+        subject_vectors(word2vec, segments),
+        staging_path(spark, "embedding-features"),
+        sort_by=["subject_id", "label"],
+    )
     train, test = features.where("is_train"), features.where("not is_train")
     forest = _forest(num_trees).fit(train)
     return Fitted(PipelineModel([*text_stages(), word2vec, forest]), train, test)

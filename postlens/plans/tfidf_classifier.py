@@ -152,7 +152,9 @@ def fit(
         raise ValueError("no word meets the document-frequency bounds")
 
     vectors = count_vectors(counts, vocab_words)
-    features = stage(vectors, staging_path(spark, "tfidf-features"), _vector_schema(vectors))
+    features = stage(
+        vectors, staging_path(spark, "tfidf-features"), _vector_schema(vectors), ["subject_id", "label"]
+    )
     train, test = features.where("is_train"), features.where("not is_train")
 
     vectorizer = CountVectorizerModel.from_vocabulary(vocab_words, **_count_vectorizer_params())

@@ -7,6 +7,7 @@ the parse, join and aggregation that made them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -25,10 +26,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/postlens/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
+def stage(
+    df: DataFrame, path: str, schema: T.StructType | None = None, sort_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` as Parquet and return the table read back.
 
-    ``schema`` replaces the written one, e.g. to read a struct as an ML vector.
+    ``schema`` replaces the written one, e.g. to read a struct as an ML vector.  With
+    ``sort_by``, the rows of a file do not depend on the order in which shuffled blocks
+    arrive, so that training on the table can be repeated.
     """
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
