@@ -303,6 +303,7 @@ QUALIFY row_number() OVER (PARTITION BY label ORDER BY count DESC, word) <= 100"
 SELECT conv_id, turn // 1024 AS segment, string_agg(text, ' ' ORDER BY turn, text) AS all_text
 FROM conversations GROUP BY ALL""",
     "term_counts": f"WITH {_TERMS} SELECT doc_id, word, n FROM counts",
+    "token_counts": f"WITH {_TERMS} SELECT doc_id, word, n FROM counts",
     "vocabulary": f"WITH {_TERMS} SELECT word, df, n FROM vocab",
     "vocab_head_tail": f"""
 WITH {_TERMS}

@@ -99,7 +99,7 @@ def label_line_rejects(spark, sf_dir):
 
 def view_roundtrip(spark, sf_dir):
     """Activity cells through a CSV view and a Parquet view; both copies are returned."""
-    cells = A.activity(S.timed(spark, sf_dir))
+    cells = _cells(spark, sf_dir)
     schema = "label int, day int, hour int, count bigint"
     copies = []
     for fmt in ("csv", "parquet"):
@@ -185,6 +185,10 @@ def preview(spark, sf_dir):
     return first
 
 
+def _cells(spark, sf_dir):
+    return A.activity(S.events(spark, sf_dir), S.labels(spark, sf_dir))
+
+
 # --- summaries -------------------------------------------------------------
 
 
@@ -217,27 +221,27 @@ def subject_verbosity(spark, sf_dir):
 
 
 def heatmap_all(spark, sf_dir):
-    return A.activity(S.timed(spark, sf_dir))
+    return _cells(spark, sf_dir)
 
 
 def heatmap_class0(spark, sf_dir):
-    return A.heatmap(A.activity(S.timed(spark, sf_dir)), 0)
+    return A.heatmap(_cells(spark, sf_dir), 0)
 
 
 def heatmap_class1(spark, sf_dir):
-    return A.heatmap(A.activity(S.timed(spark, sf_dir)), 1)
+    return A.heatmap(_cells(spark, sf_dir), 1)
 
 
 def heatmap_grid(spark, sf_dir):
-    return A.heatmap_grid(A.activity(S.timed(spark, sf_dir)))
+    return A.heatmap_grid(_cells(spark, sf_dir))
 
 
 def heatmap_matrix(spark, sf_dir):
-    return A.heatmap_matrix(A.heatmap_grid(A.activity(S.timed(spark, sf_dir))))
+    return A.heatmap_matrix(A.heatmap_grid(_cells(spark, sf_dir)))
 
 
 def hourly_share_by_class(spark, sf_dir):
-    return _rounded(A.hourly_share(A.activity(S.timed(spark, sf_dir))), "share")
+    return _rounded(A.hourly_share(_cells(spark, sf_dir)), "share")
 
 
 def top_words(spark, sf_dir):
@@ -261,13 +265,9 @@ def subject_corpus(spark, sf_dir):
     return corpus.subject_corpus(turns, ("conv_id",), pos="turn")
 
 
-def _documents_tokenized(spark, sf_dir):
-    docs = S.documents(spark, sf_dir).select("doc_id", "text")
-    return P.tokens(docs, stop_words=text.english_stop_words()).select("doc_id", "words")
-
-
 def _counts(spark, sf_dir):
-    return terms.term_counts(_documents_tokenized(spark, sf_dir), ["doc_id"])
+    docs = S.documents(spark, sf_dir)
+    return terms.text_term_counts(docs, ["doc_id"], stop_words=text.english_stop_words())
 
 
 def _vocabulary(spark, sf_dir):
@@ -279,6 +279,12 @@ def term_counts(spark, sf_dir):
     return _counts(spark, sf_dir)
 
 
+def token_counts(spark, sf_dir):
+    """The same counts from token arrays."""
+    docs = S.documents(spark, sf_dir).select("doc_id", "text")
+    return terms.term_counts(P.tokens(docs, stop_words=text.english_stop_words()), ["doc_id"])
+
+
 def vocabulary(spark, sf_dir):
     vocab, _ = _vocabulary(spark, sf_dir)
     return vocab
@@ -486,6 +492,7 @@ QUERIES: dict[str, Query] = {
         word_frequency,
         subject_corpus,
         term_counts,
+        token_counts,
         vocabulary,
         vocab_head_tail,
         idf,

@@ -88,12 +88,11 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.label_posts(docs, own, "doc_id")
 
 
-def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posting times of labelled subjects: ``(subject_id, label, date)``."""
-    events = table(spark, sf_dir, "events").select(
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posting times: ``(subject_id, date)``."""
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("subject_id"), F.col("ts").alias("date")
     )
-    return P.label_posts(events, labels(spark, sf_dir))
 
 
 def staging_path(spark: SparkSession, name: str) -> str:

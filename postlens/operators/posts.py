@@ -52,7 +52,8 @@ def label_posts(
     Catalyst broadcasts ``labels`` when its size allows.  Otherwise both sides shuffle on
     ``key`` and AQE splits the partition of a hot subject, unless a later grouping by
     ``key`` reuses the partitioning: that would hand all of the subject's posts to one
-    task.  Pass ``salts`` > 1 in front of such groupings.  Every label is then repeated
+    task.  Pass ``salts`` > 1 in front of such groupings, unless the posts are stored
+    between.  Every label is then repeated
     ``salts`` times and a post picks one by the hash of ``salt_by``, so the subject's posts
     are spread and the grouping gets a shuffle of its own, after partial aggregation.
     """
@@ -60,7 +61,8 @@ def label_posts(
         return posts.join(labels, key, "inner")
     salted_posts = posts.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     salted_labels = labels.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_posts.join(salted_labels, [key, "_salt"], "inner").drop("_salt")
+    # The size estimate does not see the repetition, so no broadcast may be chosen by it.
+    return salted_posts.join(salted_labels.hint("merge"), [key, "_salt"], "inner").drop("_salt")
 
 
 def posts_by_class(posts: DataFrame, label: int) -> DataFrame:

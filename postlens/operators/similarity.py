@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # The seed words of the similar-words view.
 SEED_WORDS = ("depression", "anxiety", "sadness", "tired", "help", "pain", "empty")
 
+# The seeds' vectors travel with the plan, so there must be few.
+MAX_SEEDS = 10_000
+
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
@@ -25,7 +28,8 @@ def similar_vectors(
 ) -> DataFrame:
     """The ``k`` nearest neighbours of every seed, ties by key: ``(seed, <key>, similarity)``.
 
-    ``seeds`` lists keys of ``vectors``, or is a small table with that column.  A seed that
+    ``seeds`` lists keys of ``vectors``, or is a table with that column; more than
+    ``MAX_SEEDS`` of them raise.  A seed that
     has no vector gives no row and no error, and a seed is not its own neighbour; neither
     is a zero vector.  The seeds' vectors reach the scan as one scalar subquery value, whose size is set by
     the number of seeds; the big side is scanned once and never shuffled whole, since the
@@ -37,7 +41,17 @@ def similar_vectors(
     else:
         chosen = rows.where(F.col("_key").isin(list(seeds)))
     norm = F.sqrt(_dot(F.col("_vec"), F.col("_vec"))).alias("_norm")
-    table = chosen.agg(F.collect_list(F.struct("_key", "_vec", norm)).alias("seeds")).scalar()
+    found = F.collect_list(F.struct("_key", "_vec", norm))
+    table = (
+        chosen.limit(MAX_SEEDS + 1)
+        .agg(found.alias("seeds"))
+        .select(
+            F.when(
+                F.size("seeds") > MAX_SEEDS, F.raise_error(F.lit(f"more than {MAX_SEEDS} seeds"))
+            ).otherwise(F.col("seeds"))
+        )
+        .scalar()
+    )
     scored = (
         rows.select("*", norm, table.alias("_seeds"))
         .select(

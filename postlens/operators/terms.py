@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions import text
+
 # A vocabulary up to this size is broadcast: some 100 bytes per row, 20 MB at most.
 BROADCAST_WORDS = 200_000
 
@@ -27,6 +29,32 @@ def term_counts(df: DataFrame, keys: Sequence[str], words: str = "words") -> Dat
     )
 
 
+def text_term_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    col: str = "text",
+    pattern: str = text.NON_WORD,
+    stop_words: Sequence[str] = (),
+    keep_wordless: bool = False,
+) -> DataFrame:
+    """:func:`term_counts` straight from text: ``(*keys, word, n)``, without ``stop_words``.
+
+    Split, explode and filter stay in generated code, where filtering an array would not.
+    With ``keep_wordless``, empty pieces and stop words are counted as word NULL, so that
+    every document has a row.
+    """
+    lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
+    words = df.select(*keys, F.explode(text.pieces(lowered, pattern)).alias("word"))
+    wanted = F.col("word") != ""
+    if stop_words:
+        wanted = wanted & ~F.col("word").isin([w.lower() for w in stop_words if w])
+    if keep_wordless:
+        words = words.withColumn("word", F.when(wanted, F.col("word")))
+    else:
+        words = words.where(wanted)
+    return words.groupBy(*keys, "word").agg(F.count("*").alias("n"))
+
+
 def word_statistics(counts: DataFrame) -> DataFrame:
     """``(word, df, n)``: documents that hold the word, and occurrences."""
     return counts.groupBy("word").agg(F.count("*").alias("df"), F.sum("n").alias("n"))
@@ -61,12 +89,6 @@ def vocabulary(
     )
 
 
-def indexed(vocab: DataFrame) -> DataFrame:
-    """Adds ``index`` 0, 1, … by falling count.  The window sees the vocabulary only."""
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "word"))
-    return vocab.withColumn("index", rank - 1)
-
-
 def vocabulary_head_tail(vocab: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most and the ``n`` least frequent vocabulary words: ``(part, word, df, n)``."""
     head = vocab.orderBy(F.desc("n"), "word").limit(n).select(F.lit("head").alias("part"), "*")

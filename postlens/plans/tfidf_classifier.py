@@ -109,18 +109,16 @@ def _vector_schema(df: DataFrame) -> T.StructType:
 def role_counts(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     """Term counts of the balanced training and the whole test subjects, without stop words.
 
-    ``(subject_id, label, is_train, word, n)``; a post without words leaves a NULL word, so
-    that no subject is lost.
+    ``(subject_id, label, is_train, word, n)``; word NULL stands for what is no word, so that
+    a subject without words is not lost.
     """
     chosen = roles.train_and_test(labelled, train_fraction)
-    stops = [w for w in text.english_stop_words() if w]
-    words = chosen.select(
-        "subject_id",
-        "label",
-        "is_train",
-        F.explode_outer(text.pieces(F.lower(F.coalesce("text", F.lit(""))))).alias("word"),
-    ).withColumn("word", F.when((F.col("word") != "") & ~F.col("word").isin(stops), F.col("word")))
-    return words.groupBy("subject_id", "label", "is_train", "word").agg(F.count("*").alias("n"))
+    return terms.text_term_counts(
+        chosen,
+        ["subject_id", "label", "is_train"],
+        stop_words=text.english_stop_words(),
+        keep_wordless=True,
+    )
 
 
 def fit(

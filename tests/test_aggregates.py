@@ -65,6 +65,12 @@ def test_activity(facts):
     assert A.heatmap(cells, 0).columns == ["day", "hour", "count"]
 
 
+def test_activity_with_a_label_table(facts):
+    labels = facts.select("subject_id", "label").distinct()
+    joined = A.activity(facts.drop("label"), labels)
+    assert joined.exceptAll(A.activity(facts)).count() == 0 and joined.count() == 4
+
+
 def test_grid_is_dense(facts):
     grid = A.heatmap_grid(A.activity(facts)).cache()
     assert grid.count() == 2 * 7 * 24

@@ -44,6 +44,12 @@ def test_unknown_seed_gives_no_rows(vectors):
     assert similarity.similar_vectors(vectors, [9999], 4).count() == 0
 
 
+def test_too_many_seeds_raise(vectors, monkeypatch):
+    monkeypatch.setattr(similarity, "MAX_SEEDS", 2)
+    with pytest.raises(Exception, match="more than 2 seeds"):
+        similarity.similar_vectors(vectors, [1, 2, 3], 1).collect()
+
+
 def test_zero_vectors_ties_and_threshold(spark):
     rows = [("a", [1.0, 0.0]), ("zero", [0.0, 0.0]), ("c", [2.0, 0.0]), ("b", [3.0, 0.0]), ("d", [0.0, 1.0])]
     df = spark.createDataFrame(rows, "id string, vector array<double>")

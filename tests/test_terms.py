@@ -40,6 +40,16 @@ def test_documents_without_words_count(spark):
     assert terms.document_count(df).first().n_docs == 3
 
 
+def test_counts_from_text(spark):
+    rows = [(0, "The cat, the CAT!"), (1, "the"), (2, None), (3, "...")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    got = terms.text_term_counts(df, ["id"], stop_words=["The"])
+    assert got.collect() == [(0, "cat", 2)]
+    kept = terms.text_term_counts(df, ["id"], stop_words=["the"], keep_wordless=True)
+    assert {r.id for r in kept.collect()} == {0, 1, 2, 3}
+    assert {(r.id, r.word, r.n) for r in kept.collect() if r.word} == {(0, "cat", 2)}
+
+
 def test_idf_value(docs):
     counts, n_docs = terms.term_counts(docs, ["id"]), terms.document_count(docs)
     vocab = terms.vocabulary(counts, n_docs, min_df=2, max_df=0.5)
@@ -83,7 +93,7 @@ def test_relations_equal_the_ml_stages(many):
 
 def test_head_and_tail(docs):
     counts = terms.term_counts(docs, ["id"])
-    vocab = terms.vocabulary(counts, terms.document_count(docs), min_df=1, max_df=1.0)
+    vocab = terms.vocabulary(counts, terms.document_count(docs), min_df=1, max_df=4)
     both = terms.vocabulary_head_tail(vocab, 2).collect()
     assert [(r.part, r.word, r.n) for r in both] == [("head", "a", 3), ("head", "b", 3), ("tail", "d", 2), ("tail", "c", 2)]
 
