@@ -30,12 +30,14 @@ def post_facts(posts: DataFrame) -> DataFrame:
     return posts.select("subject_id", *label, "date", words.alias("word_count"))
 
 
-def stage_facts(posts: DataFrame, labels: DataFrame) -> DataFrame:
+def stage_facts(posts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Facts of labelled posts, written once and read back for all views.
 
-    Words are counted in front of the label join, which then moves no text.
+    With ``labels``, words are counted in front of the join, which then moves no text.
     """
-    facts = label_posts(post_facts(posts), labels)
+    facts = post_facts(posts)
+    if labels is not None:
+        facts = label_posts(facts, labels)
     return stage(facts, staging_path(posts.sparkSession, "facts"))
 
 
