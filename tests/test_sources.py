@@ -32,7 +32,7 @@ def subject(subject_id, *writings):
 @pytest.fixture
 def posts_glob(tmp_path):
     two = [
-        writing(TITLE=" Hello  ", DATE="2015-05-03 01:02:03", INFO="reddit post", TEXT=" first\ttext  "),
+        writing(TITLE=" Hello  ", DATE="2015-05-03 01:02:03", INFO="forum", TEXT=" first\ttext  "),
         writing(TITLE="", DATE="bad date", INFO="x", TEXT="second &amp; post"),
     ]
     xml(tmp_path, "chunk1", "s1.xml", '<?xml version="1.0"?>\n' + subject("s1", *two))
@@ -46,7 +46,7 @@ def test_posts_from_xml(spark, posts_glob):
     rows = read_posts(spark, posts_glob).orderBy("subject_id", "chunk", "pos").collect()
     got = [(r.subject_id, r.chunk, r.pos, r.title, r.date, r.source_info, r.text) for r in rows]
     assert got == [
-        ("s1", 1, 0, "Hello", dt.datetime(2015, 5, 3, 1, 2, 3), "reddit post", "first\ttext"),
+        ("s1", 1, 0, "Hello", dt.datetime(2015, 5, 3, 1, 2, 3), "forum", "first\ttext"),
         ("s1", 1, 1, "", None, "x", "second & post"),
         ("s1", 10, 0, None, dt.datetime(2015, 5, 4, 23, 0), None, None),
         ("s2", 1, 0, "t", None, None, ""),
