@@ -131,7 +131,8 @@ def labelled_posts(spark, sf_dir):
 
 
 def labelled_posts_salted(spark, sf_dir):
-    return S.labelled(spark, sf_dir, salts=etl.SUBJECT_SALTS)
+    """The join of flat posts, with every subject's posts spread over 64 salts."""
+    return P.label_posts(S.posts(spark, sf_dir), S.labels(spark, sf_dir), salts=64)
 
 
 def posts_by_class(spark, sf_dir):
@@ -178,11 +179,12 @@ def etl_process(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    done = etl.process(S.labelled(spark, sf_dir)).withColumn(
-        "keywords", F.array_join("filtered_words", " ")
+    """Keywords of the first posts.  They are picked first, so only they are processed."""
+    columns = ["subject_id", "pos", "label", "text"]
+    first = P.preview(S.labelled(spark, sf_dir), columns, ["subject_id", "pos"], 5)
+    return etl.process(first).select(
+        "subject_id", "pos", "label", F.array_join("filtered_words", " ").alias("keywords")
     )
-    first = P.preview(done, ["subject_id", "pos", "label", "keywords"], ["subject_id", "pos"], 5)
-    return first
 
 
 def _cells(spark, sf_dir):

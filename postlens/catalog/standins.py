@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postlens.operators import posts as P
 from postlens.operators.summary import subject_totals
-from postlens.plans.etl import normalized_text
+from postlens.plans.etl import flatten_labelled, normalized_text
 from postlens.sources import staging
 from postlens.sources.subjects import WRITING_FIELDS
 from postlens.sources.tables import read_table
@@ -61,10 +61,8 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled(
-    spark: SparkSession, sf_dir: str, fields: Sequence[str] = ("TEXT",), salts: int = 1
-) -> DataFrame:
-    return P.label_posts(posts(spark, sf_dir, fields), labels(spark, sf_dir), salts=salts)
+def labelled(spark: SparkSession, sf_dir: str, fields: Sequence[str] = ("TEXT",)) -> DataFrame:
+    return flatten_labelled(subjects(spark, sf_dir, fields), labels(spark, sf_dir))
 
 
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

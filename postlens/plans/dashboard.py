@@ -10,7 +10,7 @@ from postlens.operators import activity as A
 from postlens.operators import similarity, summary
 from postlens.operators.posts import label_posts
 from postlens.sources.staging import stage, staging_path
-from postlens.sources.views import VIEWS, write_view
+from postlens.sources.views import VIEWS, dashboard_path, write_view
 
 # Rows of the verbosity view.
 SCATTER_ROWS = 1000
@@ -19,7 +19,6 @@ _ORDER = {
     "dashboard_time_dep": ("day", "hour"),
     "dashboard_time_ctrl": ("day", "hour"),
     "dashboard_scatter": ("subject_id", "label"),
-    "dashboard_metrics": ("metric_name",),
 }
 
 
@@ -54,7 +53,10 @@ def post_views(facts: DataFrame) -> dict[str, DataFrame]:
 
 
 def metrics_view(metrics: DataFrame) -> DataFrame:
-    return metrics.select("metric_name", F.col("value").cast("float").alias("value"))
+    """The F1 score alone: dashboards read the view's first row."""
+    return metrics.where(F.col("metric_name") == "f1_score").select(
+        "metric_name", F.col("value").cast("float").alias("value")
+    )
 
 
 def semantic_view(neighbours: DataFrame, n: int = 50) -> DataFrame:
@@ -66,7 +68,7 @@ def semantic_view(neighbours: DataFrame, n: int = 50) -> DataFrame:
 
 def write_views(views: dict[str, DataFrame], folder: str) -> None:
     for name, df in views.items():
-        fmt, _ = VIEWS[name]
+        fmt = VIEWS[name][0]
         by_similarity = (F.desc("similarity"), "word")
         order = by_similarity if name == "dashboard_semantic_words" else _ORDER.get(name, ())
-        write_view(df, f"{folder.rstrip('/')}/{name}", fmt, order)
+        write_view(df, dashboard_path(folder, name), fmt, order)

@@ -58,11 +58,13 @@ def read_subjects_xml(
     records are left out here and listed by :func:`subject_rejects`; with ``corrupt`` they
     stay as rows that only fill ``_corrupt_record``.  A path that does not exist raises.
     """
-    parsed = _records(spark, path).select(
-        F.from_xml("record", subject_schema(fields, corrupt=True), _XML_OPTIONS).alias("r"), "file"
-    )
+    # The generator keeps Catalyst from copying from_xml into the filters that follow it, on
+    # the id or the corrupt record, each of which would parse every record again.
+    subject = F.from_xml("record", subject_schema(fields, corrupt=True), _XML_OPTIONS)
     chunk = F.regexp_extract("file", r"chunk(\d+)[^/]*/[^/]*$", 1).try_cast("int")
-    rows = parsed.select("r.ID", "r.WRITING", f"r.{CORRUPT}", chunk.alias("chunk"), "file")
+    rows = _records(spark, path).select(
+        F.inline_outer(F.array(subject)), chunk.alias("chunk"), "file"
+    )
     return rows if corrupt else rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 

@@ -45,6 +45,12 @@ def read_view(spark: SparkSession, path: str, fmt: str, schema: str | T.StructTy
     raise ValueError(f"unknown view format: {fmt}")
 
 
+def dashboard_path(folder: str, name: str) -> str:
+    """Parquet views carry their format in the folder's name, CSV views do not."""
+    suffix = ".parquet" if VIEWS[name][0] == "parquet" else ""
+    return f"{folder.rstrip('/')}/{name}{suffix}"
+
+
 def read_dashboard_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     fmt, schema = VIEWS[name]
-    return read_view(spark, f"{folder.rstrip('/')}/{name}", fmt, schema)
+    return read_view(spark, dashboard_path(folder, name), fmt, schema)

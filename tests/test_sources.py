@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.operators.posts import flatten_posts
+from postlens.operators.posts import flatten_posts, label_posts
 from postlens.plans.etl import read_labelled_posts, read_posts
 from postlens.sources import staging
 from postlens.sources.labels import label_rejects, read_labels
@@ -154,9 +154,22 @@ def test_label_rejects(spark, label_file):
 def test_labelled_posts_of_files(spark, posts_glob, tmp_path):
     (tmp_path / "golden.txt").write_text("s1 1\ns3 0\nnobody 1\n")
     plain = read_labelled_posts(spark, posts_glob, str(tmp_path / "golden.txt"))
-    salted = read_labelled_posts(spark, posts_glob, str(tmp_path / "golden.txt"), salts=4)
+    after = label_posts(read_posts(spark, posts_glob), read_labels(spark, str(tmp_path / "golden.txt")))
     assert plain.count() == 3 and {r.label for r in plain.collect()} == {1}
-    assert plain.exceptAll(salted).count() == 0 and salted.count() == 3
+    assert plain.exceptAll(after.select(plain.columns)).count() == 0 and after.count() == 3
+
+
+def test_every_record_is_parsed_once(spark, posts_glob, tmp_path):
+    (tmp_path / "golden.txt").write_text("s1 1\n")
+    plans = [
+        df._jdf.queryExecution().optimizedPlan().toString()
+        for df in (
+            read_posts(spark, posts_glob),
+            read_labelled_posts(spark, posts_glob, str(tmp_path / "golden.txt")),
+            subject_rejects(spark, posts_glob),
+        )
+    ]
+    assert [plan.count("from_xml(") for plan in plans] == [1, 1, 1]
 
 
 def test_view_formats(spark, tmp_path):
