@@ -74,10 +74,10 @@ _FREQUENCY = (
     + r""",
 frequency AS (
   SELECT label, word, count(*) AS count
-  FROM (SELECT label, unnest(regexp_split_to_array(lower(text), '\W+')) AS word FROM labelled)
-  WHERE length(word) > 2 AND word NOT IN ("""
+  FROM (SELECT label, unnest(list_filter(regexp_split_to_array(lower(text), '\W+'),
+          lambda x: length(x) > 2 AND x NOT IN ("""
     + _words(REPORT_STOP_WORDS)
-    + r""")
+    + r"""))) AS word FROM labelled)
   GROUP BY ALL
 )"""
 )
