@@ -314,6 +314,10 @@ SELECT * FROM (SELECT 'tail' AS part, word, df, n FROM vocab ORDER BY n, word DE
     "tfidf": f"""
 WITH {_TERMS}
 SELECT c.doc_id, c.word, c.n, round(w.idf, 6) AS idf, round(c.n * w.idf, 6) AS tfidf
+FROM counts c JOIN weights w USING (word)""",
+    "tfidf_of_counts": f"""
+WITH {_TERMS}
+SELECT c.doc_id, c.word, c.n, round(w.idf, 6) AS idf, round(c.n * w.idf, 6) AS tfidf
 FROM counts c JOIN weights w USING (word)""",
     "train_test_split": f"""
 WITH {_SPLIT} SELECT subject_id, label, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part FROM parts""",

@@ -16,6 +16,7 @@ from postlens.operators import activity as A
 from postlens.operators import corpus, evaluate, sampling, similarity, summary, terms, words
 from postlens.operators import posts as P
 from postlens.plans import dashboard, embedding_classifier, etl, roles, tfidf_classifier
+from postlens.sources.staging import stage
 from postlens.sources.labels import label_rejects, read_labels
 from postlens.sources.subjects import read_subjects_xml, subject_rejects, write_subjects_xml
 from postlens.sources.views import read_dashboard_view, read_view, write_view
@@ -272,9 +273,13 @@ def _counts(spark, sf_dir):
     return terms.text_term_counts(docs, ["doc_id"], stop_words=text.english_stop_words())
 
 
+def _statistics(spark, sf_dir):
+    return terms.row_word_statistics(S.documents(spark, sf_dir), stop_words=text.english_stop_words())
+
+
 def _vocabulary(spark, sf_dir):
     n_docs = terms.document_count(S.table(spark, sf_dir, "documents"))
-    return terms.vocabulary(_counts(spark, sf_dir), n_docs), n_docs
+    return terms.vocabulary(_statistics(spark, sf_dir), n_docs), n_docs
 
 
 def term_counts(spark, sf_dir):
@@ -302,8 +307,19 @@ def idf(spark, sf_dir):
 
 
 def tfidf(spark, sf_dir):
-    weights = terms.idf(*_vocabulary(spark, sf_dir))
-    return _rounded(terms.tfidf(_counts(spark, sf_dir), weights), "idf", "tfidf")
+    """Whole documents as rows: the vocabulary comes first, then every row counts its words."""
+    weights = stage(terms.idf(*_vocabulary(spark, sf_dir)), S.staging_path(spark, "idf"))
+    vocab_words = [row.word for row in weights.collect()]
+    counts = terms.row_term_counts(S.documents(spark, sf_dir), ["doc_id"], vocab_words)
+    return _rounded(terms.tfidf(counts, weights), "idf", "tfidf")
+
+
+def tfidf_of_counts(spark, sf_dir):
+    """The same from term counts, as documents of several rows need it."""
+    n_docs = terms.document_count(S.table(spark, sf_dir, "documents"))
+    counts = _counts(spark, sf_dir)
+    weights = terms.idf(terms.vocabulary(terms.word_statistics(counts), n_docs), n_docs)
+    return _rounded(terms.tfidf(counts, weights), "idf", "tfidf")
 
 
 # --- split, balance, evaluation --------------------------------------------
@@ -499,6 +515,7 @@ QUERIES: dict[str, Query] = {
         vocab_head_tail,
         idf,
         tfidf,
+        tfidf_of_counts,
         train_test_split,
         balanced_train,
         confusion_matrix,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,14 @@ from postlens.functions import text
 BROADCAST_WORDS = 200_000
 
 
+def _wanted(stop_words: Sequence[str]) -> Column:
+    """Whether ``word`` is a word, and none of ``stop_words``."""
+    wanted = F.col("word") != ""
+    if stop_words:
+        wanted = wanted & ~F.col("word").isin([w.lower() for w in stop_words if w])
+    return wanted
+
+
 def term_counts(df: DataFrame, keys: Sequence[str], words: str = "words") -> DataFrame:
     """``(*keys, word, n)`` from rows with a token array."""
     # An inner explode would make Catalyst tokenize once more, to test for empty arrays first.
@@ -45,13 +54,10 @@ def text_term_counts(
     """
     lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
     words = df.select(*keys, F.explode(text.pieces(lowered, pattern)).alias("word"))
-    wanted = F.col("word") != ""
-    if stop_words:
-        wanted = wanted & ~F.col("word").isin([w.lower() for w in stop_words if w])
     if keep_wordless:
-        words = words.withColumn("word", F.when(wanted, F.col("word")))
+        words = words.withColumn("word", F.when(_wanted(stop_words), F.col("word")))
     else:
-        words = words.where(wanted)
+        words = words.where(_wanted(stop_words))
     return words.groupBy(*keys, "word").agg(F.count("*").alias("n"))
 
 
@@ -66,8 +72,58 @@ def document_count(docs: DataFrame, keys: Sequence[str] | None = None) -> DataFr
     return rows.agg(F.count("*").alias("n_docs"))
 
 
+def row_word_statistics(
+    docs: DataFrame,
+    col: str = "text",
+    pattern: str = text.NON_WORD,
+    stop_words: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`word_statistics` straight from text whose every row is a whole document.
+
+    A row's words are followed by its distinct words, which count documents.  The only
+    shuffle is by word, after partial aggregation; none is by document.
+    """
+    lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
+    listed = docs.select(text.pieces(lowered, pattern).alias("_words")).select(
+        F.size("_words").alias("_length"),
+        F.posexplode(F.concat("_words", F.array_distinct("_words"))).alias("_pos", "word"),
+    )
+    is_distinct = F.col("_pos") >= F.col("_length")
+    return (
+        listed.where(_wanted(stop_words))
+        .groupBy("word")
+        .agg(F.count_if(is_distinct).alias("df"), F.count_if(~is_distinct).alias("n"))
+    )
+
+
+def row_term_counts(
+    docs: DataFrame,
+    keys: Sequence[str],
+    vocab_words: Sequence[str],
+    col: str = "text",
+    pattern: str = text.NON_WORD,
+) -> DataFrame:
+    """Counts of vocabulary words, every row being a whole document: ``(*keys, word, n)``.
+
+    The counting is the row-local ``CountVectorizerModel``, so nothing is shuffled.
+    """
+    lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
+    model = CountVectorizerModel.from_vocabulary(
+        list(vocab_words), inputCol="_words", outputCol="_counts"
+    )
+    counted = model.transform(docs.select(*keys, text.pieces(lowered, pattern).alias("_words")))
+    vector = F.unwrap_udt("_counts")
+    entries = counted.select(
+        *keys, F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("n")))
+    )
+    vocab = docs.sparkSession.createDataFrame(list(enumerate(vocab_words)), "index int, word string")
+    return entries.join(small_side(vocab, len(vocab_words)), "index").select(
+        *keys, "word", F.col("n").cast("bigint").alias("n")
+    )
+
+
 def vocabulary(
-    counts: DataFrame,
+    statistics: DataFrame,
     n_docs: DataFrame,
     size: int = 5000,
     min_df: float = 5.0,
@@ -75,6 +131,7 @@ def vocabulary(
 ) -> DataFrame:
     """The ``size`` most frequent words whose ``df`` lies within both bounds: ``(word, df, n)``.
 
+    ``statistics`` is the result of :func:`word_statistics` or :func:`row_word_statistics`.
     Bounds are inclusive.  From 1 up they are document counts, below 1 a share of all
     documents.  Equal counts are ordered by word.
     """
@@ -82,8 +139,7 @@ def vocabulary(
     low = F.lit(min_df) if min_df >= 1 else docs * min_df
     high = F.lit(max_df) if max_df >= 1 else docs * max_df
     return (
-        word_statistics(counts)
-        .where((F.col("df") >= low) & (F.col("df") <= high))
+        statistics.where((F.col("df") >= low) & (F.col("df") <= high))
         .orderBy(F.desc("n"), "word")
         .limit(size)
     )

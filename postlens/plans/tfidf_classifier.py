@@ -139,7 +139,7 @@ def fit(
     counts = stage(role_counts(labelled, train_fraction), staging_path(spark, "term-counts"))
     train_counts = counts.where("is_train")
     vocab = terms.vocabulary(
-        train_counts.where(F.col("word").isNotNull()),
+        terms.word_statistics(train_counts.where(F.col("word").isNotNull())),
         terms.document_count(train_counts, ["subject_id", "label"]),
         vocab_size,
         min_df,

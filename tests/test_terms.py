@@ -19,7 +19,7 @@ def vocab_words(df):
 
 
 def test_vocabulary_bounds_are_inclusive(docs):
-    counts = terms.term_counts(docs, ["id"])
+    counts = terms.word_statistics(terms.term_counts(docs, ["id"]))
     n_docs = terms.document_count(docs)
     assert set(vocab_words(terms.vocabulary(counts, n_docs, min_df=2, max_df=0.5))) == {"c", "d"}
     assert set(vocab_words(terms.vocabulary(counts, n_docs, min_df=0.5, max_df=3))) == {"b", "c", "d"}
@@ -50,9 +50,23 @@ def test_counts_from_text(spark):
     assert {(r.id, r.word, r.n) for r in kept.collect() if r.word} == {(0, "cat", 2)}
 
 
+def test_whole_documents_in_rows(spark):
+    rows = [(0, "The cat, the CAT dog"), (1, "the dog"), (2, None), (3, "... --"), (4, "Bird cat cat")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    counts = terms.text_term_counts(df, ["id"], stop_words=["the"])
+    want = sorted(terms.word_statistics(counts).collect())
+    statistics = terms.row_word_statistics(df, stop_words=["the"])
+    assert sorted(statistics.collect()) == want == [("bird", 1, 1), ("cat", 2, 4), ("dog", 2, 2)]
+    by_row = terms.row_term_counts(df, ["id"], ["cat", "bird"])
+    assert by_row.dtypes == counts.dtypes
+    assert sorted(by_row.collect()) == sorted(counts.where("word <> 'dog'").collect())
+    plan = by_row._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_idf_value(docs):
     counts, n_docs = terms.term_counts(docs, ["id"]), terms.document_count(docs)
-    vocab = terms.vocabulary(counts, n_docs, min_df=2, max_df=0.5)
+    vocab = terms.vocabulary(terms.word_statistics(counts), n_docs, min_df=2, max_df=0.5)
     got = {r.word: r.idf for r in terms.idf(vocab, n_docs).collect()}
     assert got == pytest.approx({"c": math.log(5 / 3), "d": math.log(5 / 3)})
     assert got["c"] == pytest.approx(0.510826, abs=1e-6)
@@ -76,7 +90,7 @@ def test_relations_equal_the_ml_stages(many):
     vectorizer = CountVectorizer(vocabSize=5000, minDF=5.0, maxDF=0.75, inputCol="words", outputCol="raw").fit(many)
     weights = IDF(inputCol="raw", outputCol="features").fit(vectorizer.transform(many))
     counts, n_docs = terms.term_counts(many, ["id"]), terms.document_count(many)
-    vocab = terms.vocabulary(counts, n_docs)
+    vocab = terms.vocabulary(terms.word_statistics(counts), n_docs)
     assert set(vocab_words(vocab)) == set(vectorizer.vocabulary)
     mine = {r.word: r.idf for r in terms.idf(vocab, n_docs).collect()}
     theirs = dict(zip(vectorizer.vocabulary, weights.idf.toArray()))
@@ -92,7 +106,7 @@ def test_relations_equal_the_ml_stages(many):
 
 
 def test_head_and_tail(docs):
-    counts = terms.term_counts(docs, ["id"])
+    counts = terms.word_statistics(terms.term_counts(docs, ["id"]))
     vocab = terms.vocabulary(counts, terms.document_count(docs), min_df=1, max_df=4)
     both = terms.vocabulary_head_tail(vocab, 2).collect()
     assert [(r.part, r.word, r.n) for r in both] == [("head", "a", 3), ("head", "b", 3), ("tail", "d", 2), ("tail", "c", 2)]
@@ -100,7 +114,7 @@ def test_head_and_tail(docs):
 
 def test_only_a_bounded_vocabulary_is_broadcast(docs):
     counts, n_docs = terms.term_counts(docs, ["id"]), terms.document_count(docs)
-    weights = terms.idf(terms.vocabulary(counts, n_docs, min_df=1), n_docs)
+    weights = terms.idf(terms.vocabulary(terms.word_statistics(counts), n_docs, min_df=1), n_docs)
     hinted = terms.tfidf(counts, weights)._jdf.queryExecution().logical().toString()
     free = terms.tfidf(counts, weights, size=10**7)._jdf.queryExecution().logical().toString()
     assert "broadcast" in hinted and "broadcast" not in free
