@@ -32,7 +32,7 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     The closing tag is the record separator of a plain text scan.  The scan therefore
     splits large files, and a malformed record cannot hide the records behind it, which
-    the whole-file XML reader loses.
+    the whole-file XML reader loses.  The tag must be spelled without inner white space.
     """
     lines = spark.read.option("lineSep", f"</{ROW_TAG}>").text(path)
     opened = f"<{ROW_TAG}"
