@@ -69,30 +69,46 @@ def word_hashes(words: pa.Array) -> np.ndarray:
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_sets(texts: pa.Array, width: int, fold: bool = True) -> list[np.ndarray]:
-    """Per text, the sorted distinct 64-bit hashes of its ``width``-word shingles.
+def _folded(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` neighbours."""
+    n = max(0, len(hashes) - width + 1)
+    rolled = np.zeros(n, dtype=np.uint64)
+    for i in range(width):
+        rolled = mix(rolled * _ORDER + hashes[i : n + i])
+    return rolled
+
+
+def word_shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(hashes, rows)`` of the ``width``-word shingles of all texts, A-Z lower-cased, in order.
 
     A text with fewer words has one shingle, its whole word sequence; one without words
-    has none.  ``fold`` lower-cases A-Z first.
+    has none.  Repeated shingles are repeated.
     """
-    codes, words, offsets = split_words(pc.ascii_lower(texts) if fold else texts)
+    codes, words, offsets = split_words(pc.ascii_lower(texts))
     hashes = word_hashes(words)[codes]
-    n = len(hashes)
-    rolled = np.zeros(max(0, n - width + 1), dtype=np.uint64)
-    for i in range(width):
-        rolled = mix(rolled * _ORDER + hashes[i : n - width + 1 + i]) if len(rolled) else rolled
+    counts = np.diff(offsets)
+    rolled = _folded(hashes, width)
+    rows = np.repeat(np.arange(len(counts)), counts)[: len(rolled)]
+    # Runs that cross into the next text are left out.
+    inside = np.arange(len(rolled)) + width <= offsets[1:][rows] if len(rolled) else np.empty(0, bool)
+    short = np.flatnonzero((counts > 0) & (counts < width))
+    if not len(short):
+        return rolled[inside], rows[inside]
+    whole = [_folded(hashes[offsets[i] : offsets[i + 1]], int(counts[i])) + np.uint64(counts[i]) for i in short]
+    rolled, rows = np.concatenate([rolled[inside], *whole]), np.concatenate([rows[inside], short])
+    order = np.argsort(rows, kind="stable")
+    return rolled[order], rows[order]
+
+
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """Per text, the sorted distinct hashes of its shingles; see :func:`word_shingles`."""
+    rolled, rows = word_shingles(texts, width)
+    counts = np.bincount(rows, minlength=len(texts))[: len(texts)]
+    ends = np.cumsum(counts)
     out = []
-    for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
-        if hi - lo >= width:
-            part = np.sort(rolled[lo : hi - width + 1])
-            out.append(part[np.concatenate([[True], part[1:] != part[:-1]])])
-        elif hi > lo:
-            whole = np.uint64(hi - lo)
-            for h in hashes[lo:hi]:
-                whole = mix(np.array([whole * _ORDER + h], dtype=np.uint64))[0]
-            out.append(np.array([whole], dtype=np.uint64))
-        else:
-            out.append(np.empty(0, dtype=np.uint64))
+    for lo, hi in zip(ends - counts, ends, strict=True):
+        part = np.sort(rolled[lo:hi])
+        out.append(part[np.concatenate([[True], part[1:] != part[:-1]])] if hi > lo else part)
     return out
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import secret_scan
+from postlens.llm import decontaminate, quality, secret_scan
+from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,48 @@ def op2_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan,)}
+def op5_quality_classifier(spark, sf_dir):
+    """Sites are the documents' sources, paths the languages within them."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.bad_labels(table(spark, sf_dir, "labels")))
+    scored = quality.evidence(docs.select("doc_id", "text", "source", "lang"), model, "text", "log_odds").drop("text")
+    scored = stage(scored, staging_path(spark, "quality"))
+    groups, _ = quality.group_posteriors(scored, "source", "lang", "log_odds")
+    judged = quality.posterior(scored, groups, "source", "lang", "log_odds")
+    return judged.select(
+        "doc_id",
+        F.round("log_odds", 6).alias("log_odds"),
+        F.round("path_share", 6).alias("path_share"),
+        F.round("p_bad", 6).alias("p_bad"),
+        (F.col("p_bad") < quality.CUT).alias("keep"),
+    )
 
-ORACLES: dict[str, str] = {}
+
+def op8_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op5_quality_classifier, op8_benchmark_decontamination)}
+
+def _shingles(source: str, key: str) -> str:
+    """SQL for the distinct five-word shingles ``(key, s)`` of a table's texts."""
+    return f"""
+    SELECT DISTINCT {key}, unnest(
+        CASE WHEN len(w) = 0 THEN []
+             WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
+        END) AS s
+    FROM (SELECT {key}, list_filter(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM {source})"""
+
+
+ORACLES: dict[str, str] = {
+    "op8_benchmark_decontamination": f"""
+    WITH d AS ({_shingles("documents", "doc_id")}),
+    b AS ({_shingles("benchmark", "item_id")}),
+    n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+    SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+    FROM (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+    JOIN n USING (item_id) WHERE 5 * n_shared >= 4 * n_item""",
+}
