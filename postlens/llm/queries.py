@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, quality, secret_scan
+from postlens.llm import decontaminate, packing, quality, secret_scan
 from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op2_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -48,7 +52,7 @@ def op8_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_secret_scan, op5_quality_classifier, op8_benchmark_decontamination)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_secret_scan, op5_quality_classifier, op8_benchmark_decontamination)}
 
 def _shingles(source: str, key: str) -> str:
     """SQL for the distinct five-word shingles ``(key, s)`` of a table's texts."""
