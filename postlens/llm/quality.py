@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.llm.batches import slices, split_words
+from postlens.sources.staging import stage, staging_path
 
 # Bounds of the fit: labelled rows, and words that may get a weight.
 MAX_LABELLED = 50_000
@@ -201,8 +202,14 @@ def fit(
         .limit(max_labelled)
     )
     texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    # Copies of one text would make its words look frequent.
-    sample = texts.join(chosen, "k").select("t", "y").distinct()
+    # The labels are bounded, so they travel to the texts.  Copies of one text would make its
+    # words look frequent, so one document of each text stays.
+    chosen = stage(chosen, staging_path(docs.sparkSession, "labelled"))
+    single = (
+        texts.join(F.broadcast(chosen), "k").groupBy(F.md5("t").alias("h"), "y").agg(F.min("k").alias("k")).select("k", "y")
+    )
+    single = stage(single, staging_path(docs.sparkSession, "labelled"))
+    sample = texts.join(F.broadcast(single), "k").select("t", "y")
     weights = _word_weights(sample)
 
     def work(batches):
