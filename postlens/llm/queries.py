@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, packing, quality, secret_scan
+from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join
 from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,11 @@ def op8_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_secret_scan, op5_quality_classifier, op8_benchmark_decontamination)}
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return shingle_join.link_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_secret_scan, op5_quality_classifier, op8_benchmark_decontamination, op10_ngram_jaccard_join)}
 
 def _shingles(source: str, key: str) -> str:
     """SQL for the distinct five-word shingles ``(key, s)`` of a table's texts."""
