@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join
+from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join, token_counts, token_store, warc
 from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,20 @@ def op2_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_token_counts(spark, sf_dir):
+    pieces = token_counts.load_pieces(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces)
+
+
+def op4_warc_derivatives(spark, sf_dir):
+    """Metadata and conversion records of all pages; the blocks stand in the digest and length."""
+    records = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    return records.withColumn("page_id", F.col("source_id").cast("long")).select(
+        "page_id", "warc_type", "record_id", "refers_to", "target_uri", "content_type", "source_digest", "block_digest",
+        "content_length", F.md5("source_headers").alias("headers_md5"),
+    )
+
+
 def op5_quality_classifier(spark, sf_dir):
     """Sites are the documents' sources, paths the languages within them."""
     docs = table(spark, sf_dir, "documents")
@@ -48,6 +62,12 @@ def op5_quality_classifier(spark, sf_dir):
     )
 
 
+def op7_token_files(spark, sf_dir):
+    folder = token_store.token_folder(spark)
+    files = token_store.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
+    return token_store.read_boundaries(files)
+
+
 def op8_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,7 +76,20 @@ def op10_ngram_jaccard_join(spark, sf_dir):
     return shingle_join.link_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_secret_scan, op5_quality_classifier, op8_benchmark_decontamination, op10_ngram_jaccard_join)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_secret_scan,
+        op3_token_counts,
+        op4_warc_derivatives,
+        op5_quality_classifier,
+        op7_token_files,
+        op8_benchmark_decontamination,
+        op10_ngram_jaccard_join,
+    )
+}
+
 
 def _shingles(source: str, key: str) -> str:
     """SQL for the distinct five-word shingles ``(key, s)`` of a table's texts."""
