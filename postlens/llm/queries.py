@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join, token_counts, token_store, warc
+from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join, token_counts, token_store, vector_graph, warc
 from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op8_benchmark_decontamination(spark, sf_dir):
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_nearest_neighbours(spark, sf_dir):
+    return vector_graph.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op10_ngram_jaccard_join(spark, sf_dir):
     return shingle_join.link_components(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
         op5_quality_classifier,
         op7_token_files,
         op8_benchmark_decontamination,
+        op9_nearest_neighbours,
         op10_ngram_jaccard_join,
     )
 }
