@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join, token_counts, token_store, vector_graph, warc
+from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join, token_counts, token_store, vector_graph, warc, wrappers
 from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op5_quality_classifier(spark, sf_dir):
     )
 
 
+def op6_main_text(spark, sf_dir):
+    text = wrappers.extract(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_token_files(spark, sf_dir):
     folder = token_store.token_folder(spark)
     files = token_store.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), folder)
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op3_token_counts,
         op4_warc_derivatives,
         op5_quality_classifier,
+        op6_main_text,
         op7_token_files,
         op8_benchmark_decontamination,
         op9_nearest_neighbours,
