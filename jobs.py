@@ -12,12 +12,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.operators import evaluate, similarity, summary, words
+from postlens.operators import evaluate, sampling, similarity, summary, words
 from postlens.operators.posts import preview
 from postlens.plans import dashboard, embedding_classifier, etl, tfidf_classifier
-from postlens.sources.labels import label_rejects
-from postlens.sources.staging import stage, staging_path
-from postlens.sources.subjects import subject_rejects
+from postlens.sources.labels import label_rejects, read_labels
+from postlens.sources.staging import scratch, stage, staging_path
+from postlens.sources.subjects import accepted, read_subjects_xml, rejects
 from postlens.sources.views import write_view
 
 
@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     def job(name: str, *options: str):
         sub = jobs.add_parser(name)
         sub.add_argument("--posts", required=True, help="path or glob of the XML files")
+        sub.add_argument("--encoding", default="UTF-8", help="of the XML files")
         for option in options:
             sub.add_argument(option, required=True)
         return sub
@@ -39,28 +40,38 @@ def parser() -> argparse.ArgumentParser:
     embedding = job("embedding", "--labels", "--model", "--out")
     embedding.add_argument("--seeds", nargs="+", default=list(similarity.SEED_WORDS))
     embedding.add_argument("--min-similarity", type=float)
-    embedding.add_argument("--partitions", type=int, help="Word2Vec tasks; default one per core")
+    embedding.add_argument("--partitions", type=int, default=embedding_classifier.NUM_PARTITIONS, help="Word2Vec tasks")
     return args
 
 
-def training_posts(spark: SparkSession, args) -> DataFrame:
+def training_posts(spark: SparkSession, args, fields: tuple[str, ...]) -> DataFrame:
     """Labelled posts with normalized text, parsed and joined once."""
-    labelled = etl.read_labelled_posts(spark, args.posts, args.labels, ("DATE", "TEXT"))
+    labelled = etl.read_labelled_posts(spark, args.posts, args.labels, fields, args.encoding)
     return stage(etl.normalized_text(labelled), staging_path(spark, "posts"))
 
 
+def write_imbalance(posts: DataFrame, args) -> None:
+    """How many training subjects each class has, before balancing."""
+    train = posts.where(sampling.in_train("subject_id")).select("subject_id", "label").distinct()
+    write_view(summary.class_imbalance(train), f"{args.out}/imbalance", "csv")
+
+
 def run_preview(spark, args):
-    posts = etl.read_posts(spark, args.posts)
+    posts = etl.read_posts(spark, args.posts, encoding=args.encoding)
     posts.printSchema()
     preview(posts, posts.columns, ["subject_id", "chunk", "pos"], args.rows).show(truncate=40)
     print("posts:", posts.count())
 
 
 def run_etl(spark, args):
-    labelled = etl.read_labelled_posts(spark, args.posts, args.labels)
-    done = stage(etl.process(labelled), f"{args.out}/posts")
-    subject_rejects(spark, args.posts).write.parquet(f"{args.out}/post_rejects")
-    label_rejects(spark, args.labels).write.parquet(f"{args.out}/label_rejects")
+    # The records are parsed once, for the posts and for the rejects.
+    subjects = read_subjects_xml(spark, args.posts, corrupt=True, encoding=args.encoding)
+    subjects = stage(subjects, staging_path(spark, "subjects"))
+    labelled = etl.flatten_labelled(accepted(subjects), read_labels(spark, args.labels), etl.RECORD)
+    etl.process(labelled).write.mode("overwrite").parquet(f"{args.out}/posts")
+    done = spark.read.parquet(f"{args.out}/posts")
+    rejects(subjects).write.mode("overwrite").parquet(f"{args.out}/post_rejects")
+    label_rejects(spark, args.labels).write.mode("overwrite").parquet(f"{args.out}/label_rejects")
     counts = summary.class_counts(summary.subject_totals(done))
     write_view(counts, f"{args.out}/class_counts", "csv")
     counts.show()
@@ -68,7 +79,7 @@ def run_etl(spark, args):
 
 
 def run_words(spark, args):
-    labelled = etl.read_labelled_posts(spark, args.posts, args.labels, ("TEXT",))
+    labelled = etl.read_labelled_posts(spark, args.posts, args.labels, ("TEXT",), args.encoding)
     top = words.top_words(labelled, n=args.top)
     write_view(top, f"{args.out}/top_words", "csv", ("label", F.desc("count"), "word"))
 
@@ -85,14 +96,17 @@ def _evaluate(fitted, args) -> DataFrame:
 
 
 def run_tfidf(spark, args):
-    fitted = tfidf_classifier.fit(training_posts(spark, args))
+    posts = training_posts(spark, args, ("TEXT",))
+    write_imbalance(posts, args)
+    fitted = tfidf_classifier.fit(posts)
     write_view(_evaluate(fitted, args), f"{args.out}/metrics", "csv", ("metric_name",))
     vocab = tfidf_classifier.model_vocabulary(fitted.model, spark)
     write_view(vocab, f"{args.out}/vocabulary", "csv", ("index",))
 
 
 def run_embedding(spark, args):
-    posts = training_posts(spark, args)
+    posts = training_posts(spark, args, ("DATE", "TEXT"))
+    write_imbalance(posts, args)
     facts = dashboard.stage_facts(posts)
     fitted = embedding_classifier.fit(posts, num_partitions=args.partitions)
     metrics = _evaluate(fitted, args)
@@ -119,7 +133,10 @@ JOBS = {
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"postlens-{args.job}").getOrCreate()
-    JOBS[args.job](spark, args)
+    # Hours and weekdays must not depend on the machine.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    with scratch(spark):
+        JOBS[args.job](spark, args)
 
 
 if __name__ == "__main__":

@@ -96,7 +96,6 @@ vocab AS (
   SELECT word, count(*) AS df, CAST(sum(n) AS BIGINT) AS n
   FROM counts GROUP BY word
   HAVING count(*) BETWEEN 5 AND 0.75 * (SELECT m FROM docs)
-  ORDER BY n DESC, word LIMIT 5000
 ),
 weights AS (
   SELECT word, df, ln(((SELECT m FROM docs) + 1) / (df + 1)) AS idf FROM vocab
@@ -145,6 +144,22 @@ model_index AS (
 )"""
 )
 
+# Words that occur at least five times in the training subjects.
+_VECTOR_WORDS = r"""
+vector_words AS (
+  SELECT word FROM model_counts WHERE is_train GROUP BY word HAVING sum(n) >= 5
+)"""
+
+_PREDICTIONS = f"""
+WITH {_ROLES}
+SELECT subject_id, label, NOT is_train AS agrees, NOT is_train AS in_range FROM roles WHERE NOT is_train"""
+
+_METRIC_RANGES = f"""
+WITH {_ROLES}
+SELECT metric_name, count(*) AS n_test, bool_and(NOT is_train) AS in_range
+FROM roles, (VALUES ('accuracy'), ('f1_score'), ('weighted_precision'), ('weighted_recall')) m(metric_name)
+WHERE NOT is_train GROUP BY metric_name"""
+
 _CLEAN = r"regexp_replace(regexp_replace(lower({text}), 'http\S+', '', 'g'), '[^a-zA-Z\s]', '', 'g')"
 
 _ETL = (
@@ -208,9 +223,11 @@ SELECT CAST(doc_id AS VARCHAR) AS subject_id, 1 AS chunk, CAST(pos AS INTEGER) A
     "xml_single_writings": r"""
 SELECT CAST(doc_id AS VARCHAR) AS subject_id, 0 AS pos, CAST(length(trim(text, ' ')) AS INTEGER) AS n_chars,
        md5(trim(text, ' ')) AS text_md5
-FROM documents WHERE source <> 'src0'""",
+FROM documents WHERE source NOT IN ('src0', 'src1')""",
     "xml_rejects": r"""
-SELECT CAST(doc_id AS VARCHAR) AS subject_id FROM documents WHERE source = 'src0'""",
+SELECT CAST(doc_id AS VARCHAR) AS subject_id,
+       CASE source WHEN 'src1' THEN 'no closing tag' ELSE 'not well-formed' END AS reason
+FROM documents WHERE source IN ('src0', 'src1')""",
     "label_parse": r"""
 SELECT CAST(doc_id AS VARCHAR) AS subject_id, toxic AS label
 FROM labels JOIN documents USING (doc_id)""",
@@ -223,7 +240,7 @@ SELECT label, day, hour, count, format FROM cells, (VALUES ('csv'), ('parquet'))
     "dashboard_scatter": f"""
 WITH {_POSTS}
 SELECT CAST(subject_id AS VARCHAR) AS subject_id, label, avg(len(string_split(text, ' '))) AS avg_len
-FROM labelled GROUP BY ALL ORDER BY subject_id, label LIMIT 1000""",
+FROM labelled GROUP BY ALL""",
     "flatten_posts": f"""
 WITH {_LINES}
 SELECT doc_id AS subject_id, CAST(pos AS INTEGER) AS pos, {_FLAT} FROM lines""",
@@ -278,7 +295,7 @@ FROM labelled""",
     "subject_verbosity": f"""
 WITH {_POSTS}
 SELECT subject_id, label, round(avg(len(string_split(text, ' '))), 6) AS avg_len
-FROM labelled GROUP BY ALL ORDER BY subject_id, label LIMIT 1000""",
+FROM labelled GROUP BY ALL""",
     "heatmap_all": f"WITH {_CELLS} SELECT label, day, hour, count FROM cells",
     "heatmap_class0": f"WITH {_CELLS} SELECT day, hour, count FROM cells WHERE label = 0 ORDER BY day, hour",
     "heatmap_class1": f"WITH {_CELLS} SELECT day, hour, count FROM cells WHERE label = 1 ORDER BY day, hour",
@@ -301,6 +318,13 @@ QUALIFY row_number() OVER (PARTITION BY label ORDER BY count DESC, word) <= 100"
     "word_frequency": f"WITH {_FREQUENCY} SELECT label, word, count FROM frequency",
     "subject_corpus": r"""
 SELECT conv_id, turn // 1024 AS segment, string_agg(text, ' ' ORDER BY turn, text) AS all_text
+FROM conversations GROUP BY ALL""",
+    "subject_corpus_segments": r"""
+SELECT conv_id, turn // 4 AS segment, string_agg(text, ' ' ORDER BY turn, text) AS all_text
+FROM conversations GROUP BY ALL""",
+    "subject_corpus_records": r"""
+SELECT CASE WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS subject_id, conv_id, turn // 4 AS segment,
+       string_agg(text, ' ' ORDER BY turn, text) AS all_text
 FROM conversations GROUP BY ALL""",
     "term_counts": f"WITH {_TERMS} SELECT doc_id, word, n FROM counts",
     "token_counts": f"WITH {_TERMS} SELECT doc_id, word, n FROM counts",
@@ -334,7 +358,36 @@ WITH {_MODEL_WORDS}
 SELECT subject_id, label, is_train, index, CAST(n AS DOUBLE) AS n
 FROM model_counts JOIN model_index USING (word)""",
     "model_save_load": f"""
-WITH {_ROLES} SELECT count(*) AS n_test, CAST(0 AS BIGINT) AS n_changed FROM roles WHERE NOT is_train""",
+WITH {_ROLES}
+SELECT model, count(*) AS n_test, count(*) FILTER (is_train) AS n_changed
+FROM roles, (VALUES ('tfidf'), ('embedding')) m(model) WHERE NOT is_train GROUP BY model""",
+    "lr_predictions": _PREDICTIONS,
+    "rf_predictions": _PREDICTIONS,
+    "lr_metrics": _METRIC_RANGES,
+    "rf_metrics": _METRIC_RANGES,
+    "doc_embedding": f"""
+WITH {_MODEL_WORDS}
+SELECT r.subject_id, r.label, r.is_train, CAST(coalesce(sum(c.n), 0) AS BIGINT) AS n_words,
+       count(*) FILTER (c.n < 0) AS differs
+FROM roles r LEFT JOIN model_counts c USING (subject_id, label, is_train) GROUP BY ALL""",
+    "word2vec_vocabulary": f"WITH {_MODEL_WORDS}, {_VECTOR_WORDS} SELECT word FROM vector_words",
+    "similar_words": f"""
+WITH {_MODEL_WORDS}, {_VECTOR_WORDS}, {_FREQUENCY},
+seeds AS (
+  SELECT word, sum(count) AS n FROM frequency WHERE word IN (SELECT word FROM vector_words)
+  GROUP BY word ORDER BY n DESC, word LIMIT 7
+)
+SELECT word AS seed, least(10, (SELECT count(*) FROM vector_words) - 1) AS n_neighbours,
+       count(*) FILTER (n < 0) AS n_odd
+FROM seeds GROUP BY word""",
+    "similar_words_top20": f"""
+WITH {_NEAR},
+near AS (
+  SELECT seed, vec_id, similarity FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY seed ORDER BY similarity DESC, vec_id) <= 10
+)
+SELECT vec_id, round(max(similarity), 5) AS similarity FROM near
+GROUP BY vec_id ORDER BY max(similarity) DESC, vec_id LIMIT 20""",
     "confusion_matrix": f"WITH {_MATRIX} SELECT label, prediction, count FROM matrix",
     "classification_metrics": f"""
 WITH {_MATRIX}

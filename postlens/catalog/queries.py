@@ -17,7 +17,7 @@ from postlens.operators import corpus, evaluate, sampling, similarity, summary,
 from postlens.operators import posts as P
 from postlens.plans import dashboard, embedding_classifier, etl, roles, tfidf_classifier
 from postlens.sources.labels import label_rejects, read_labels
-from postlens.sources.staging import stage
+from postlens.sources.staging import stage, staging_path
 from postlens.sources.subjects import read_subjects_xml, subject_rejects, write_subjects_xml
 from postlens.sources.views import read_dashboard_view, read_view, write_view
 
@@ -36,7 +36,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def xml_posts_roundtrip(spark, sf_dir):
-    path = S.staging_path(spark, "xml")
+    path = staging_path(spark, "xml")
     write_subjects_xml(S.subjects(spark, sf_dir), f"{path}/chunk1")
     return etl.read_posts(spark, f"{path}/chunk*/*.xml").select(
         "subject_id", "chunk", "pos", "title", F.col("date").cast("string"), "source_info", "text"
@@ -44,10 +44,19 @@ def xml_posts_roundtrip(spark, sf_dir):
 
 
 def _xml_with_errors(spark, sf_dir) -> str:
-    """Records of all documents, one file set per language; ``src0`` ones lack a closing tag."""
-    path = S.staging_path(spark, "xml-errors")
+    """Records of all documents, one file set per language.
+
+    ``src0`` ones lack a closing tag inside, ``src1`` ones that of the record, which hence
+    ends where the next one begins or the file ends; ``src2`` ones close with a space.
+    """
+    path = staging_path(spark, "xml-errors")
     escaped = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     closing = F.when(F.col("source") == "src0", F.lit("")).otherwise(F.lit("</TEXT>"))
+    end = (
+        F.when(F.col("source") == "src1", F.lit(""))
+        .when(F.col("source") == "src2", F.lit("</INDIVIDUAL >"))
+        .otherwise(F.lit("</INDIVIDUAL>"))
+    )
     S.documents(spark, sf_dir).select(
         F.concat(
             F.lit("<INDIVIDUAL><ID>"),
@@ -55,7 +64,8 @@ def _xml_with_errors(spark, sf_dir) -> str:
             F.lit("</ID><WRITING><TEXT>"),
             escaped,
             closing,
-            F.lit("</WRITING></INDIVIDUAL>"),
+            F.lit("</WRITING>"),
+            end,
         ).alias("value"),
         "lang",
     ).write.partitionBy("lang").text(path)
@@ -72,12 +82,12 @@ def xml_single_writings(spark, sf_dir):
 
 def xml_rejects(spark, sf_dir):
     rejects = subject_rejects(spark, f"{_xml_with_errors(spark, sf_dir)}/*/*.txt")
-    return rejects.select(F.regexp_extract("record", "<ID>(.*?)</ID>", 1).alias("subject_id"))
+    return rejects.select(F.regexp_extract("record", "<ID>(.*?)</ID>", 1).alias("subject_id"), "reason")
 
 
 def _label_lines(spark, sf_dir) -> str:
     """A line per document: id, a separator that varies, and the label where there is one."""
-    path = S.staging_path(spark, "labels")
+    path = staging_path(spark, "labels")
     docs = S.table(spark, sf_dir, "documents").select("doc_id", "lang")
     toxic = S.table(spark, sf_dir, "labels").select("doc_id", "toxic")
     gap = F.when(F.col("lang") == "en", F.lit(" ")).when(F.col("lang") == "fr", F.lit("\t")).otherwise(F.lit("  "))
@@ -104,7 +114,7 @@ def view_roundtrip(spark, sf_dir):
     schema = "label int, day int, hour int, count bigint"
     copies = []
     for fmt in ("csv", "parquet"):
-        path = S.staging_path(spark, "view")
+        path = staging_path(spark, "view")
         write_view(cells, path, fmt, ("label", "day", "hour"))
         copies.append(read_view(spark, path, fmt, schema).withColumn("format", F.lit(fmt)))
     return copies[0].unionByName(copies[1])
@@ -112,7 +122,7 @@ def view_roundtrip(spark, sf_dir):
 
 def dashboard_scatter(spark, sf_dir):
     """The dashboard's post views written and the verbosity view read back."""
-    folder = S.staging_path(spark, "dashboard")
+    folder = staging_path(spark, "dashboard")
     facts = dashboard.stage_facts(S.posts(spark, sf_dir, ("DATE", "TEXT")), S.labels(spark, sf_dir))
     named = facts.withColumn("subject_id", F.col("subject_id").cast("string"))
     dashboard.write_views(dashboard.post_views(named), folder)
@@ -268,6 +278,21 @@ def subject_corpus(spark, sf_dir):
     return corpus.subject_corpus(turns, ("conv_id",), pos="turn")
 
 
+def subject_corpus_segments(spark, sf_dir):
+    """The same in segments of four turns."""
+    turns = S.table(spark, sf_dir, "conversations")
+    return corpus.subject_corpus(turns, ("conv_id",), pos="turn", posts_per_segment=4)
+
+
+def subject_corpus_records(spark, sf_dir):
+    """A third of the conversations are records of one subject, in which turns start anew."""
+    turns = S.table(spark, sf_dir, "conversations")
+    owner = F.when(F.col("conv_id") % 3 == 0, F.lit(-1)).otherwise(F.col("conv_id")).alias("subject_id")
+    return corpus.subject_corpus(
+        turns.select(owner, "conv_id", "turn", "text"), ("subject_id",), pos="turn", posts_per_segment=4, record=("conv_id",)
+    )
+
+
 def _counts(spark, sf_dir):
     docs = S.documents(spark, sf_dir)
     return terms.text_term_counts(docs, ["doc_id"], stop_words=text.english_stop_words())
@@ -307,15 +332,15 @@ def idf(spark, sf_dir):
 
 
 def tfidf(spark, sf_dir):
-    """Whole documents as rows: the vocabulary comes first, then every row counts its words."""
-    weights = stage(terms.idf(*_vocabulary(spark, sf_dir)), S.staging_path(spark, "idf"))
-    vocab_words = [row.word for row in weights.collect()]
-    counts = terms.row_term_counts(S.documents(spark, sf_dir), ["doc_id"], vocab_words)
+    """Texts are tokenized and counted once; the stored counts give the vocabulary and the weights."""
+    n_docs = terms.document_count(S.table(spark, sf_dir, "documents"))
+    counts = stage(_counts(spark, sf_dir), staging_path(spark, "term-counts"))
+    weights = terms.idf(terms.vocabulary(terms.word_statistics(counts), n_docs), n_docs)
     return _rounded(terms.tfidf(counts, weights), "idf", "tfidf")
 
 
 def tfidf_of_counts(spark, sf_dir):
-    """The same from term counts, as documents of several rows need it."""
+    """The same without a stored table."""
     n_docs = terms.document_count(S.table(spark, sf_dir, "documents"))
     counts = _counts(spark, sf_dir)
     weights = terms.idf(terms.vocabulary(terms.word_statistics(counts), n_docs), n_docs)
@@ -354,14 +379,14 @@ def classification_metrics(spark, sf_dir):
 
 
 def similar_vectors(spark, sf_dir):
-    vectors = S.table(spark, sf_dir, "embeddings", "vec_id")
+    vectors = S.table(spark, sf_dir, "embeddings")
     seeds = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
     near = similarity.similar_vectors(vectors, seeds, 10, key="vec_id", vector="embedding")
     return near.withColumn("similarity", F.round("similarity", 5))
 
 
 def best_neighbours(spark, sf_dir):
-    vectors = S.table(spark, sf_dir, "embeddings", "vec_id")
+    vectors = S.table(spark, sf_dir, "embeddings")
     seeds = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
     near = similarity.similar_vectors(
         vectors, seeds, 10, min_similarity=0.2, key="vec_id", vector="embedding"
@@ -371,9 +396,13 @@ def best_neighbours(spark, sf_dir):
 
 
 def _scored(predictions):
-    probability = F.get(vector_to_array("probability"), F.lit(1))
+    """Whether each prediction is that of the larger probability, and all lie within [0, 1]."""
+    p = vector_to_array("probability")
     return predictions.select(
-        "subject_id", "label", "prediction", F.round(probability, DIGITS).alias("probability_1")
+        "subject_id",
+        "label",
+        (F.col("prediction") == (p[1] > p[0]).cast("double")).alias("agrees"),
+        F.forall(p, lambda x: (x >= 0) & (x <= 1)).alias("in_range"),
     )
 
 
@@ -385,35 +414,63 @@ def rf_predictions(spark, sf_dir):
     return _scored(embedding_classifier.fit(S.training_posts(spark, sf_dir)).predictions())
 
 
+def _judged(predictions):
+    """The metrics' names and ranges, with the number of subjects they were computed on."""
+    matrix = stage(evaluate.confusion(predictions), staging_path(predictions.sparkSession, "confusion"))
+    n_test = matrix.agg(F.sum("count")).scalar()
+    return evaluate.classification_metrics(matrix).select(
+        "metric_name", n_test.alias("n_test"), F.col("value").between(0, 1).alias("in_range")
+    )
+
+
 def lr_metrics(spark, sf_dir):
-    predicted = tfidf_classifier.fit(S.training_posts(spark, sf_dir)).predictions()
-    return evaluate.classification_metrics(evaluate.confusion(predicted))
+    return _judged(tfidf_classifier.fit(S.training_posts(spark, sf_dir)).predictions())
 
 
 def rf_metrics(spark, sf_dir):
-    predicted = embedding_classifier.fit(S.training_posts(spark, sf_dir)).predictions()
-    return evaluate.classification_metrics(evaluate.confusion(predicted))
+    return _judged(embedding_classifier.fit(S.training_posts(spark, sf_dir)).predictions())
 
 
 def doc_embedding(spark, sf_dir):
-    fitted = embedding_classifier.fit(S.training_posts(spark, sf_dir))
-    vectors = fitted.train.unionByName(fitted.test)
-    return vectors.select(
-        "subject_id", "label", "is_train", vector_to_array("features").alias("embedding")
+    """Subjects' vectors next to the plain means of their words' vectors: ``differs`` counts components."""
+    posts = S.training_posts(spark, sf_dir)
+    word2vec, table = embedding_classifier.features(posts)
+    vectors = embedding_classifier.vector_table(word2vec)
+    keys = ["subject_id", "label", "is_train"]
+    counts = stage(tfidf_classifier.role_counts(posts), staging_path(spark, "term-counts"))
+    sizes = counts.groupBy(*keys).agg(F.sum(F.when(F.col("word").isNotNull(), F.col("n")).otherwise(0)).alias("n_words"))
+    sums = (
+        counts.join(vectors, "word")
+        .select(*keys, "n", F.posexplode("vector").alias("i", "x"))
+        .groupBy(*keys, "i")
+        .agg(F.sum(F.col("n") * F.col("x")).alias("x"))
     )
+    own = table.select(*keys, F.posexplode(vector_to_array("features")).alias("i", "y"))
+    both = own.join(sizes, keys).join(sums, [*keys, "i"], "left")
+    mean = F.coalesce(F.try_divide("x", "n_words"), F.lit(0.0))
+    return both.groupBy(*keys, "n_words").agg(F.count_if(F.abs(F.col("y") - mean) > 1e-6).alias("differs"))
 
 
 def model_save_load(spark, sf_dir):
-    """Test predictions of the fitted and of the saved and loaded model, compared."""
-    fitted = tfidf_classifier.fit(S.training_posts(spark, sf_dir))
-    path = S.staging_path(spark, "model")
-    fitted.model.write().overwrite().save(path)
-    loaded = fitted._replace(model=PipelineModel.load(path))
-    before = fitted.predictions().select("subject_id", "label", F.col("prediction").alias("before"))
-    after = loaded.predictions().select("subject_id", "label", F.col("prediction").alias("after"))
-    return before.join(after, ["subject_id", "label"]).agg(
-        F.count("*").alias("n_test"), F.count_if(F.col("before") != F.col("after")).alias("n_changed")
-    )
+    """Test predictions of each fitted model, and of the saved and loaded one from the posts themselves."""
+    posts = S.training_posts(spark, sf_dir)
+    test = roles.train_and_test(posts).where("not is_train").select("subject_id", "label", "text")
+    rows = []
+    for name, plan in (("tfidf", tfidf_classifier), ("embedding", embedding_classifier)):
+        fitted = plan.fit(posts)
+        path = staging_path(spark, "model")
+        fitted.model.write().overwrite().save(path)
+        loaded = plan.predict(PipelineModel.load(path), test)
+        before = fitted.predictions().select("subject_id", "label", F.col("prediction").alias("before"))
+        after = loaded.select("subject_id", "label", F.col("prediction").alias("after"))
+        rows.append(
+            before.join(after, ["subject_id", "label"]).agg(
+                F.lit(name).alias("model"),
+                F.count("*").alias("n_test"),
+                F.count_if(F.col("before") != F.col("after")).alias("n_changed"),
+            )
+        )
+    return rows[0].unionByName(rows[1])
 
 
 def model_roles(spark, sf_dir):
@@ -424,9 +481,9 @@ def model_roles(spark, sf_dir):
 
 def count_vectors(spark, sf_dir):
     """The classifier's sparse term-count vectors, one row per entry."""
-    fitted = tfidf_classifier.fit(S.training_posts(spark, sf_dir))
+    features = tfidf_classifier.features(S.training_posts(spark, sf_dir))
     vector = F.unwrap_udt("raw_features")
-    return fitted.train.unionByName(fitted.test).select(
+    return features.table.select(
         "subject_id",
         "label",
         "is_train",
@@ -435,37 +492,49 @@ def count_vectors(spark, sf_dir):
 
 
 def model_vocabulary(spark, sf_dir):
-    fitted = tfidf_classifier.fit(S.training_posts(spark, sf_dir))
-    return tfidf_classifier.model_vocabulary(fitted.model, spark)
+    features = tfidf_classifier.features(S.training_posts(spark, sf_dir))
+    return tfidf_classifier.vocabulary_table(features.vocabulary, spark)
+
+
+def _word_vectors(spark, posts):
+    return embedding_classifier.vector_table(embedding_classifier.fit_words(embedding_classifier.token_posts(posts)))
+
+
+def word2vec_vocabulary(spark, sf_dir):
+    """The words that get a vector."""
+    return _word_vectors(spark, S.training_posts(spark, sf_dir)).select("word")
 
 
-def _word_model(spark, sf_dir):
-    """A fitted model, and as seeds the seven most frequent report words that it knows.
+def similar_words(spark, sf_dir):
+    """How many neighbours each seed has, and whether their similarities are cosines.
 
-    The given texts are invented prose, so the usual seed words do not occur in them.
+    The given texts are invented prose, so the usual seed words do not occur in them; the
+    seven most frequent report words that have a vector stand for them.
     """
     posts = S.training_posts(spark, sf_dir)
-    fitted = embedding_classifier.fit(posts)
+    vectors = stage(_word_vectors(spark, posts), staging_path(spark, "word-vectors"))
     seeds = (
         words.word_frequency(posts)
-        .join(embedding_classifier.word_vectors(fitted.model).select("word"), "word", "left_semi")
+        .join(vectors.select("word"), "word", "left_semi")
         .groupBy("word")
         .agg(F.sum("count").alias("n"))
         .orderBy(F.desc("n"), "word")
         .limit(7)
     )
-    return fitted.model, seeds
-
-
-def similar_words(spark, sf_dir):
-    model, seeds = _word_model(spark, sf_dir)
-    return dashboard.semantic_view(embedding_classifier.similar_words(model, seeds))
+    near = similarity.similar_vectors(vectors, seeds, embedding_classifier.NEIGHBOURS_PER_SEED, key="word")
+    return near.groupBy("seed").agg(
+        F.count_distinct("word").alias("n_neighbours"),
+        F.count_if((F.abs("similarity") > 1 + 1e-9) | (F.col("word") == F.col("seed"))).alias("n_odd"),
+    )
 
 
 def similar_words_top20(spark, sf_dir):
-    model, seeds = _word_model(spark, sf_dir)
-    view = dashboard.semantic_view(embedding_classifier.similar_words(model, seeds))
-    return similarity.strongest(view)
+    """The chart's rows over the given vectors: neighbours of one seed per label, strongest last."""
+    vectors = S.table(spark, sf_dir, "embeddings")
+    seeds = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    near = similarity.similar_vectors(vectors, seeds, 10, key="vec_id", vector="embedding")
+    best = similarity.best_neighbours(near, "vec_id", 50)
+    return similarity.strongest(best, "vec_id").withColumn("similarity", F.round("similarity", 5))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -509,6 +578,8 @@ QUERIES: dict[str, Query] = {
         top_words_antijoin,
         word_frequency,
         subject_corpus,
+        subject_corpus_segments,
+        subject_corpus_records,
         term_counts,
         token_counts,
         vocabulary,
@@ -531,6 +602,7 @@ QUERIES: dict[str, Query] = {
         model_roles,
         count_vectors,
         model_vocabulary,
+        word2vec_vocabulary,
         similar_words,
         similar_words_top20,
     )

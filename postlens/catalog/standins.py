@@ -6,7 +6,6 @@ subject = document, writing = line of its text, label = ``labels.toxic``, postin
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,12 +19,12 @@ from postlens.sources.subjects import WRITING_FIELDS
 from postlens.sources.tables import read_table
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", spread_by)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents", "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def _date_text(pos: Column) -> Column:
@@ -76,7 +75,7 @@ def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled posts with normalized text, stored for the passes that a fit makes."""
-    return staging.stage(normalized_text(labelled(spark, sf_dir)), staging_path(spark, "posts"))
+    return staging.stage(normalized_text(labelled(spark, sf_dir)), staging.staging_path(spark, "posts"))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +90,3 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("subject_id"), F.col("ts").alias("date")
     )
-
-
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder; a local session without one gets a new folder of its own."""
-    conf = "spark.checkpoint.dir"
-    unset = not (spark.conf.get(conf, None) or spark.sparkContext.getCheckpointDir())
-    if unset and spark.sparkContext.master.startswith("local"):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return staging.staging_path(spark, name)

@@ -1,4 +1,4 @@
-"""Text and tokens per subject, in segments of a bounded number of posts."""
+"""Text per subject, in segments of a bounded number of posts."""
 
 from __future__ import annotations
 
@@ -25,28 +25,17 @@ def subject_corpus(
     pos: str = "pos",
     col: str = "text",
     posts_per_segment: int = POSTS_PER_SEGMENT,
+    record: Sequence[str] = (),
 ) -> DataFrame:
-    """Texts joined by spaces in the order of ``pos``: ``(*keys, segment, all_text)``.
-
-    A subject of up to ``posts_per_segment`` posts is one row, segment 0.  A longer one
-    continues in further segments, so that no row or task has to hold an unbounded
-    subject; the segments in order are the whole text.  NULL texts are skipped, and a
-    group of NULLs only gives ``''``.  ``pos`` must be unique per subject; add what tells
-    records apart, such as ``chunk``, to ``keys`` if it is not.
+    """Texts joined by spaces in the order of ``pos``: ``(*keys, *record, segment, all_text)``.
+
+    ``record`` names the columns that tell a subject's records apart where ``pos`` starts
+    anew in each (``plans.etl.RECORD`` for posts read from XML); every record has segments
+    of its own.  A record of up to ``posts_per_segment`` posts is one row, segment 0.  A
+    longer one continues in further segments, so that no row or task has to hold an
+    unbounded subject; the segments in order are the whole text.  NULL texts are skipped,
+    and a group of NULLs only gives ``''``.
     """
-    return posts.groupBy(*keys, _segment(pos, posts_per_segment)).agg(
+    return posts.groupBy(*keys, *record, _segment(pos, posts_per_segment)).agg(
         F.concat_ws(" ", _in_order(pos, col)).alias("all_text")
     )
-
-
-def segment_tokens(
-    posts: DataFrame,
-    keys: Sequence[str] = ("subject_id", "label"),
-    pos: str = "pos",
-    col: str = "words",
-    posts_per_segment: int = POSTS_PER_SEGMENT,
-) -> DataFrame:
-    """Token arrays of a segment's posts, end to end: ``(*keys, segment, <col>)``."""
-    return posts.groupBy(*keys, _segment(pos, posts_per_segment)).agg(
-        F.flatten(_in_order(pos, col)).alias(col)
-    )

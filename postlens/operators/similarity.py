@@ -2,20 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The seed words of the similar-words view.
 SEED_WORDS = ("depression", "anxiety", "sadness", "tired", "help", "pain", "empty")
 
-# The seeds' vectors travel with the plan, so there must be few.
-MAX_SEEDS = 10_000
+# Seeds whose vectors travel to the tasks at a time.
+SEED_BLOCK = 4096
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+def _matrix(vectors: pa.Array) -> np.ndarray:
+    """Unit vectors as rows; the given ones have one length."""
+    rows = np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), -1)
+    return rows / np.sqrt((rows**2).sum(axis=1, keepdims=True))
+
+
+def _usable(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """``(_key, _vec)`` of vectors that have a direction: no null component, not zero."""
+    vec = F.col(vector).cast("array<double>")
+    known = F.forall(vec, lambda x: x.isNotNull()) & F.exists(vec, lambda x: x != 0)
+    return df.select(F.col(key).alias("_key"), vec.alias("_vec")).where(F.col("_key").isNotNull() & known)
+
+
+def _block_neighbours(rows: DataFrame, seeds: list, k: int, key_type: str) -> DataFrame:
+    """Per task batch, the ``k`` nearest rows of each seed: ``(seed, _key, similarity)``."""
+    by_length: dict[int, list] = {}
+    for seed in seeds:
+        by_length.setdefault(len(seed._vec), []).append(seed)
+    tables = {
+        n: ([s._key for s in own], _matrix(pa.array([list(s._vec) for s in own]))) for n, own in by_length.items()
+    }
+    sent = rows.sparkSession.sparkContext.broadcast(tables)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = np.asarray(pc.list_value_length(batch.column("_vec")))
+            for n, (names, table) in sent.value.items():
+                part = batch.filter(pa.array(lengths == n))
+                if not len(part):
+                    continue
+                keys = part.column("_key")
+                # Ties go to the smaller key, so rows are in its order when the best are cut.
+                order = pc.sort_indices(keys)
+                keys, vectors = keys.take(order), _matrix(part.column("_vec").take(order))
+                score = table @ vectors.T
+                listed = {name: i for i, name in enumerate(keys.to_pylist())}
+                for i, name in enumerate(names):
+                    if name in listed:
+                        score[i, listed[name]] = -np.inf
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                own = np.take_along_axis(score, best, axis=1)
+                seed, place = np.nonzero(np.isfinite(own))
+                found = [names[i] for i in seed]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, keys.type), keys.take(pa.array(best[seed, place])), pa.array(own[seed, place])],
+                    ["seed", "_key", "similarity"],
+                )
+
+    return rows.mapInArrow(work, f"seed {key_type}, _key {key_type}, similarity double")
 
 
 def similar_vectors(
@@ -28,48 +78,24 @@ def similar_vectors(
 ) -> DataFrame:
     """The ``k`` nearest neighbours of every seed, ties by key: ``(seed, <key>, similarity)``.
 
-    ``seeds`` lists keys of ``vectors``, or is a table with that column; more than
-    ``MAX_SEEDS`` of them raise.  A seed that
-    has no vector gives no row and no error, and a seed is not its own neighbour; neither
-    is a zero vector.  The seeds' vectors reach the scan as one scalar subquery value, whose size is set by
-    the number of seeds; the big side is scanned once and never shuffled whole, since the
-    rank filter keeps ``k`` rows per seed in each task.
+    ``seeds`` lists keys of ``vectors``, or is a table with that column; keys are unique.  A
+    seed that has no vector gives no row and no error, and a seed is not its own neighbour;
+    neither is a zero vector, or one of another length.  The seeds are the query set: their
+    vectors are read in blocks of ``SEED_BLOCK``, each of which meets all vectors in one
+    scan, as a matrix product per batch that keeps ``k`` rows per seed.
     """
-    rows = vectors.select(F.col(key).alias("_key"), F.col(vector).cast("array<double>").alias("_vec"))
+    rows = _usable(vectors, key, vector)
+    key_type = rows.schema["_key"].dataType.simpleString()
     if isinstance(seeds, DataFrame):
         chosen = rows.join(seeds.select(F.col(key).alias("_key")), "_key", "left_semi")
     else:
         chosen = rows.where(F.col("_key").isin(list(seeds)))
-    norm = F.sqrt(_dot(F.col("_vec"), F.col("_vec"))).alias("_norm")
-    found = F.collect_list(F.struct("_key", "_vec", norm))
-    table = (
-        chosen.limit(MAX_SEEDS + 1)
-        .agg(found.alias("seeds"))
-        .select(
-            F.when(
-                F.size("seeds") > MAX_SEEDS, F.raise_error(F.lit(f"more than {MAX_SEEDS} seeds"))
-            ).otherwise(F.col("seeds"))
-        )
-        .scalar()
-    )
-    scored = (
-        rows.select("*", norm, table.alias("_seeds"))
-        .select(
-            "_key",
-            F.inline(
-                F.transform(
-                    "_seeds",
-                    lambda s: F.struct(
-                        s["_key"].alias("seed"),
-                        F.try_divide(
-                            _dot(F.col("_vec"), s["_vec"]), F.col("_norm") * s["_norm"]
-                        ).alias("similarity"),
-                    ),
-                )
-            ),
-        )
-        .where((F.col("_key") != F.col("seed")) & F.col("similarity").isNotNull())
-    )
+    blocks = chosen.count() // SEED_BLOCK + 1
+    number = F.pmod(F.xxhash64("_key"), F.lit(blocks))
+    scored = None
+    for block in range(blocks):
+        own = _block_neighbours(rows, chosen.where(number == block).collect(), k, key_type)
+        scored = own if scored is None else scored.unionAll(own)
     if min_similarity is not None:
         scored = scored.where(F.col("similarity") >= min_similarity)
     nearest = Window.partitionBy("seed").orderBy(F.desc("similarity"), "_key")

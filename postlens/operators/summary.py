@@ -84,7 +84,7 @@ def kpi_cards(kpi_row: DataFrame, metrics: DataFrame, metric: str = "f1_score")
     return kpi_row.withColumn(metric, F.coalesce(value, F.lit(0.0)))
 
 
-def subject_verbosity(totals: DataFrame, n: int = 1000) -> DataFrame:
-    """Mean word count of a subject's posts, first ``n`` by id: ``(subject_id, label, avg_len)``."""
-    mean = F.try_divide("words", "counted").alias("avg_len")
-    return totals.select("subject_id", "label", mean).orderBy("subject_id", "label").limit(n)
+def subject_verbosity(totals: DataFrame, n: int | None = None) -> DataFrame:
+    """Mean word count of every subject's posts: ``(subject_id, label, avg_len)``; with ``n``, the first by id."""
+    rows = totals.select("subject_id", "label", F.try_divide("words", "counted").alias("avg_len"))
+    return rows if n is None else rows.orderBy("subject_id", "label").limit(n)

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from postlens.functions import text
 
-# A vocabulary up to this size is broadcast: some 100 bytes per row, 20 MB at most.
-BROADCAST_WORDS = 200_000
-
 
 def _wanted(stop_words: Sequence[str]) -> Column:
     """Whether ``word`` is a word, and none of ``stop_words``."""
@@ -106,6 +103,7 @@ def row_term_counts(
     """Counts of vocabulary words, every row being a whole document: ``(*keys, word, n)``.
 
     The counting is the row-local ``CountVectorizerModel``, so nothing is shuffled.
+    ``vocab_words`` is a list of a model's size (``vocab_size``), and is sent to the tasks.
     """
     lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
     model = CountVectorizerModel.from_vocabulary(
@@ -117,7 +115,7 @@ def row_term_counts(
         *keys, F.inline(F.arrays_zip(vector["indices"].alias("index"), vector["values"].alias("n")))
     )
     vocab = docs.sparkSession.createDataFrame(list(enumerate(vocab_words)), "index int, word string")
-    return entries.join(small_side(vocab, len(vocab_words)), "index").select(
+    return entries.join(F.broadcast(vocab), "index").select(
         *keys, "word", F.col("n").cast("bigint").alias("n")
     )
 
@@ -125,11 +123,11 @@ def row_term_counts(
 def vocabulary(
     statistics: DataFrame,
     n_docs: DataFrame,
-    size: int = 5000,
+    size: int | None = None,
     min_df: float = 5.0,
     max_df: float = 0.75,
 ) -> DataFrame:
-    """The ``size`` most frequent words whose ``df`` lies within both bounds: ``(word, df, n)``.
+    """The words whose ``df`` lies within both bounds: ``(word, df, n)``; with ``size``, the most frequent of them.
 
     ``statistics`` is the result of :func:`word_statistics` or :func:`row_word_statistics`.
     Bounds are inclusive.  From 1 up they are document counts, below 1 a share of all
@@ -138,11 +136,8 @@ def vocabulary(
     docs = n_docs.scalar()
     low = F.lit(min_df) if min_df >= 1 else docs * min_df
     high = F.lit(max_df) if max_df >= 1 else docs * max_df
-    return (
-        statistics.where((F.col("df") >= low) & (F.col("df") <= high))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-    )
+    rows = statistics.where((F.col("df") >= low) & (F.col("df") <= high))
+    return rows if size is None else rows.orderBy(F.desc("n"), "word").limit(size)
 
 
 def vocabulary_head_tail(vocab: DataFrame, n: int = 10) -> DataFrame:
@@ -161,16 +156,6 @@ def idf(vocab: DataFrame, n_docs: DataFrame) -> DataFrame:
     return vocab.select("word", "df", idf_weight(F.col("df"), n_docs.scalar()).alias("idf"))
 
 
-def small_side(vocab: DataFrame, size: int) -> DataFrame:
-    """Broadcast a vocabulary whose row limit proves it small; else leave the join to Spark."""
-    return F.broadcast(vocab) if size <= BROADCAST_WORDS else vocab
-
-
-def tfidf(counts: DataFrame, weights: DataFrame, size: int = 5000) -> DataFrame:
-    """Counts of vocabulary words, weighted: adds ``idf`` and ``tfidf``.
-
-    ``weights`` is the result of :func:`idf` for a vocabulary of at most ``size`` words.
-    """
-    return counts.join(small_side(weights.select("word", "idf"), size), "word").withColumn(
-        "tfidf", F.col("n") * F.col("idf")
-    )
+def tfidf(counts: DataFrame, weights: DataFrame) -> DataFrame:
+    """Counts of vocabulary words, weighted by the result of :func:`idf`: adds ``idf`` and ``tfidf``."""
+    return counts.join(weights.select("word", "idf"), "word").withColumn("tfidf", F.col("n") * F.col("idf"))

@@ -12,15 +12,14 @@ from postlens.operators.posts import label_posts
 from postlens.sources.staging import stage, staging_path
 from postlens.sources.views import VIEWS, dashboard_path, write_view
 
-# Rows of the verbosity view.
-SCATTER_ROWS = 1000
-
 _ORDER = {
     "dashboard_time_dep": ("day", "hour"),
     "dashboard_time_ctrl": ("day", "hour"),
-    "dashboard_scatter": ("subject_id", "label"),
 }
 
+# One row per subject, so written by as many tasks as compute it.
+_LARGE = ("dashboard_scatter",)
+
 
 def post_facts(posts: DataFrame) -> DataFrame:
     """What the views need of a post, without its text: ``(subject_id, [label], date, word_count)``."""
@@ -41,14 +40,14 @@ def stage_facts(posts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 
 def post_views(facts: DataFrame) -> dict[str, DataFrame]:
-    """The views that need posts only; each holds at most 1000 rows."""
+    """The views that need posts only; the verbosity view has a row per subject, the others few."""
     cells = A.activity(facts)
     totals = summary.subject_totals(facts)
     return {
         "dashboard_kpi": summary.kpi(totals),
         "dashboard_time_dep": A.heatmap(cells, 1),
         "dashboard_time_ctrl": A.heatmap(cells, 0),
-        "dashboard_scatter": summary.subject_verbosity(totals, SCATTER_ROWS),
+        "dashboard_scatter": summary.subject_verbosity(totals),
     }
 
 
@@ -71,4 +70,4 @@ def write_views(views: dict[str, DataFrame], folder: str) -> None:
         fmt = VIEWS[name][0]
         by_similarity = (F.desc("similarity"), "word")
         order = by_similarity if name == "dashboard_semantic_words" else _ORDER.get(name, ())
-        write_view(df, dashboard_path(folder, name), fmt, order)
+        write_view(df, dashboard_path(folder, name), fmt, order, single=name not in _LARGE)

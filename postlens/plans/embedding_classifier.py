@@ -8,15 +8,15 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions import text
-from postlens.operators import corpus, similarity
+from postlens.operators import similarity
 from postlens.plans import roles
-from postlens.plans.tfidf_classifier import text_stages
+from postlens.plans.tfidf_classifier import post_words, text_stages
 from postlens.sources.staging import stage, staging_path
 
 # Model parameters.
@@ -25,6 +25,10 @@ MIN_COUNT = 5
 NUM_TREES = 30
 NEIGHBOURS_PER_SEED = 10
 
+# Tasks that train word vectors side by side and average them.  The model depends on it, so
+# it is not taken from the cluster.
+NUM_PARTITIONS = 8
+
 SEED = 42
 
 
@@ -60,20 +64,19 @@ def w2v_rf_pipeline(
     )
 
 
-def subject_vectors(model: Word2VecModel, segments: DataFrame) -> DataFrame:
-    """One vector per subject: the mean of its words' vectors, unknown words as zero.
+def subject_vectors(vectors: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(*keys, features)``: the mean of a subject's words' vectors, unknown words as zero.
 
-    The model gives a segment's mean; weighted by the segments' lengths these add up to
-    the subject's mean.  The tiny weight of an empty segment only matters to a subject
-    without any word, which gets the zero vector.
+    ``vectors (word, vector)`` meets ``counts (*keys, word, n)`` in a join that Spark plans
+    by size; sums are partial before the shuffle by subject.  The tiny weight of word NULL
+    only matters to a subject without any word, which gets the zero vector.
     """
-    length = F.size("filtered")
-    weight = F.when(length > 0, length.cast("double")).otherwise(F.lit(1e-300))
-    return (
-        model.transform(segments.withColumn("_weight", weight))
-        .groupBy("subject_id", "label", "is_train")
-        .agg(Summarizer.mean(F.col("features"), F.col("_weight")).alias("features"))
-    )
+    keys = [c for c in counts.columns if c not in ("word", "n")]
+    size = vectors.select(F.max(F.size("vector")).alias("size")).scalar()
+    known = F.coalesce("vector", F.array_repeat(F.lit(0.0), F.coalesce(size, F.lit(0))))
+    weight = F.when(F.col("word").isNull(), F.lit(1e-300)).otherwise(F.col("n").cast("double"))
+    rows = counts.join(vectors, "word", "left").select(*keys, array_to_vector(known).alias("_v"), weight.alias("_w"))
+    return rows.groupBy(*keys).agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("features"))
 
 
 class Fitted(NamedTuple):
@@ -86,19 +89,53 @@ class Fitted(NamedTuple):
         return self.model.stages[-1].transform(self.test)
 
 
-def token_segments(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
-    """``(subject_id, label, is_train, segment, filtered)`` of training and test subjects.
+def token_posts(
+    labelled: DataFrame, train_fraction: float = 0.8, max_subjects: int = roles.MAX_TRAINING_SUBJECTS
+) -> DataFrame:
+    """``(subject_id, label, is_train, filtered)`` of every post of training and test subjects, stored.
 
-    Where posts tell their ``chunk`` and ``file``, ``pos`` counts within them.
+    Rows of a file are in a fixed order, so that training on them can be repeated.
     """
-    stops = text.english_stop_words()
-    keys = ["subject_id", "label", "is_train"] + [c for c in ("chunk", "file") if c in labelled.columns]
-    tokenized = roles.train_and_test(labelled, train_fraction).select(
-        *keys,
-        "pos",
-        text.tokens(F.col("text"), stop_words=stops).alias("filtered"),
-    )
-    return corpus.segment_tokens(tokenized, keys, col="filtered")
+    order = ["subject_id", *[c for c in ("chunk", "file", "record") if c in labelled.columns], "pos"]
+    chosen = roles.bounded_training(roles.train_and_test(labelled, train_fraction), max_subjects)
+    words = text.tokens(F.col("text"), stop_words=text.english_stop_words()).alias("filtered")
+    rows = chosen.select(*dict.fromkeys(["subject_id", "label", "is_train", *order]), words)
+    return stage(rows, staging_path(labelled.sparkSession, "token-posts"), sort_by=order)
+
+
+def fit_words(
+    tokens: DataFrame,
+    vector_size: int = VECTOR_SIZE,
+    min_count: int = MIN_COUNT,
+    num_partitions: int = NUM_PARTITIONS,
+) -> Word2VecModel:
+    """Word vectors of the training posts; every post is a sentence, so nothing is regrouped."""
+    return _word2vec(vector_size, min_count, num_partitions).fit(tokens.where("is_train"))
+
+
+class Features(NamedTuple):
+    """The word vectors' model and ``(subject_id, label, is_train, features)``, stored."""
+
+    word2vec: Word2VecModel
+    table: DataFrame
+
+
+def features(
+    labelled: DataFrame,
+    vector_size: int = VECTOR_SIZE,
+    min_count: int = MIN_COUNT,
+    num_partitions: int = NUM_PARTITIONS,
+    train_fraction: float = 0.8,
+    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
+) -> Features:
+    """Vectors of the training and test subjects of posts ``(subject_id, label, pos, text)``."""
+    spark = labelled.sparkSession
+    tokens = token_posts(labelled, train_fraction, max_subjects)
+    word2vec = fit_words(tokens, vector_size, min_count, num_partitions)
+    keys = ["subject_id", "label", "is_train"]
+    counts = tokens.select(*keys, F.explode_outer("filtered").alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
+    vectors = subject_vectors(vector_table(word2vec), counts)
+    return Features(word2vec, stage(vectors, staging_path(spark, "embedding-features"), sort_by=["subject_id", "label"]))
 
 
 def fit(
@@ -106,40 +143,46 @@ def fit(
     vector_size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
     num_trees: int = NUM_TREES,
-    num_partitions: int | None = None,
+    num_partitions: int = NUM_PARTITIONS,
     train_fraction: float = 0.8,
+    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
 ) -> Fitted:
-    """Train on posts ``(subject_id, label, pos, text)``, using segments of bounded length.
+    """Train on posts ``(subject_id, label, pos, text)`` of about ``max_subjects`` subjects at most.
 
-    Word2Vec trains on ``num_partitions`` tasks, by default one per core: a single one, as
-    in Spark's default, would put the whole corpus through one task.
+    Word2Vec keeps its vocabulary on the driver; ``max_subjects`` and ``min_count`` bound it.
     """
-    spark = labelled.sparkSession
-    partitions = num_partitions or spark.sparkContext.defaultParallelism
-    cut = token_segments(labelled, train_fraction)
-    segments = stage(cut, staging_path(spark, "token-segments"), sort_by=cut.columns[:-1])
-    word2vec = _word2vec(vector_size, min_count, partitions).fit(segments.where("is_train"))
-    features = stage(
-        subject_vectors(word2vec, segments),
-        staging_path(spark, "embedding-features"),
-        sort_by=["subject_id", "label"],
-    )
-    train, test = features.where("is_train"), features.where("not is_train")
+    word2vec, table = features(labelled, vector_size, min_count, num_partitions, train_fraction, max_subjects)
+    train, test = table.where("is_train"), table.where("not is_train")
     forest = _forest(num_trees).fit(train)
     return Fitted(PipelineModel([*text_stages(), word2vec, forest]), train, test)
 
 
+def predict(model: PipelineModel, posts: DataFrame) -> DataFrame:
+    """Predictions of a fitted or loaded model for the subjects of ``posts (subject_id, text, …)``.
+
+    The result has ``subject_id``, ``label`` if the posts have it, and the model's columns.
+    """
+    vectors = subject_vectors(word_vectors(model), post_words(model, posts))
+    stored = stage(vectors, staging_path(posts.sparkSession, "predict-features"))
+    return model.stages[-1].transform(stored)
+
+
+def vector_table(word2vec: Word2VecModel) -> DataFrame:
+    """``(word, vector array<double>)``."""
+    return word2vec.getVectors().select("word", vector_to_array("vector").alias("vector"))
+
+
 def word_vectors(model: PipelineModel) -> DataFrame:
     """``(word, vector array<double>)`` of the Word2Vec stage."""
-    stage_model = next(s for s in model.stages if isinstance(s, Word2VecModel))
-    return stage_model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return vector_table(next(s for s in model.stages if isinstance(s, Word2VecModel)))
 
 
 def similar_words(
-    model: PipelineModel,
+    model: PipelineModel | Word2VecModel,
     seeds: Sequence[str] | DataFrame = similarity.SEED_WORDS,
     k: int = NEIGHBOURS_PER_SEED,
     min_similarity: float | None = None,
 ) -> DataFrame:
     """``(seed, word, similarity)``; seeds outside the vocabulary give no rows."""
-    return similarity.similar_vectors(word_vectors(model), seeds, k, min_similarity, key="word")
+    vectors = vector_table(model) if isinstance(model, Word2VecModel) else word_vectors(model)
+    return similarity.similar_vectors(vectors, seeds, k, min_similarity, key="word")

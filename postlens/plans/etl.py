@@ -13,11 +13,18 @@ from postlens.sources.labels import read_labels
 from postlens.sources.subjects import WRITING_FIELDS, read_subjects_xml
 
 
+# What tells the records of a subject apart.
+RECORD = ("chunk", "file", "record")
+
+
 def read_posts(
-    spark: SparkSession, posts_path: str | list[str], fields: Sequence[str] = WRITING_FIELDS
+    spark: SparkSession,
+    posts_path: str | list[str],
+    fields: Sequence[str] = WRITING_FIELDS,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Flat posts of XML files: ``(subject_id, chunk, file, pos, …)``, parsing only ``fields``."""
-    return P.flatten_posts(read_subjects_xml(spark, posts_path, fields), keep=("chunk", "file"))
+    """Flat posts of XML files: ``(subject_id, chunk, file, record, pos, …)``, parsing only ``fields``."""
+    return P.flatten_posts(read_subjects_xml(spark, posts_path, fields, encoding=encoding), keep=RECORD)
 
 
 def read_labelled_posts(
@@ -25,10 +32,11 @@ def read_labelled_posts(
     posts_path: str | list[str],
     labels_path: str | list[str],
     fields: Sequence[str] = WRITING_FIELDS,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """:func:`read_posts` of labelled subjects, with their label."""
-    subjects = read_subjects_xml(spark, posts_path, fields)
-    return flatten_labelled(subjects, read_labels(spark, labels_path), ("chunk", "file"))
+    subjects = read_subjects_xml(spark, posts_path, fields, encoding=encoding)
+    return flatten_labelled(subjects, read_labels(spark, labels_path), RECORD)
 
 
 def flatten_labelled(

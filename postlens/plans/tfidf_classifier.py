@@ -72,19 +72,21 @@ class Fitted(NamedTuple):
 
 
 def count_vectors(counts: DataFrame, vocab_words: list[str]) -> DataFrame:
-    """Sparse term-count vectors ``(subject_id, label, is_train, raw_features)``, as structs.
+    """Sparse term-count vectors ``(*keys, raw_features)``, as structs, from ``(*keys, word, n)``.
 
-    A subject without any vocabulary word keeps its row, with an empty vector.  A group
+    ``vocab_words`` are a model's (``vocab_size`` at most), and are sent to the tasks.  A
+    subject without any vocabulary word keeps its row, with an empty vector.  A group
     collects vocabulary words only, so its size is bounded by the vocabulary.
     """
     spark = counts.sparkSession
+    keys = [c for c in counts.columns if c not in ("word", "n")]
     vocab = spark.createDataFrame(list(enumerate(vocab_words)), "index int, word string")
     entry = F.when(
         F.col("index").isNotNull(), F.struct("index", F.col("n").cast("double").alias("value"))
     )
     rows = (
-        counts.join(terms.small_side(vocab, len(vocab_words)), "word", "left")
-        .groupBy("subject_id", "label", "is_train")
+        counts.join(F.broadcast(vocab), "word", "left")
+        .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     )
     vector = F.struct(
@@ -93,7 +95,7 @@ def count_vectors(counts: DataFrame, vocab_words: list[str]) -> DataFrame:
         F.col("entries.index").alias("indices"),
         F.col("entries.value").alias("values"),
     )
-    return rows.select("subject_id", "label", "is_train", vector.alias("raw_features"))
+    return rows.select(*keys, vector.alias("raw_features"))
 
 
 def _vector_schema(df: DataFrame) -> T.StructType:
@@ -121,22 +123,30 @@ def role_counts(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     )
 
 
-def fit(
+class Features(NamedTuple):
+    """The vocabulary, most frequent word first, and ``(subject_id, label, is_train, raw_features)``, stored."""
+
+    vocabulary: list[str]
+    table: DataFrame
+
+
+def features(
     labelled: DataFrame,
     vocab_size: int = VOCAB_SIZE,
     min_df: float = MIN_DF,
     max_df: float = MAX_DF,
-    max_iter: int = MAX_ITER,
     train_fraction: float = 0.8,
-) -> Fitted:
-    """Train on posts ``(subject_id, label, text)``; no subject's text is ever put in one row.
+    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
+) -> Features:
+    """Vectors of posts ``(subject_id, label, text)``; no subject's text is ever put in one row.
 
     Two tables are staged: the term counts, so that the posts are read and tokenized once,
-    and the vectors, which the iterations of the fit read.  Only the vocabulary, bounded
+    and the vectors, which the iterations of a fit read.  Only the vocabulary, bounded
     by ``vocab_size``, reaches the driver, as it does in ``CountVectorizer``.
     """
     spark = labelled.sparkSession
     counts = stage(role_counts(labelled, train_fraction), staging_path(spark, "term-counts"))
+    counts = roles.bounded_training(counts, max_subjects)
     train_counts = counts.where("is_train")
     vocab = terms.vocabulary(
         terms.word_statistics(train_counts.where(F.col("word").isNotNull())),
@@ -150,17 +160,61 @@ def fit(
         raise ValueError("no word meets the document-frequency bounds")
 
     vectors = count_vectors(counts, vocab_words)
-    features = stage(
+    table = stage(
         vectors, staging_path(spark, "tfidf-features"), _vector_schema(vectors), ["subject_id", "label"]
     )
-    train, test = features.where("is_train"), features.where("not is_train")
+    return Features(vocab_words, table)
+
 
+def fit(
+    labelled: DataFrame,
+    vocab_size: int = VOCAB_SIZE,
+    min_df: float = MIN_DF,
+    max_df: float = MAX_DF,
+    max_iter: int = MAX_ITER,
+    train_fraction: float = 0.8,
+    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
+) -> Fitted:
+    """Train on posts ``(subject_id, label, text)`` of about ``max_subjects`` subjects at most."""
+    vocab_words, table = features(labelled, vocab_size, min_df, max_df, train_fraction, max_subjects)
+    train, test = table.where("is_train"), table.where("not is_train")
     vectorizer = CountVectorizerModel.from_vocabulary(vocab_words, **_count_vectorizer_params())
     weights = Pipeline(stages=_weight_stages(max_iter)).fit(train)
     return Fitted(PipelineModel([*text_stages(), vectorizer, *weights.stages]), train, test)
 
 
+def post_words(model: PipelineModel, posts: DataFrame) -> DataFrame:
+    """``(subject_id, [label], word, n)`` by the model's own tokenizer and stop words, post by post.
+
+    Word NULL stands for a post without words, so that its subject is not lost.
+    """
+    keys = ["subject_id"] + ["label"] * ("label" in posts.columns)
+    tokenizer, remover = model.stages[:2]
+    rows = posts.select(*keys, F.coalesce("text", F.lit("")).alias("all_text"))
+    done = remover.transform(tokenizer.transform(rows))
+    return done.select(*keys, F.explode_outer("filtered").alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
+
+
+def predict(model: PipelineModel, posts: DataFrame) -> DataFrame:
+    """Predictions of a fitted or loaded model for the subjects of ``posts (subject_id, text, …)``.
+
+    Counts per subject are relational, so no subject's text is put in one row.  The result
+    has ``subject_id``, ``label`` if the posts have it, and the model's columns.
+    """
+    vectorizer, *weights = model.stages[2:]
+    vectors = count_vectors(post_words(model, posts), vectorizer.vocabulary)
+    path = staging_path(posts.sparkSession, "predict-features")
+    table = stage(vectors, path, _vector_schema(vectors))
+    for step in weights:
+        table = step.transform(table)
+    return table
+
+
+def vocabulary_table(words: list[str], spark) -> DataFrame:
+    """``(index, word)``, most frequent first."""
+    return spark.createDataFrame(list(enumerate(words)), "index int, word string")
+
+
 def model_vocabulary(model: PipelineModel, spark) -> DataFrame:
     """Vocabulary of a fitted pipeline: ``(index, word)``, most frequent first."""
-    words = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
-    return spark.createDataFrame(list(enumerate(words)), "index int, word string")
+    return vocabulary_table(next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary, spark)

@@ -6,16 +6,32 @@ the parse, join and aggregation that made them.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Paths handed out within each open ``scratch``.
+_open: list[list[str]] = []
+
+# Folders of local applications without a setting.
+_local: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``, or by ``setCheckpointDir`` if that was called."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Folder named by ``spark.checkpoint.dir``, or by ``setCheckpointDir`` if that was called.
+
+    An application in one process (master ``local``) that has neither uses a folder of its
+    own; on a cluster that raises.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and context.master.partition("[")[0] == "local":
+        folder = _local.get(context.applicationId) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        _local[context.applicationId] = folder
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return folder.rstrip("/")
@@ -23,7 +39,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/postlens/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/postlens/{name}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged within the block when it ends; results must be written by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table, in whichever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage(

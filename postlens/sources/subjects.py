@@ -14,6 +14,9 @@ WRITING_FIELDS = ("TITLE", "DATE", "INFO", "TEXT")
 
 CORRUPT = "_corrupt_record"
 
+# Why a record is rejected.
+UNCLOSED, MALFORMED = "no closing tag", "not well-formed"
+
 # White space around a value is content; flattening trims the spaces of it.
 _XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
 
@@ -27,22 +30,36 @@ def subject_schema(fields: Sequence[str] = WRITING_FIELDS, corrupt: bool = False
     return schema.add(CORRUPT, T.StringType()) if corrupt else schema
 
 
-def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per ``<INDIVIDUAL>`` element, unparsed, with the file it came from.
+# What follows the name in an opening tag: its end, or white space and an attribute.  A file's
+# text in front of its first record, and longer tag names, do not continue like this.
+_TAG_GOES_ON = r"^\s*(?:/?>|[A-Za-z_:][^\s=<>]*\s*=)"
+
+
+def _records(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    """One row per opening tag: ``(text, reason, file, record)``, unparsed.
 
-    The closing tag is the record separator of a plain text scan.  The scan therefore
-    splits large files, and a malformed record cannot hide the records behind it, which
-    the whole-file XML reader loses.  The tag must be spelled without inner white space.
+    The opening tag is the record separator of a plain text scan.  The scan therefore
+    splits large files, a malformed record cannot hide the records behind it, which the
+    whole-file XML reader loses, and a record without closing tag is seen: every opening
+    tag gives a row.  ``record`` is a key of the record, made of its file and text.
     """
-    lines = spark.read.option("lineSep", f"</{ROW_TAG}>").text(path)
-    opened = f"<{ROW_TAG}"
-    return lines.where(F.instr("value", opened) > 0).select(
-        F.concat(
-            F.lit(opened),
-            F.substring_index("value", opened, -1),
-            F.lit(f"</{ROW_TAG}>"),
-        ).alias("record"),
+    pieces = spark.read.option("lineSep", f"<{ROW_TAG}").text(path)
+    value = F.col("value")
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        value = F.decode(value.cast("binary"), encoding)
+    parts = F.split(value, rf"</{ROW_TAG}\s*>", 2)
+    single = F.regexp_extract(value, r"^[^<>]*/>", 0)
+    text = (
+        F.when(F.size(parts) == 2, F.concat(F.lit(f"<{ROW_TAG}"), parts[0], F.lit(f"</{ROW_TAG}>")))
+        .when(single != "", F.concat(F.lit(f"<{ROW_TAG}"), single))
+        .otherwise(F.concat(F.lit(f"<{ROW_TAG}"), value))
+    )
+    unclosed = (F.size(parts) < 2) & (single == "")
+    return pieces.where(value.rlike(_TAG_GOES_ON)).select(
+        text.alias("text"),
+        F.when(unclosed, F.lit(UNCLOSED)).alias("reason"),
         F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path", value).alias("record"),
     )
 
 
@@ -51,27 +68,47 @@ def read_subjects_xml(
     path: str | list[str],
     fields: Sequence[str] = WRITING_FIELDS,
     corrupt: bool = False,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Subjects ``(ID, WRITING, chunk, file)`` from a path, list of paths or glob such as ``data/chunk*/*.xml``.
-
-    ``fields`` names the writing fields to parse; leave out those not needed.  Malformed
-    records are left out here and listed by :func:`subject_rejects`; with ``corrupt`` they
-    stay as rows that only fill ``_corrupt_record``.  A path that does not exist raises.
+    """Subjects ``(ID, WRITING, chunk, file, record)`` from a path, list of paths or glob such as ``data/chunk*/*.xml``.
+
+    ``fields`` names the writing fields to parse; leave out those not needed.  Malformed and
+    unclosed records are left out here and listed by :func:`subject_rejects`; with
+    ``corrupt`` they stay as rows that only fill ``_corrupt_record`` and ``reason``.  A
+    record tag spelled inside CDATA cuts the record, whose parts are then rejected.
+    ``encoding`` is one in which the tags have the same bytes as in ASCII.  A path that does
+    not exist raises.
     """
     # The generator keeps Catalyst from copying from_xml into the filters that follow it, on
     # the id or the corrupt record, each of which would parse every record again.
-    subject = F.from_xml("record", subject_schema(fields, corrupt=True), _XML_OPTIONS)
+    subject = F.from_xml("text", subject_schema(fields, corrupt=True), _XML_OPTIONS)
     chunk = F.regexp_extract("file", r"chunk(\d+)[^/]*/[^/]*$", 1).try_cast("int")
-    rows = _records(spark, path).select(
-        F.inline_outer(F.array(subject)), chunk.alias("chunk"), "file"
+    rows = _records(spark, path, encoding).select(
+        F.inline_outer(F.array(subject)), chunk.alias("chunk"), "file", "record", "reason", "text"
     )
-    return rows if corrupt else rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # A parser may accept what has no closing tag; it is rejected all the same.
+    reason = F.coalesce("reason", F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)))
+    bad = F.col("reason").isNotNull()
+    rows = rows.withColumn("reason", reason).select(
+        F.when(~bad, F.col("ID")).alias("ID"), F.when(~bad, F.col("WRITING")).alias("WRITING"),
+        "chunk", "file", "record", F.when(bad, F.col("text")).alias(CORRUPT), "reason",
+    )
+    return rows if corrupt else rows.where(F.col("reason").isNull()).drop(CORRUPT, "reason")
+
+
+def rejects(subjects: DataFrame) -> DataFrame:
+    """Of subjects read with ``corrupt``, the records that could not be read: ``(record, file, reason)``."""
+    return subjects.where(F.col("reason").isNotNull()).select(F.col(CORRUPT).alias("record"), "file", "reason")
+
+
+def accepted(subjects: DataFrame) -> DataFrame:
+    """Of subjects read with ``corrupt``, the others."""
+    return subjects.where(F.col("reason").isNull()).drop(CORRUPT, "reason")
 
 
-def subject_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records that are not well-formed XML: ``(record, file)``."""
-    rows = read_subjects_xml(spark, path, corrupt=True)
-    return rows.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("record"), "file")
+def subject_rejects(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """Records without closing tag or not well-formed: ``(record, file, reason)``."""
+    return rejects(read_subjects_xml(spark, path, corrupt=True, encoding=encoding))
 
 
 def write_subjects_xml(subjects: DataFrame, path: str) -> None:

@@ -5,15 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """A Parquet table, spread by ``spread_by`` if its scan cannot use the cluster.
-
-    Large tables have more splits than cores and are read as they are.  A table of fewer
-    splits would leave cores idle in the text work that follows its scan; it is shuffled
-    once by the given column, which must be (nearly) unique.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by is None or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, spread_by)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, read in the splits that its files and the session's settings give."""
+    return spark.read.parquet(path)

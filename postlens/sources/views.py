@@ -18,13 +18,14 @@ VIEWS = {
 }
 
 
-def write_view(df: DataFrame, path: str, fmt: str, order_by: Sequence = ()) -> None:
-    """Overwrite ``path`` with ``df`` as one file, CSV with a header or Parquet.
+def write_view(df: DataFrame, path: str, fmt: str, order_by: Sequence = (), single: bool = True) -> None:
+    """Overwrite ``path`` with ``df``, CSV with a header or Parquet; as one file if ``single``.
 
     ``repartition(1)`` and not ``coalesce(1)``: the latter would pull the computation in
-    front of it into the single writing task.  Only for results of a bounded size.
+    front of it into the single writing task.  Only for results of a bounded size; others
+    are written with ``single=False``.
     """
-    one = df.repartition(1)
+    one = df.repartition(1) if single else df
     if order_by:
         one = one.sortWithinPartitions(*order_by)
     writer = one.write.mode("overwrite")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import jobs
 from postlens.operators import evaluate
 from postlens.plans import etl
+from postlens.sources.staging import shared_folder
 from postlens.sources.subjects import write_subjects_xml
 from postlens.sources.views import VIEWS, read_dashboard_view
 
@@ -40,7 +41,9 @@ def test_preview(spark, inputs, capsys):
 
 
 def test_etl(spark, inputs, tmp_path):
-    jobs.main(["etl", *inputs[0], *inputs[1], "--out", str(tmp_path / "out")])
+    for _ in range(2):  # a second run replaces the first one's results
+        jobs.main(["etl", *inputs[0], *inputs[1], "--out", str(tmp_path / "out")])
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     done = spark.read.parquet(str(tmp_path / "out" / "posts"))
     assert done.count() == 1800
     assert set(done.first().filtered_words) & {"sad", "sunny"} and "http" not in done.first().clean_text
@@ -60,7 +63,12 @@ def test_words(spark, inputs, tmp_path):
 
 def test_tfidf(spark, inputs, tmp_path):
     out, model = str(tmp_path / "out"), str(tmp_path / "model")
+    folder = Path(shared_folder(spark).removeprefix("file:")) / "postlens"
+    before = set(folder.glob("*")) if folder.exists() else set()
     jobs.main(["tfidf", *inputs[0], *inputs[1], "--out", out, "--model", model])
+    assert set(folder.glob("*")) == before
+    imbalance = spark.read.csv(f"{out}/imbalance", header=True, inferSchema=True).first()
+    assert imbalance.n_rows == imbalance.n_class0 + imbalance.n_class1 > 200
     metrics = spark.read.csv(f"{out}/metrics", header=True, inferSchema=True).collect()
     assert {r.metric_name for r in metrics} == set(evaluate.METRICS)
     vocab = spark.read.csv(f"{out}/vocabulary", header=True, inferSchema=True).orderBy("index").collect()

@@ -122,23 +122,26 @@ def test_document_vectors_equal_the_model_on_whole_subjects(posts, embedded):
     assert all(np.allclose(r.features.toArray(), want[r.subject_id], atol=1e-9) for r in mine)
 
 
-def test_vectors_do_not_depend_on_segment_length(spark, posts, embedded):
-    from postlens.functions import text
-
-    word2vec = embedded.model.stages[2]
-    tokens = posts.withColumn("is_train", F.lit(True)).withColumn("filtered", text.tokens(F.col("text")))
-    keys = ("subject_id", "label", "is_train")
-    vectors = [
-        {
-            r.subject_id: r.features.toArray()
-            for r in embedding_classifier.subject_vectors(
-                word2vec, corpus.segment_tokens(tokens, keys, col="filtered", posts_per_segment=size)
-            ).collect()
-        }
-        for size in (3, 1024)
-    ]
-    assert vectors[0].keys() == vectors[1].keys()
-    assert all(np.allclose(vectors[0][s], vectors[1][s], atol=1e-12) for s in vectors[0])
+@pytest.mark.parametrize("which", ["tfidf", "embedded"])
+def test_prediction_from_posts(posts, request, which):
+    """New posts are scored without joining a subject's texts, with and without labels."""
+    fitted = request.getfixturevalue(which)
+    plan = tfidf_classifier if which == "tfidf" else embedding_classifier
+    test = roles.train_and_test(posts).where("not is_train").drop("is_train")
+    want = {r.subject_id: r.prediction for r in fitted.predictions().collect()}
+    got = plan.predict(fitted.model, test.drop("label"))
+    assert "label" not in got.columns
+    assert {r.subject_id: r.prediction for r in got.collect()} == want
+    assert plan.predict(fitted.model, test).select("label").distinct().count() == 2
+
+
+def test_training_subjects_are_bounded(posts):
+    chosen = roles.train_and_test(posts)
+    few = roles.bounded_training(chosen, 40)
+    count = lambda df: df.select("subject_id").distinct().count()
+    assert 20 < count(few.where("is_train")) < 60
+    assert count(few.where("not is_train")) == count(chosen.where("not is_train"))
+    assert count(roles.bounded_training(chosen)) == count(chosen)
 
 
 @pytest.mark.parametrize("which", ["tfidf", "embedded"])
@@ -167,15 +170,6 @@ def test_plain_embedding_pipeline(posts):
     assert predicted.count() == whole.where("not is_train").count()
 
 
-def test_multi_chunk_positions_do_not_mix(spark, posts):
-    """Positions that repeat in every chunk still give all tokens of a subject."""
-    parts = posts.withColumn("chunk", F.col("pos") % 3).withColumn("pos", F.floor(F.col("pos") / 3))
-    segments = embedding_classifier.token_segments(parts)
-    plain = embedding_classifier.token_segments(posts)
-    total = F.sum(F.size("filtered"))
-    assert segments.agg(total).first()[0] == plain.agg(total).first()[0]
-
-
 def test_dashboard(spark, posts, tfidf, embedded, tmp_path):
     labels = posts.select("subject_id", "label").distinct()
     facts = dashboard.stage_facts(posts.drop("label"), labels)

@@ -164,9 +164,8 @@ def test_subject_corpus(spark):
     assert cut == {("a", 0): "x y", ("a", 1): "z", ("b", 0): ""}
 
 
-def test_segments_of_a_hot_subject_stay_bounded(skewed):
-    tokens = P.tokens(skewed).withColumn("label", F.lit(1))
-    segments = corpus.segment_tokens(tokens, posts_per_segment=100)
-    sizes = segments.where("subject_id = 'hot'").select(F.size("words").alias("n")).collect()
-    assert len(sizes) == 30 and all(r.n == 100 for r in sizes)
-    assert segments.agg(F.sum(F.size("words"))).first()[0] == skewed.count()
+def test_records_of_one_subject_stay_apart(spark):
+    """Thousands of one-post records of one id, whose positions all start at 0, make no large cell."""
+    df = spark.range(5000).selectExpr("'hot' AS subject_id", "1 AS label", "id AS record", "0 AS pos", "'t' || id AS text")
+    got = corpus.subject_corpus(df, record=("record",))
+    assert got.count() == 5000 and got.where("segment = 0 AND all_text = 't' || record").count() == 5000

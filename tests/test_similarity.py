@@ -44,10 +44,15 @@ def test_unknown_seed_gives_no_rows(vectors):
     assert similarity.similar_vectors(vectors, [9999], 4).count() == 0
 
 
-def test_too_many_seeds_raise(vectors, monkeypatch):
-    monkeypatch.setattr(similarity, "MAX_SEEDS", 2)
-    with pytest.raises(Exception, match="more than 2 seeds"):
-        similarity.similar_vectors(vectors, [1, 2, 3], 1).collect()
+def test_seeds_beyond_a_block_and_other_lengths(spark, vectors, monkeypatch):
+    whole = sorted(similarity.similar_vectors(vectors, list(range(40)), 3).select("seed", "id").collect())
+    monkeypatch.setattr(similarity, "SEED_BLOCK", 7)
+    assert sorted(similarity.similar_vectors(vectors, list(range(40)), 3).select("seed", "id").collect()) == whole
+    odd = [(900, [1.0, 2.0]), (901, [2.0, 4.0]), (902, None), (903, [None] * 16)]
+    more = vectors.unionByName(spark.createDataFrame(odd, "id int, vector array<float>"))
+    got = similarity.similar_vectors(more, [3, 900], 400).collect()
+    assert [(r.id, r.similarity) for r in got if r.seed == 900] == [(901, pytest.approx(1))]
+    assert len([r for r in got if r.seed == 3]) == 299
 
 
 def test_zero_vectors_ties_and_threshold(spark):

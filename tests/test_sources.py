@@ -10,7 +10,6 @@ from postlens.plans.etl import read_labelled_posts, read_posts
 from postlens.sources import staging
 from postlens.sources.labels import label_rejects, read_labels
 from postlens.sources.subjects import read_subjects_xml, subject_rejects, subject_schema, write_subjects_xml
-from postlens.sources.tables import read_table
 from postlens.sources.views import read_dashboard_view, read_view, write_view
 
 
@@ -56,7 +55,7 @@ def test_posts_from_xml(spark, posts_glob):
 def test_post_schema(spark, posts_glob):
     schema = read_posts(spark, posts_glob).schema
     assert schema.simpleString() == (
-        "struct<subject_id:string,chunk:int,file:string,pos:int,title:string,date:timestamp,"
+        "struct<subject_id:string,chunk:int,file:string,record:bigint,pos:int,title:string,date:timestamp,"
         "source_info:string,text:string>"
     )
 
@@ -74,7 +73,7 @@ def test_only_single_writings(spark, tmp_path):
 
 def test_narrow_read_parses_only_the_fields_asked_for(spark, posts_glob):
     posts = read_posts(spark, posts_glob, ("TEXT",))
-    assert posts.columns == ["subject_id", "chunk", "file", "pos", "text"]
+    assert posts.columns == ["subject_id", "chunk", "file", "record", "pos", "text"]
     assert "DATE" not in posts._jdf.queryExecution().executedPlan().toString()
 
 
@@ -93,15 +92,52 @@ def test_malformed_record_hides_no_other_record(spark, tmp_path):
     path = str(tmp_path / "chunk1")
     assert {r.ID for r in read_subjects_xml(spark, path).collect()} == {"ok1", "ok2"}
     rejects = subject_rejects(spark, path)
-    assert rejects.columns == ["record", "file"]
-    assert sorted(r.record[:24] for r in rejects.collect()) == [
-        "<INDIVIDUAL>\n<ID>amp</ID",
-        "<INDIVIDUAL><ID>open</ID",
+    assert rejects.columns == ["record", "file", "reason"]
+    assert sorted((r.record[:24], r.reason) for r in rejects.collect()) == [
+        ("<INDIVIDUAL>\n<ID>amp</ID", "not well-formed"),
+        ("<INDIVIDUAL><ID>open</ID", "not well-formed"),
     ]
     whole = read_subjects_xml(spark, path, corrupt=True)
     assert whole.count() == 4 and whole.schema["_corrupt_record"].dataType == T.StringType()
 
 
+def test_every_opening_tag_is_a_record_or_a_reject(spark, tmp_path):
+    body = "".join(
+        [
+            ' \n <?xml version="1.0"?>\n<INDIVIDUALS note="a">\n',
+            "<INDIVIDUAL><ID>lost</ID><WRITING><TEXT>x</TEXT></WRITING>\n",
+            "<INDIVIDUAL kind='k'><ID>spaced</ID><WRITING><TEXT>y</TEXT></WRITING></INDIVIDUAL\n >",
+            "<INDIVIDUAL/>",
+            "<INDIVIDUAL ><ID>data</ID><WRITING><TEXT><![CDATA[<b>]]></TEXT></WRITING></INDIVIDUAL>",
+            "<INDIVIDUAL><ID>cut</ID><WRITING><TEXT>z</TEXT></WRIT",
+        ]
+    )
+    xml(tmp_path, "chunk1", "a.xml", body)
+    path = str(tmp_path / "chunk1")
+    posts = read_posts(spark, path).select("subject_id", "text").collect()
+    assert sorted(map(tuple, posts)) == [("data", "<b>"), ("spaced", "y")]
+    rejected = subject_rejects(spark, path).collect()
+    assert sorted(r.record[16:20] for r in rejected if r.reason == "no closing tag") == ["cut<", "lost"]
+    assert len(rejected) == 2
+    assert read_subjects_xml(spark, path, corrupt=True).count() == 5
+
+
+def test_other_encodings(spark, tmp_path):
+    (tmp_path / "chunk1").mkdir()
+    (tmp_path / "chunk1" / "a.xml").write_bytes(subject("é1", writing(TEXT="été")).encode("latin-1"))
+    path = str(tmp_path / "chunk1")
+    posts = read_posts(spark, path, encoding="ISO-8859-1").collect()
+    assert [(r.subject_id, r.text) for r in posts] == [("é1", "été")]
+
+
+def test_staged_tables_are_removed(spark):
+    with staging.scratch(spark):
+        path = staging.staging_path(spark, "t")
+        assert staging.stage(spark.range(3), path).count() == 3
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_large_file_is_read_by_several_tasks(spark, tmp_path):
     records = [subject(f"s{i}", writing(TEXT=f"text {i} " + "é" * 50)) for i in range(2000)]
     xml(tmp_path, "chunk1", "all.xml", "<SUBJECTS>" + "".join(records) + "</SUBJECTS>")
@@ -208,21 +244,6 @@ def test_staged_table(spark):
         staging.stage(df, path)
 
 
-def test_small_table_is_spread_and_large_one_is_not(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    assert read_table(spark, str(tmp_path / "one"), "id").rdd.getNumPartitions() == cores
-    assert read_table(spark, str(tmp_path / "one")).rdd.getNumPartitions() < cores
-    conf = "spark.sql.files.openCostInBytes"
-    before = spark.conf.get(conf)
-    spark.range(1000).repartition(2 * cores).write.parquet(str(tmp_path / "many"))
-    spark.conf.set(conf, str(1 << 40))
-    try:
-        many = read_table(spark, str(tmp_path / "many"), "id")
-        assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set(conf, before)
-
 
 def test_flatten_keeps_what_is_asked(spark):
     df = spark.createDataFrame([("a", [("x",)], 7)], "ID string, WRITING array<struct<TEXT:string>>, chunk int")

@@ -112,9 +112,10 @@ def test_head_and_tail(docs):
     assert [(r.part, r.word, r.n) for r in both] == [("head", "a", 3), ("head", "b", 3), ("tail", "d", 2), ("tail", "c", 2)]
 
 
-def test_only_a_bounded_vocabulary_is_broadcast(docs):
+def test_vocabulary_is_whole_unless_a_size_is_given(docs):
     counts, n_docs = terms.term_counts(docs, ["id"]), terms.document_count(docs)
-    weights = terms.idf(terms.vocabulary(terms.word_statistics(counts), n_docs, min_df=1), n_docs)
-    hinted = terms.tfidf(counts, weights)._jdf.queryExecution().logical().toString()
-    free = terms.tfidf(counts, weights, size=10**7)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in free
+    statistics = terms.word_statistics(counts)
+    whole = terms.vocabulary(statistics, n_docs, min_df=1, max_df=1.0)
+    assert whole.count() > 2 and terms.vocabulary(statistics, n_docs, 2, min_df=1).count() == 2
+    plan = terms.tfidf(counts, terms.idf(whole, n_docs))._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" not in plan
