@@ -115,7 +115,7 @@ def test_head_and_tail(docs):
 def test_vocabulary_is_whole_unless_a_size_is_given(docs):
     counts, n_docs = terms.term_counts(docs, ["id"]), terms.document_count(docs)
     statistics = terms.word_statistics(counts)
-    whole = terms.vocabulary(statistics, n_docs, min_df=1, max_df=1.0)
-    assert whole.count() > 2 and terms.vocabulary(statistics, n_docs, 2, min_df=1).count() == 2
+    whole = terms.vocabulary(statistics, n_docs, min_df=1, max_df=10**9)
+    assert whole.count() > 2 and terms.vocabulary(statistics, n_docs, 2, 1, 10**9).count() == 2
     plan = terms.tfidf(counts, terms.idf(whole, n_docs))._jdf.queryExecution().logical().toString()
     assert "strategy=broadcast" not in plan
