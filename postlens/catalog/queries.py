@@ -142,8 +142,9 @@ def labelled_posts(spark, sf_dir):
 
 
 def labelled_posts_salted(spark, sf_dir):
-    """The join of flat posts, with every subject's posts spread over 64 salts."""
-    return P.label_posts(S.posts(spark, sf_dir), S.labels(spark, sf_dir), salts=64)
+    """The join of flat posts, with those of subjects of many posts spread over 64 salts."""
+    posts = S.posts(spark, sf_dir)
+    return P.label_posts(posts, S.labels(spark, sf_dir), hot=P.hot_subjects(posts, 0.002), salts=64)
 
 
 def posts_by_class(spark, sf_dir):

@@ -40,11 +40,20 @@ def flatten_posts(subjects: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def hot_subjects(posts: DataFrame, share: float = 0.01, key: str = "subject_id") -> list:
+    """Ids that hold at least ``share`` of all posts, so ``1 / share`` of them at most."""
+    counts = posts.groupBy(key).agg(F.count("*").alias("n"))
+    total = posts.agg(F.count("*")).scalar()
+    rows = counts.where(F.col(key).isNotNull() & (F.col("n") >= total * share)).orderBy(key)
+    return [row[key] for row in rows.collect()]
+
+
 def label_posts(
     posts: DataFrame,
     labels: DataFrame,
     key: str = "subject_id",
-    salts: int = 1,
+    hot: Sequence = (),
+    salts: int = 16,
     salt_by: Sequence[str] = ("pos",),
 ) -> DataFrame:
     """Posts of labelled subjects, with their label (inner join on ``key``).
@@ -52,17 +61,21 @@ def label_posts(
     Catalyst broadcasts ``labels`` when its size allows.  Otherwise both sides shuffle on
     ``key`` and AQE splits the partition of a hot subject, unless a later grouping by
     ``key`` reuses the partitioning: that would hand all of the subject's posts to one
-    task.  Pass ``salts`` > 1 in front of such groupings, unless the posts are stored
-    between.  Every label is then repeated
-    ``salts`` times and a post picks one by the hash of ``salt_by``, so the subject's posts
-    are spread and the grouping gets a shuffle of its own, after partial aggregation.
+    task.  Pass the ``hot`` subjects (:func:`hot_subjects`) in front of such groupings,
+    unless the posts are stored between: the labels of these few are repeated ``salts``
+    times and their posts pick one by the hash of ``salt_by``, so they are spread and the
+    grouping gets a shuffle of its own, after partial aggregation.
     """
-    if salts <= 1:
+    if not hot:
         return posts.join(labels, key, "inner")
-    salted_posts = posts.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    salted_labels = labels.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # The size estimate does not see the repetition, so no broadcast may be chosen by it.
-    return salted_posts.join(salted_labels.hint("merge"), [key, "_salt"], "inner").drop("_salt")
+    is_hot = F.col(key).isin(list(hot))
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return (
+        posts.withColumn("_salt", salt)
+        .join(labels.withColumn("_salt", F.explode(copies)), [key, "_salt"], "inner")
+        .drop("_salt")
+    )
 
 
 def posts_by_class(posts: DataFrame, label: int) -> DataFrame:

@@ -112,7 +112,7 @@ def test_salted_label_join_is_the_same_join(spark, skewed, some_labels, broadcas
     spark.conf.set(conf, broadcast)
     try:
         plain = P.label_posts(skewed, some_labels)
-        salted = P.label_posts(skewed, some_labels, salts=8)
+        salted = P.label_posts(skewed, some_labels, hot=P.hot_subjects(skewed, 0.1), salts=8)
         assert salted.columns == plain.columns
         assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
     finally:
@@ -124,16 +124,21 @@ def test_salted_join_does_not_hand_a_subject_to_one_task(spark, skewed, some_lab
     before = spark.conf.get(conf)
     spark.conf.set(conf, "-1")
     try:
-        def shuffles(salts):
-            grouped = P.label_posts(skewed, some_labels, salts=salts).groupBy("subject_id", "label").count()
+        def shuffles(hot):
+            grouped = P.label_posts(skewed, some_labels, hot=hot).groupBy("subject_id", "label").count()
             return grouped._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
-        assert shuffles(1) == 2
-        assert shuffles(8) == 3
+        assert shuffles([]) == 2
+        assert shuffles(["hot"]) == 3
     finally:
         spark.conf.set(conf, before)
 
 
+def test_hot_subjects(skewed):
+    assert P.hot_subjects(skewed, 0.1) == ["hot"]
+    assert P.hot_subjects(skewed.limit(0)) == []
+
+
 def test_posts_by_class(skewed, some_labels):
     labelled = P.label_posts(skewed, some_labels)
     assert {r.label for r in P.posts_by_class(labelled, 1).select("label").distinct().collect()} == {1}
