@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bytes of text in one slice of a batch; numpy working arrays are a small multiple of it.
@@ -112,8 +112,13 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``."""
-    from postlens.sources.staging import shared_folder as folder
+# Rows of ids or of a few numbers that may be sent to all tasks: some 16 MB.
+BROADCAST_ROWS = 500_000
 
-    return folder(spark)
+
+def small_side(rows: DataFrame) -> DataFrame:
+    """A stored table of few narrow columns as a join side: sent to all tasks if it was counted to be small.
+
+    Beyond ``BROADCAST_ROWS`` the join is left to Spark, which shuffles both sides.
+    """
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices, split_words
+from postlens.llm.batches import slices, small_side, split_words
 from postlens.sources.staging import stage, staging_path
 
 # Bounds of the fit: labelled rows, and words that may get a weight.
@@ -265,6 +265,8 @@ def group_posteriors(scored: DataFrame, host: str, path: str, evidence_col: str)
     paths = scored.groupBy(F.col(host).alias("h"), F.col(path).alias("p")).agg(
         F.count("*").alias("n"), F.sum(p).alias("bad")
     )
+    # Stored, since both levels are read several times.
+    paths = stage(paths, staging_path(scored.sparkSession, "paths"))
     hosts = paths.groupBy("h").agg(F.sum("n").alias("hn"), F.sum("bad").alias("hbad"))
     host_fit = _moments(hosts, "hn", "hbad")
     path_fit = _moments(paths, "n", "bad")
@@ -294,8 +296,10 @@ def _moments(groups: DataFrame, n: str, bad: str) -> dict[str, float]:
     return {"mean": mean, "strength": float(min(max(strength, 1.0), 1e6))}
 
 
-def posterior(scored: DataFrame, groups: DataFrame, host: str, path: str, evidence_col: str) -> DataFrame:
-    """``scored`` with ``path_share`` (without the document itself) and ``p_bad``."""
+def posterior(
+    scored: DataFrame, groups: DataFrame, host: str, path: str, evidence_col: str, share_col: str = "path_share", out: str = "p_bad"
+) -> DataFrame:
+    """``scored`` with the path's share (without the document itself) and the probability ``out`` of being bad."""
     odd = F.col(evidence_col)
     own = _probability(odd)
     rest = (F.col("__bad") - own + F.col("__strength") * F.col("__prior")) / (F.col("__n") - 1 + F.col("__strength"))
@@ -304,8 +308,8 @@ def posterior(scored: DataFrame, groups: DataFrame, host: str, path: str, eviden
     joined = scored.join(table, F.col(host).eqNullSafe(F.col("__h")) & F.col(path).eqNullSafe(F.col("__p")))
     return joined.select(
         *scored.columns,
-        share.alias("path_share"),
-        _probability(odd + F.log(share / (1 - share))).alias("p_bad"),
+        share.alias(share_col),
+        _probability(odd + F.log(share / (1 - share))).alias(out),
     )
 
 
@@ -322,4 +326,6 @@ def keep_good(
     groups, _ = group_posteriors(
         evidence(docs.select(text_col, host, path), model, text_col, "__odds"), host, path, "__odds"
     )
-    return posterior(scored, groups, host, path, "__odds").where(F.col("p_bad") < cut).select(*docs.columns)
+    groups = small_side(stage(groups, staging_path(docs.sparkSession, "groups")))
+    judged = posterior(scored, groups, host, path, "__odds", "__share", "__p_bad")
+    return judged.where(F.col("__p_bad") < cut).select(*docs.columns)
