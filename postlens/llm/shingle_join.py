@@ -4,12 +4,14 @@ Two sets link when ``den * |x n y| >= num * |x u y|``.
 
 *Candidates.*  The global order is that of 64-bit n-gram hashes.  It is cut into fragments,
 more of them than two linking sets can have different n-grams (``d``): with ``d + 1 + e``
-fragments at least ``e + 1`` hold exactly the same n-grams in both, and one of those is not
-empty unless both sets have more than ``e`` empty ones, which then count too.  So a
-document's signatures are its fragments' contents, hashed; the number of fragments belongs
-to a size class, and a document signs for every class its partners may belong to.  One
-range sort of all signatures shows which documents share one.  A signature of few sets
-yields their pairs; sets that share one with many others go to the way for crowds, below.
+fragments at least ``e + 1`` hold exactly the same n-grams in both.  So a document's
+signatures are its fragments' contents, hashed, and a set with ``h`` empty fragments needs to
+share ``e + 1 - h`` signatures, at least one; only sets with more than ``e`` empty ones sign
+those too.  The number of fragments belongs to a size class, and a document signs for every
+class its partners may belong to.  One range sort of all signatures shows which documents
+share one.  A signature of few sets yields their pairs, of which those that share as many
+signatures as both need are candidates; sets that share one with many others go to the way
+for crowds, below.
 
 *Counts.*  Partial overlaps are counted per fragment and summed per pair.  A pair is first
 bounded from short hashes of 256 fragments (each unequal one is a difference) and, if it
@@ -38,9 +40,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import mix, shingle_sets, slices, two_columns
+from postlens.llm.batches import mix, shingle_sets, slices, small_side, two_columns
 from postlens.llm.components import components
-from postlens.sources.staging import stage, staging_path
+from postlens.sources.staging import remove, stage, staging_path
 
 # Sets that share one signature and are paired directly; larger groups go to the way for crowds.
 GROUP = 16
@@ -78,10 +80,14 @@ def fragment_counts(bounds: np.ndarray, sim: Similarity) -> tuple[np.ndarray, np
     return np.where(d > 0, d + 1 + allowed, 0), allowed
 
 
-def signatures(sets: list[np.ndarray], sim: Similarity) -> list[np.ndarray]:
-    """Per set, the hashes of its fragments' contents for every size class it signs for."""
+def signatures(sets: list[np.ndarray], sim: Similarity) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per set, the hashes of its fragments' contents for every size class it signs for, and its need.
+
+    Two linking sets share at least as many signatures as either of them needs.
+    """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     found: list[list[np.ndarray]] = [[] for _ in sets]
+    needs = np.full(len(sets), np.iinfo(np.int64).max)
     bounds = size_classes(int(sizes.max(initial=1)))
     fragments, allowed = fragment_counts(bounds, sim)
     top = np.searchsorted(bounds, sizes, side="right") - 1
@@ -90,7 +96,7 @@ def signatures(sets: list[np.ndarray], sim: Similarity) -> list[np.ndarray]:
     while True:
         own = np.flatnonzero((sizes > 0) & (top - step >= np.maximum(low, 0)))
         if not len(own):
-            return [np.concatenate(f) if f else np.empty(0, np.uint64) for f in found]
+            return [np.concatenate(f) if f else np.empty(0, np.uint64) for f in found], needs
         kind = top[own] - step
         step += 1
         usable = fragments[kind] > 0
@@ -106,6 +112,8 @@ def signatures(sets: list[np.ndarray], sim: Similarity) -> list[np.ndarray]:
         ends = np.searchsorted(row[new], np.arange(1, len(own) + 1))
         for j, (lo, hi) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends, strict=True)):
             found[own[j]].append(signs[lo:hi])
+            empty = fragments[kind[j]] - (hi - lo)
+            needs[own[j]] = min(needs[own[j]], max(1, allowed[kind[j]] + 1 - empty))
             if fragments[kind[j]] - (hi - lo) > allowed[kind[j]]:
                 holes = np.setdiff1d(np.arange(fragments[kind[j]]), fragment[new[lo:hi]].astype(np.int64))
                 holes = (np.uint64(kind[j]) << np.uint64(32)) | holes.astype(np.uint64)
@@ -141,7 +149,7 @@ def _short(fingerprint: bytes) -> int:
 
 
 def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, sim: Similarity) -> DataFrame:
-    """``(id, n, node, f, sketch, signs)`` per row, stored.  Copies within a task sign once."""
+    """``(id, n, node, f, sketch, need, signs)`` per row.  Copies within a task sign once."""
     source = two_columns(docs, id_col, text_col)
     key = source.schema["k"].dataType.simpleString()
 
@@ -159,7 +167,9 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, sim: Simi
                 own = [sets[i] for i in first]
                 signs: list = [None] * len(sets)
                 marks: list = [None] * len(sets)
-                for i, s, m in zip(first, signatures(own, sim), sketches(own), strict=True):
+                needs = np.zeros(len(sets), dtype=np.int64)
+                found, needs[first] = signatures(own, sim)
+                for i, s, m in zip(first, found, sketches(own), strict=True):
                     signs[i], marks[i] = s.view(np.int64), m.tobytes()
                 columns = [
                     part.column("k"),
@@ -167,24 +177,25 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, sim: Simi
                     pa.array(nodes, pa.binary()),
                     pa.array([_short(x) for x in nodes], pa.int64()),
                     pa.array(marks, pa.binary()),
+                    pa.array(needs),
                     pa.array(signs, pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "f", "sketch", "signs"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "f", "sketch", "need", "signs"])
 
-    schema = f"id {key}, n long, node binary, f long, sketch binary, signs array<long>"
-    return stage(source.mapInArrow(work, schema), staging_path(docs.sparkSession, "described"))
+    schema = f"id {key}, n long, node binary, f long, sketch binary, need long, signs array<long>"
+    return source.mapInArrow(work, schema)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs ``(a, b)`` of sets that share a signature, from rows sorted by ``(sign, f)``.
+    """Pairs ``(a, b, shared, need)`` of sets that share signatures, from rows sorted by ``(sign, f)``.
 
     A signature of more than ``GROUP`` sets, and the first and the last of a task, which may
     go on in another one, give ``(a, null)`` for each of their sets.
     """
-    sign, f = np.empty(0, np.int64), np.empty(0, np.int64)
+    sign, f, need = (np.empty(0, np.int64) for _ in range(3))
     edge = True  # the first signature kept is the task's first
 
-    def emit(sign, f, first_edge, last_edge):
+    def emit(sign, f, need, first_edge, last_edge):
         starts = np.flatnonzero(np.concatenate([[True], np.diff(sign) != 0]))
         length = np.diff(np.append(starts, len(sign)))
         crowd = length > GROUP
@@ -193,34 +204,42 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last_edge:
             crowd[-1] = True
         crowd = np.repeat(crowd, length)
-        pairs = [np.empty((0, 2), np.int64)]
+        pairs = [np.empty((0, 3), np.int64)]
         for d in range(1, GROUP):
             same = np.flatnonzero((sign[d:] == sign[:-d]) & ~crowd[d:])
-            pairs.append(np.column_stack([f[same], f[same + d]]))
-        pairs = np.unique(np.concatenate(pairs), axis=0)
+            pairs.append(np.column_stack([f[same], f[same + d], np.maximum(need[same], need[same + d])]))
+        pairs, shared = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
         lone = np.unique(f[crowd])
-        a = np.concatenate([pairs[:, 0], lone])
-        b = np.concatenate([pairs[:, 1], np.zeros(len(lone), np.int64)])
+        nothing = np.zeros(len(lone), np.int64)
         missing = np.concatenate([np.zeros(len(pairs), bool), np.ones(len(lone), bool)])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=missing)], ["a", "b"])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([pairs[:, 0], lone])),
+                pa.array(np.concatenate([pairs[:, 1], nothing]), mask=missing),
+                pa.array(np.concatenate([shared, nothing])),
+                pa.array(np.concatenate([pairs[:, 2], nothing])),
+            ],
+            ["a", "b", "shared", "need"],
+        )
 
     for batch in batches:
         sign = np.concatenate([sign, np.asarray(batch.column("sign"))])
         f = np.concatenate([f, np.asarray(batch.column("f"))])
+        need = np.concatenate([need, np.asarray(batch.column("need"))])
         fresh = np.concatenate([[True], (np.diff(sign) != 0) | (np.diff(f) != 0)])[: len(sign)]
-        sign, f = sign[fresh], f[fresh]
+        sign, f, need = sign[fresh], f[fresh], need[fresh]
         if not len(sign):
             continue
         last = int(np.searchsorted(sign, sign[-1], side="left"))
         if last:
-            yield emit(sign[:last], f[:last], edge, False)
-            sign, f, edge = sign[last:], f[last:], False
+            yield emit(sign[:last], f[:last], need[:last], edge, False)
+            sign, f, need, edge = sign[last:], f[last:], need[last:], False
         elif len(sign) > 100_000:
             # One signature only: its sets are a crowd; one more than a group of them keeps it so.
-            yield emit(sign, f, True, True)
-            sign, f = sign[-GROUP - 1 :], f[-GROUP - 1 :]
+            yield emit(sign, f, need, True, True)
+            sign, f, need = (x[-GROUP - 1 :] for x in (sign, f, need))
     if len(sign):
-        yield emit(sign, f, edge, True)
+        yield emit(sign, f, need, edge, True)
 
 
 def _bounded(pairs: DataFrame, sim: Similarity) -> DataFrame:
@@ -246,9 +265,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, described: DataFrame, id_col: str,
     """``(node, n, grams)`` of the given nodes, stored; each is read again from one of its documents."""
     spark = docs.sparkSession
     ids = described.select("id", "node").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    ids = ids.select(F.col("id").alias("wanted")).distinct()
+    ids = stage(ids.select(F.col("id").alias("wanted")).distinct(), staging_path(spark, "wanted"))
     texts = two_columns(docs, id_col, text_col)
-    texts = texts.join(ids, texts.k.eqNullSafe(ids.wanted), "left_semi").select("v")
+    texts = texts.join(small_side(ids), texts.k.eqNullSafe(ids.wanted), "left_semi").select("v")
 
     def work(batches):
         for batch in batches:
@@ -343,15 +362,17 @@ def _components(docs, id_col, text_col, width, sim) -> DataFrame:
     """``(id, n, node, label)`` per row; the label is a node of the row's component."""
     spark = docs.sparkSession
     path = lambda name: staging_path(spark, name)
-    described = _describe(docs, id_col, text_col, width, sim)
-    signs = described.where("signs is not null").select(F.explode("signs").alias("sign"), "f")
-    near = stage(
-        signs.repartitionByRange("sign", "f").sortWithinPartitions("sign", "f").mapInArrow(_neighbours, "a long, b long"),
-        path("near"),
-    )
-    near = near.distinct()
+    signed = path("signed")
+    described = stage(_describe(docs, id_col, text_col, width, sim), signed)
+    signs = described.where("signs is not null").select(F.explode("signs").alias("sign"), "f", "need")
+    ordered = signs.repartitionByRange("sign", "f").sortWithinPartitions("sign", "f")
+    near = stage(ordered.mapInArrow(_neighbours, "a long, b long, shared long, need long"), path("near"))
+    # The signatures are the largest table and are no longer needed.
+    described = stage(described.drop("signs", "need"), path("described"))
+    remove(spark, signed)
     marked = described.where("sketch is not null").select("f", "node", "n", "sketch")
-    inside = near.where("b is not null")
+    inside = near.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
+    inside = stage(inside.where("shared >= need").select("a", "b"), path("candidates"))
     one = marked.select(F.col("f").alias("a"), F.col("node").alias("x"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
     two = marked.select(F.col("f").alias("b"), F.col("node").alias("y"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
     pairs = stage(
@@ -399,8 +420,8 @@ def drop_near_copies(
     repeated = stage(repeated, staging_path(spark, "repeated"))
     named = lambda frame: frame.select(F.col("id").alias("__id"))
     match = F.col(id_col).eqNullSafe(F.col("__id"))
-    leave = gone.unionByName(repeated).distinct()
-    plain = docs.join(named(leave), match, "left_anti")
+    leave = stage(gone.unionByName(repeated).distinct(), staging_path(spark, "leave"))
+    plain = docs.join(small_side(named(leave)), match, "left_anti")
     if repeated.isEmpty():
         return plain
 
