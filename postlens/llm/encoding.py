@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 
 from postlens.llm.batches import split_words
 
-# Words kept per task; beyond it the store starts anew.
-MAX_WORDS = 1_000_000
+# Stems kept per task, some 200 bytes each; beyond it the store starts anew.
+MAX_WORDS = 500_000
 
 # Punctuation that is a token of its own behind a letter or digit.
 _TAIL = ".,!?;:#$%&*"
@@ -46,8 +46,6 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _clear(self):
-        self.pairs: dict[str, int] = {}  # word: place of its pair below
-        self.heads, self.tails = array("q"), array("q")  # entries of its stem and of what follows it
         self.known = {"": 0}  # stem or punctuation: its entry
         self.ids, self.ends = array("I"), array("q", [0, 0])
 
@@ -58,7 +56,7 @@ class Encoder:
             flat = np.fromiter((i for r in rows for i in r), dtype=np.uint32, count=sum(map(len, rows)))
             return flat, np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
         codes, words, offsets = split_words(texts)
-        if len(self.pairs) + len(words) > MAX_WORDS:
+        if len(self.known) > MAX_WORDS:
             self._clear()
         heads, tails = self._entries(words)
         entries = np.empty(2 * len(codes), dtype=np.int64)
@@ -72,29 +70,20 @@ class Encoder:
 
     def _entries(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Per word, the entries of its stem and of the punctuation behind it."""
-        names = words.to_pylist()
-        new = [w for w in names if w not in self.pairs]
-        if new:
-            self._split(new)
-        places = np.fromiter(map(self.pairs.__getitem__, names), np.int64, len(names))
-        return np.frombuffer(self.heads, np.int64)[places], np.frombuffer(self.tails, np.int64)[places]
-
-    def _split(self, words: list[str]) -> None:
-        stems = pc.utf8_rtrim(pa.array(words, pa.large_string()), _TAIL)
+        stems = pc.utf8_rtrim(words, _TAIL)
         if self.lowers:  # one entry for all cases of A-Z
             stems = pc.ascii_lower(stems)
         heads, tails = [], []
-        for word, stem in zip(words, stems.to_pylist(), strict=True):
+        for word, stem in zip(words.to_pylist(), stems.to_pylist(), strict=True):
             # The mark of a special token stays as it is.
             if not stem or not stem[-1].isalnum() or "<|" in word:
                 stem = word
             heads.append(stem)
-            tails.append(word[len(stem) :])
-        self._learn(w for w in dict.fromkeys(heads + tails) if w not in self.known)
-        first = len(self.pairs)
-        self.pairs.update(zip(words, range(first, first + len(words)), strict=True))
-        self.heads.extend(map(self.known.__getitem__, heads))
-        self.tails.extend(map(self.known.__getitem__, tails))
+            tails.append(word[len(stem) :] if len(stem) < len(word) else "")
+        known = self.known
+        self._learn(w for w in dict.fromkeys(heads + tails) if w not in known)
+        count = len(heads)
+        return np.fromiter(map(known.__getitem__, heads), np.int64, count), np.fromiter(map(known.__getitem__, tails), np.int64, count)
 
     def _learn(self, words) -> None:
         words = list(words)
