@@ -15,13 +15,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bytes of text in one slice of a batch; numpy working arrays are a small multiple of it.
-SLICE_BYTES = 4 << 20
+# Bytes of text in one slice of a batch; numpy working arrays are some ten times of it.
+SLICE_BYTES = 2 << 20
+
+# Bytes of one Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 8 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` in a session whose Arrow batches are at most ``BATCH_BYTES`` large, or one row.
+
+    Batches of long texts are counted in rows otherwise, and held twice on each side.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
 
 
 def two_columns(df: DataFrame, key: str, value: str) -> DataFrame:
     """``(key, value)`` under fixed names, so extra or clashing columns of ``df`` do not matter."""
-    return df.select(F.col(key).alias("k"), F.coalesce(F.col(value), F.lit("")).alias("v"))
+    return bounded(df).select(F.col(key).alias("k"), F.coalesce(F.col(value), F.lit("")).alias("v"))
 
 
 def slices(batch: pa.RecordBatch, column: str = "v") -> Iterator[pa.RecordBatch]:
@@ -33,6 +45,7 @@ def slices(batch: pa.RecordBatch, column: str = "v") -> Iterator[pa.RecordBatch]
     starts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(sizes)]])
     for lo, hi in zip(starts[:-1], starts[1:], strict=True):
         yield batch.slice(int(lo), int(hi - lo))
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:

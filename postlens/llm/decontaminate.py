@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import shingle_sets, slices, two_columns, word_shingles
+from postlens.llm.batches import bounded, shingle_sets, slices, two_columns, word_shingles
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -172,7 +172,7 @@ def drop_contaminated(
                     bad = {row for row, _, _ in _matches(index.value, texts, width, threshold)}
                     yield part.filter(pa.array([i not in bad for i in range(len(part))], pa.bool_()))
 
-        docs = docs.mapInArrow(work, schema)
+        docs = bounded(docs).mapInArrow(work, schema)
     return docs
 
 

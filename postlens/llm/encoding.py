@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from postlens.llm.batches import split_words
 
 # Stems kept per task, some 200 bytes each; beyond it the store starts anew.
-MAX_WORDS = 500_000
+MAX_WORDS = 250_000
 
 # Punctuation that is a token of its own behind a letter or digit.
 _TAIL = ".,!?;:#$%&*"

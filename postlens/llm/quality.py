@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices, small_side, split_words
+from postlens.llm.batches import bounded, slices, small_side, split_words
 from postlens.sources.staging import stage, staging_path
 
 # Bounds of the fit: labelled rows, and words that may get a weight.
@@ -201,7 +201,7 @@ def fit(
         .orderBy(F.xxhash64("k"), "k", "y")
         .limit(max_labelled)
     )
-    texts = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    texts = bounded(docs).select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     # The labels are bounded, so they travel to the texts.  Copies of one text would make its
     # words look frequent, so one document of each text stays.
     chosen = stage(chosen, staging_path(docs.sparkSession, "labelled"))
@@ -248,7 +248,7 @@ def evidence(docs: DataFrame, model: Model, text_col: str, out: str) -> DataFram
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return docs.mapInArrow(work, StructType([*docs.schema.fields]).add(out, DoubleType()))
+    return bounded(docs).mapInArrow(work, StructType([*docs.schema.fields]).add(out, DoubleType()))
 
 
 def _probability(log_odds: Column) -> Column:

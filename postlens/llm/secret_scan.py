@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.llm import automaton as A
-from postlens.llm.batches import slices, two_columns
+from postlens.llm.batches import bounded, slices, two_columns
 
 
 class Rule(NamedTuple):
@@ -202,7 +202,7 @@ def redact(
                     part = part.set_column(position, part.schema.field(position), pa.array(new, texts.type))
                 yield part
 
-    return df.mapInArrow(work, schema)
+    return bounded(df).mapInArrow(work, schema)
 
 
 def _cut(text: str, spans) -> str:

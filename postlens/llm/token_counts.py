@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices, split_words
+from postlens.llm.batches import bounded, slices, split_words
 
 # What stands for the white space before a word.
 MARK = "▁"
@@ -100,7 +100,7 @@ class Counter:
 def count_tokens(docs: DataFrame, pieces: Mapping[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, n_tokens)`` per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(dict(pieces))
-    source = docs.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("v"))
+    source = bounded(docs).select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("v"))
     key = source.schema["k"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices
+from postlens.llm.batches import bounded, slices
 from postlens.llm.encoding import Encoder
 from postlens.sources.staging import stage, staging_path
 
@@ -218,7 +218,7 @@ def write_tokens(
 ) -> DataFrame:
     """Writes all documents as shards below ``folder``; the stored list ``(shard, path, documents, ids)``."""
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("v"))
+    source = bounded(docs).select(F.col(id_col).cast("long").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("v"))
     tie = F.xxhash64("v")
     ordered = source.withColumn("t", tie).repartitionByRange("k", "t").sortWithinPartitions("k", "t", "v")
 

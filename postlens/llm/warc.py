@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices
+from postlens.llm.batches import bounded, slices
 
 VERSION = "WARC/1.1"
 
@@ -102,7 +102,7 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 def derive(captured: DataFrame) -> DataFrame:
     """Two records per response of ``captured`` (columns as :func:`responses` gives them)."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    source = captured.select(
+    source = bounded(captured).select(
         "source_id", text("record_id"), "target_uri", "warc_date", text("content_type"), text("headers"), text("payload")
     )
     names = [c.split()[0] for c in COLUMNS.split(", ")]

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices
+from postlens.llm.batches import bounded, slices
 from postlens.sources.staging import stage, staging_path
 
 # Wrappers of one task are first merged in so many parts per host.
@@ -334,7 +334,7 @@ def host_of(url: Column) -> Column:
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(host, pages, wrapper, expression, content)`` per host, stored; ``wrapper`` is JSON."""
-    source = pages.select(host_of(F.col(url_col)).alias("h"), F.coalesce(F.col(html_col), F.lit("")).alias("v"))
+    source = bounded(pages).select(host_of(F.col(url_col)).alias("h"), F.coalesce(F.col(html_col), F.lit("")).alias("v"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = TaskContext.get().partitionId() % SALTS
