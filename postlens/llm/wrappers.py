@@ -5,13 +5,16 @@ element: neighbouring repetitions of a tag, or of a short group of tags, become
 group; what only some pages have becomes optional; text becomes a slot that is constant or
 varies.  The result is a union-free regular expression, the host's *wrapper*.  Aligning two
 wrappers works as aligning two pages, so every task reduces its pages to one wrapper per
-host, and those are merged in two steps (salted, then by host): no task sees all pages of a
-large host.
+host, and those are merged path by path in two steps (salted, then by host and path): no task
+sees all pages of a large host, no row holds a whole wrapper.
 
-On the wrapper the main part is chosen: the article (or main) element if there is one, else
-the element whose paragraphs vary and hold most text.  Menus, headers, footers, sidebars,
+The main part is chosen per page, since a host can have several templates: the articles if
+they have text, else the main element, else the element whose paragraphs vary over the host
+and hold most text on a mean page that has it and no article or main.  That root is found
+once per host and set of paths, and pages are matched to it by a digest of their paths.  Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are left out by their tags and
 by the words of their class, id and role.  A page's text is what it has in the slots kept.
+Where that leaves no page of a host with text, its paths count unfiltered.
 
 Defined results: null html is empty and gives an empty text; pages without a host share the
 empty host; repeated rows are extracted each; an empty table gives no rows.
@@ -19,12 +22,15 @@ empty host; repeated rows are extracted each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
 import zlib
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -37,8 +43,8 @@ from postlens.sources.staging import stage, staging_path
 # Wrappers of one task are first merged in so many parts per host.
 SALTS = 32
 
-# Hosts whose wrappers a task holds at a time.
-HOSTS = 4096
+# Paths of wrappers and of pages' shapes that a task holds at a time.
+PATHS = 50_000
 
 # Longest group of tags that is recognized as repeated.
 GROUP = 3
@@ -72,6 +78,7 @@ _OTHER_WORDS = frozenset(
 )
 _HEADER_WORDS = frozenset("header heading topbar top".split())
 _MAIN_WORDS = frozenset(["main", "article"])
+_PARAGRAPHS = frozenset("p h1 h2 h3 h4 blockquote pre ul ol table".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -165,8 +172,9 @@ def _close(stack: list[tuple[str, str]], tags, walls) -> None:
 
 # --- wrappers ----------------------------------------------------------------
 #
-# A wrapper is {path: [pages, characters, constant text's CRC or None, children]}; a child is
-# [names, optional, repeated], where names are the tags (or _TEXT) of a group.
+# A wrapper is {path: [pages, characters, constant text's CRC or None, children, plain pages, their
+# characters]}; plain pages have no article or main element.  A child is [names, optional,
+# repeated], where names are the tags (or _TEXT) of a group.
 
 
 def _folded(names: list[str]) -> list[list]:
@@ -193,13 +201,13 @@ def _folded(names: list[str]) -> list[list]:
     return items
 
 
-def page_wrapper(page: str) -> dict:
-    """The wrapper of a single page."""
+def page_wrapper(page: str, stream: list | None = None, plain: bool = False) -> dict:
+    """The wrapper of a single page; ``plain`` if it has no article or main element with text."""
     current: dict[str, list[str]] = {"": []}  # children of the last element with a path
     lists: dict[str, list[list[str]]] = {"": [current[""]]}  # and of all elements with it
     texts: dict[str, list[str]] = {}
     open_text = None
-    for path, text in blocks(page):
+    for path, text in blocks(page) if stream is None else stream:
         if text is None:
             parent, _, name = path.rpartition("/")
             current.setdefault(parent, []).append(name)
@@ -218,7 +226,7 @@ def page_wrapper(page: str) -> dict:
             folded = _folded(names)
             own = folded if own is None else _aligned(own, folded)
         text = " ".join(" ".join(texts.get(path, [])).split())
-        out[path] = [1, len(text), zlib.crc32(text.encode("utf-8", "replace")), own]
+        out[path] = [1, len(text), zlib.crc32(text.encode("utf-8", "replace")), own, int(plain), len(text) if plain else 0]
     return out
 
 
@@ -241,15 +249,17 @@ def _aligned(one: list[list], two: list[list]) -> list[list]:
 def merge(one: dict, two: dict) -> dict:
     """The wrapper of the pages of both."""
     out = dict(one)
-    for path, (pages, chars, crc, own) in two.items():
-        if path in out:
-            n, c, r, children = out[path]
-            out[path] = [n + pages, c + chars, r if r == crc else None, _aligned(children, own)]
-        else:
-            out[path] = [pages, chars, crc, own]
+    for path, own in two.items():
+        out[path] = _joined(out[path], own) if path in out else own
     return out
 
 
+def _joined(one: list, two: list) -> list:
+    """What two wrappers have of one path."""
+    (n, c, r, children, m, d), (pages, chars, crc, own, plain_pages, plain_chars) = one, two
+    return [n + pages, c + chars, r if r == crc else None, _aligned(children, own), m + plain_pages, d + plain_chars]
+
+
 def expression(wrapper: dict, path: str = "") -> str:
     """The wrapper as a union-free regular expression: ``(...)?`` optional, ``(...)+`` repeated, ``#`` a text slot."""
     out = []
@@ -276,53 +286,107 @@ def _is_other(name: str, inside_main: bool) -> bool:
     return not inside_main and (tag == "header" or bool(words & _HEADER_WORDS and tag not in ("article", "main", "body", "html")))
 
 
-def content_paths(wrapper: dict) -> list[str]:
-    """The paths whose text belongs to the main text."""
-
-    def steps(path):
-        return path.split("/")[1:]
-
-    def clean(path, start=0):
-        return not any(_is_other(name, start > 0) for name in steps(path)[start:])
-
-    paths = [p for p in wrapper if p]
-    for wanted in ("article", "main", None):
-        roots = []
-        for path in paths:
-            tag, words = _parts(steps(path)[-1])
-            fits = tag == wanted if wanted else tag not in ("html", "body") and bool(words & _MAIN_WORDS)
-            if fits and clean(path):
-                roots.append(path)
-        roots = [r for r in roots if not any(r.startswith(o + "/") for o in roots)]
-        kept = [p for p in paths if any(_under(p, r) and clean(p, len(steps(r))) for r in roots)]
-        if sum(wrapper[p][1] for p in kept):
-            return sorted(kept)
-    # No such element: the one whose varying paragraphs hold most text.
-    mass: dict[str, int] = {}
-    for path in paths:
-        pages, chars, crc, _ = wrapper[path]
-        if not clean(path) or (crc is not None and pages > 1):
-            continue
-        mass[path] = mass.get(path, 0) + chars
-        parent = path.rpartition("/")[0]
-        if parent and _parts(steps(path)[-1])[0] in ("p", "h1", "h2", "h3", "h4", "blockquote", "pre", "ul", "ol", "table"):
-            mass[parent] = mass.get(parent, 0) + chars
-    if not mass or not max(mass.values()):
-        mass = {p: wrapper[p][1] for p in paths if clean(p)}
-    if not mass:
-        return [""]
-    root = min(mass, key=lambda p: (-mass[p], len(p), p))
-    return sorted(p for p in paths if _under(p, root) and clean(p, len(steps(root))))
+class Standing(NamedTuple):
+    """What the steps of a path say: is its text kept by an article, a main, an element marked so, or at all."""
+
+    article: bool
+    main: bool
+    marked: bool
+    clean: bool
+    last_other: int  # number of the last step that is left out inside of a main part
+
+
+@lru_cache(maxsize=1 << 16)
+def standing(path: str) -> Standing:
+    steps = path.split("/")[1:]
+    outside = next((i for i, name in enumerate(steps, 1) if _is_other(name, False)), len(steps) + 1)
+    last = max((i for i, name in enumerate(steps, 1) if _is_other(name, True)), default=0)
+
+    def kept(fits) -> bool:
+        root = next((i for i, name in enumerate(steps, 1) if fits(*_parts(name))), len(steps) + 1)
+        return root < outside and root <= len(steps) and last <= root
+
+    return Standing(
+        kept(lambda tag, _: tag == "article"),
+        kept(lambda tag, _: tag == "main"),
+        kept(lambda tag, words: tag not in ("html", "body") and bool(words & _MAIN_WORDS)),
+        outside > len(steps),
+        last,
+    )
+
+
+def _credited(path: str) -> str | None:
+    """The element that a paragraph's text counts for besides the paragraph."""
+    parent, _, name = path.rpartition("/")
+    return parent if path and _parts(name)[0] in _PARAGRAPHS else None
+
+
+def page_rule(chars: dict[str, int]) -> tuple[int | None, list[str]]:
+    """How the main part of a page is found, by its characters per path.
+
+    ``(0, 1 or 2, [])``: by its articles, its main or elements marked so.  ``(3, paths)``: these
+    may be the root, all clean; ``(4, paths)``: no path is clean.  ``(None, [])``: no text.
+    """
+    full = [p for p, n in chars.items() if n]
+    for kind in range(3):
+        if any(standing(p)[kind] for p in full):
+            return kind, []
+    clean = [p for p in full if standing(p).clean]
+    if not full:
+        return None, []
+    paths = set(clean or full)
+    paths.update(up for up in map(_credited, clean or full) if up is not None)
+    return (3 if clean else 4), sorted(paths)
+
+
+def shape_of(kind: int, paths: list[str]) -> str:
+    return f"{kind}{hashlib.md5(chr(10).join(paths).encode('utf-8', 'replace')).hexdigest()}"
+
+
+def heaviest(paths: list[tuple[str, float, float]]) -> str:
+    """The root among ``(path, varying characters, all characters)`` of a mean page of the host.
+
+    An element around the heaviest one that holds a good part as much itself is the root of both.
+    """
+    at = 1 if any(p[1] for p in paths) else 2
+    root = min(paths, key=lambda p: (-p[at], len(p[0]), p[0]))
+    around = [p[0] for p in paths if _under(root[0], p[0]) and p[at] >= root[at] / 4]
+    return min(around, key=len)
 
 
 def _under(path: str, root: str) -> bool:
     return path == root or path.startswith(root + "/")
 
 
-def extract_text(page: str, content: frozenset[str]) -> str:
-    """The text of a page in the given paths: white space is one space, blocks are joined by one."""
-    # A space from the element around separates blocks also where that element itself is left out.
-    return " ".join("".join(t if p in content else " " for p, t in blocks(page) if t is not None).split())
+def is_content(path: str, kind: int, root: str | None) -> bool:
+    """Whether the text of a path belongs to the main part of a page with this rule."""
+    own = standing(path)
+    if kind < 3:
+        return own[kind]
+    if root is None or not _under(path, root):
+        return False
+    return kind == 4 or (own.last_other <= root.count("/") if root else own.clean)
+
+
+def text_of(stream: list[tuple[str, str | None]], kind: int, root: str | None = None) -> str:
+    """The main text of a page: white space is one space, blocks are joined by one."""
+    kept: dict[str, bool] = {}
+    out = []
+    for path, text in stream:
+        if text is not None:
+            if path not in kept:
+                kept[path] = is_content(path, kind, root)
+            # A space from the element around separates blocks also where that element itself is left out.
+            out.append(text if kept[path] else " ")
+    return " ".join("".join(out).split())
+
+
+def _chars(stream: list[tuple[str, str | None]]) -> dict[str, int]:
+    chars: dict[str, int] = {}
+    for path, text in stream:
+        if text is not None and text and not text.isspace():
+            chars[path] = chars.get(path, 0) + len(text)
+    return chars
 
 
 # --- tables ------------------------------------------------------------------
@@ -332,83 +396,213 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(host, pages, wrapper, expression, content)`` per host, stored; ``wrapper`` is JSON."""
+_ROWS = "h string, salt int, path string, pages long, chars long, crc long, children string, plain_pages long, plain_chars long"
+_PARTS = pa.schema(
+    [("h", pa.string()), ("salt", pa.int32()), ("path", pa.string())]
+    + [(c, pa.int64()) for c in ("pages", "chars", "crc")]
+    + [("children", pa.string())]
+    + [(c, pa.int64()) for c in ("plain_pages", "plain_chars")]
+)
+_SHAPED = "shape string, paths array<string>"
+_SHAPES = pa.schema([("shape", pa.string()), ("paths", pa.list_(pa.string()))])
+
+
+def _row(part: dict) -> list:
+    return [part[0], part[1], part[2], json.dumps(part[3]), part[4], part[5]]
+
+
+def _merged(batches: Iterator[pa.RecordBatch], keep_salt: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of one host and path (and salt), which follow each other, as one."""
+    schema = _PARTS if keep_salt else _PARTS.remove(1)
+    key, whole, out, size = None, None, [], 0
+
+    def flush():
+        names = [f.name for f in schema]
+        rows = [dict(zip([f.name for f in _PARTS], [*k, *_row(w)], strict=True)) for k, w in out]
+        return pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows], schema)
+
+    for batch in batches:
+        columns = [batch.column(f.name).to_pylist() for f in _PARTS]
+        for h, salt, path, pages, chars, crc, children, plain_pages, plain_chars in zip(*columns, strict=True):
+            new = [pages, chars, crc, json.loads(children), plain_pages, plain_chars]
+            if (h, salt if keep_salt else 0, path) == key:
+                whole = _joined(whole, new)
+                continue
+            if key is not None:
+                out.append((key, whole))
+                size += 1
+            key, whole = (h, salt if keep_salt else 0, path), new
+            if size >= 4096:
+                yield flush()
+                out, size = [], 0
+    if key is not None:
+        out.append((key, whole))
+    if out:
+        yield flush()
+
+
+def wrapper_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """The wrappers of all hosts, a row per host and path, and ``(h, shape, paths)`` of pages without a main element; stored."""
     source = bounded(pages).select(host_of(F.col(url_col)).alias("h"), F.coalesce(F.col(html_col), F.lit("")).alias("v"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = TaskContext.get().partitionId() % SALTS
         own: dict[str, dict] = {}
+        shapes: dict[tuple[str, str], list[str]] = {}
 
         def out():
-            names, rows = list(own), [json.dumps(w) for w in own.values()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array([salt] * len(names), pa.int32()), pa.array(rows, pa.string())],
-                ["h", "salt", "w"],
-            )
-
+            rows = [[h, salt, path, *_row(w), None, None] for h, wrapper in own.items() for path, w in wrapper.items()]
+            rows += [[h, salt, *[None] * 7, shape, paths] for (h, shape), paths in shapes.items()]
+            names = [f.name for f in (*_PARTS, *_SHAPES)]
+            for lo in range(0, len(rows), 4096):
+                columns = zip(*rows[lo : lo + 4096], strict=True)
+                yield pa.RecordBatch.from_pydict(dict(zip(names, map(list, columns), strict=True)), pa.schema([*_PARTS, *_SHAPES]))
+
+        held = 0
         for batch in batches:
             for part in slices(batch):
                 for host, page in zip(part.column("h").to_pylist(), part.column("v").to_pylist(), strict=True):
-                    new = page_wrapper(page)
-                    own[host] = merge(own[host], new) if host in own else new
-                if len(own) > HOSTS:
-                    yield out()
-                    own.clear()
-        if own:
-            yield out()
-
-    def join(table: pa.Table) -> pa.Table:
-        whole = None
-        for text in table.column("w"):
-            new = json.loads(text.as_py())
-            whole = new if whole is None else merge(whole, new)
-        return table.slice(0, 1).set_column(table.schema.get_field_index("w"), "w", pa.array([json.dumps(whole)]))
-
-    parts = source.mapInArrow(work, "h string, salt int, w string")
-    merged = parts.groupBy("h", "salt").applyInArrow(join, "h string, salt int, w string")
-    merged = merged.groupBy("h").applyInArrow(lambda t: join(t.drop_columns(["salt"])), "h string, w string")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                    stream = list(blocks(page))
+                    kind, paths = page_rule(_chars(stream))
+                    plain = bool(paths)
+                    if plain and (host, shape_of(kind, paths)) not in shapes:
+                        shapes[host, shape_of(kind, paths)] = paths
+                        held += len(paths)
+                    new = page_wrapper(page, stream, plain)
+                    before = own.get(host, {})
+                    held -= len(before)
+                    own[host] = merge(before, new)
+                    held += len(own[host])
+                    if held > PATHS:
+                        yield from out()
+                        own.clear()
+                        shapes.clear()
+                        held = 0
+        yield from out()
+
+    spark = pages.sparkSession
+    parts = stage(source.mapInArrow(work, f"{_ROWS}, {_SHAPED}"), staging_path(spark, "wrapper-parts"))
+    rows = parts.where("path is not null").drop("shape", "paths")
+    salted = rows.repartition("h", "path", "salt").sortWithinPartitions("h", "path", "salt")
+    salted = salted.mapInArrow(lambda batches: _merged(batches, True), _ROWS)
+    whole = salted.repartition("h", "path").sortWithinPartitions("h", "path")
+    whole = whole.mapInArrow(lambda batches: _merged(batches, False), _ROWS.replace("salt int, ", ""))
+    shapes = parts.where("shape is not null").select("h", "shape", "paths").dropDuplicates(["h", "shape"])
+    return stage(whole, staging_path(spark, "wrappers")), shapes
+
+
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(host, pages, expression)`` per host."""
+    rows, _ = wrapper_rows(pages, url_col, html_col)
+
+    def work(table: pa.Table) -> pa.Table:
+        columns = [table.column(c).to_pylist() for c in ("path", "pages", "children")]
+        wrapper = {path: [n, 0, None, json.loads(children)] for path, n, children in zip(*columns, strict=True)}
+        return pa.table({"host": table.column("h")[:1], "pages": [wrapper[""][0]], "expression": [expression(wrapper)]})
+
+    return rows.groupBy("h").applyInArrow(work, "host string, pages long, expression string")
+
+
+def root_rules(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+    """``(h, shape, root)``: the root of the main part of all pages of a host with these paths."""
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wrappers = [json.loads(w) for w in batch.column("w").to_pylist()]
+            paths = batch.column("path").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("h"),
-                    pa.array([w[""][0] for w in wrappers], pa.int64()),
-                    batch.column("w"),
-                    pa.array([expression(w) for w in wrappers], pa.string()),
-                    pa.array([content_paths(w) for w in wrappers], pa.list_(pa.string())),
+                    *(batch.column(c) for c in ("h", "path", "plain_pages", "plain_chars", "varies")),
+                    pa.array([_credited(p) for p in paths], pa.string()),
+                    pa.array([standing(p).clean for p in paths], pa.bool_()),
                 ],
-                ["host", "pages", "wrapper", "expression", "content"],
+                ["h", "path", "plain_pages", "plain_chars", "varies", "up", "clean"],
             )
 
-    kind = "host string, pages long, wrapper string, expression string, content array<string>"
-    return stage(merged.mapInArrow(finish, kind), staging_path(pages.sparkSession, "wrappers"))
+    kind = "h string, path string, plain_pages long, plain_chars long, varies boolean, up string, clean boolean"
+    varies = (F.col("pages") == 1) | F.col("crc").isNull()
+    known = rows.select("h", "path", "plain_pages", "plain_chars", varies.alias("varies"), "chars").where("plain_pages > 0")
+    known = known.mapInArrow(described, kind)
+    to = F.explode(F.expr("filter(array(struct(path AS p, plain_pages AS n), struct(up AS p, 0L AS n)), x -> x.p is not null)"))
+    credit = known.select("h", "plain_chars", "varies", "clean", to.alias("to"), (F.col("to.p") == F.col("path")).alias("own"))
+    mass = credit.groupBy("h", F.col("to.p").alias("path")).agg(
+        F.max("to.n").alias("n"),
+        *(
+            F.sum(F.when(F.expr(c), F.col("plain_chars")).otherwise(0)).alias(name)
+            for name, c in (("clean_varying", "clean and varies"), ("clean_all", "clean"), ("varying", "varies"), ("every", "true"))
+        ),
+    )
+    salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS))))
+    mass = mass.select("*", salts.alias("salt"))
+    asked = shapes.select("h", "shape", F.pmod(F.hash("shape"), F.lit(SALTS)).alias("salt"), F.explode("paths").alias("path"))
+    # Paths that are left out elsewhere count for a host whose pages have no others.
+    bare = rows.mapInArrow(_clean_chars, "h string, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n = 0").select("h")
+    odd = asked.where("shape like '4%'").join(bare, "h", "left_semi")
+    asked = asked.where("shape like '3%'").unionByName(odd.select(*asked.columns))
+    first = F.col("shape").startswith("3")
+    one = F.greatest(F.col("n"), F.lit(1))
+    found = asked.join(mass, ["h", "path", "salt"]).groupBy("h", "shape").agg(
+        F.collect_list(F.struct(
+            "path",
+            (F.when(first, F.col("clean_varying")).otherwise(F.col("varying")) / one).alias("varying"),
+            (F.when(first, F.col("clean_all")).otherwise(F.col("every")) / one).alias("every"),
+        )).alias("paths")
+    )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            roots = [heaviest([tuple(p.values()) for p in paths]) for paths in batch.column("paths").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("shape"), pa.array(roots, pa.string())], ["h", "shape", "root"])
+
+    return stage(found.mapInArrow(choose, "h string, shape string, root string"), staging_path(rows.sparkSession, "roots"))
+
+
+def _clean_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(batch.column("path").to_pylist(), batch.column("chars").to_pylist(), strict=True)
+        own = [n if any(standing(p)[:4]) else 0 for p, n in rows]
+        yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(own, pa.int64())], ["h", "n"])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(id, url, text)`` of every page, by its host's wrapper."""
-    wrappers = infer_wrappers(pages, url_col, html_col).select(F.col("host").alias("h"), "content")
-    source = pages.select(
+    """``(id, url, text)`` of every page, by its own main element or the root that its host's wrapper gives for its paths."""
+    rules = root_rules(*wrapper_rows(pages, url_col, html_col))
+    source = bounded(pages).select(
         F.col(id_col).alias("k"), F.col(url_col).alias("u"), F.coalesce(F.col(html_col), F.lit("")).alias("v"),
         host_of(F.col(url_col)).alias("h"),
     )
     key = source.schema["k"].dataType.simpleString()
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[str]] = {}
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts of pages that need no rule, and the shape of the others."""
+        for batch in batches:
+            for part in slices(batch):
+                texts, left, shapes, salts = [], [], [], []
+                for page in part.column("v").to_pylist():
+                    stream = list(blocks(page))
+                    kind, paths = page_rule(_chars(stream))
+                    crc = zlib.crc32(page.encode("utf-8", "replace"))
+                    texts.append(None if paths else "" if kind is None else text_of(stream, kind))
+                    left.append(page if paths else None)
+                    shapes.append(shape_of(kind, paths) if paths else f"-{crc}")
+                    salts.append(crc % SALTS)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in "kuh"), pa.array(left, pa.string()), pa.array(shapes, pa.string()),
+                        pa.array(salts, pa.int32()), pa.array(texts, pa.string()),
+                    ],
+                    ["k", "u", "h", "v", "shape", "salt", "text"],
+                )
+
+    def ruled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 texts = []
-                rows = zip(part.column("h").to_pylist(), part.column("v").to_pylist(), part.column("content"), strict=True)
-                for host, page, content in rows:
-                    if host not in known:
-                        if len(known) > HOSTS:
-                            known.clear()
-                        known[host] = frozenset(content.as_py())
-                    texts.append(extract_text(page, known[host]))
+                rows = zip(*(part.column(c).to_pylist() for c in ("v", "shape", "root", "text")), strict=True)
+                for page, shape, root, text in rows:
+                    texts.append(text if page is None else text_of(list(blocks(page)), int(shape[0]), root))
                 yield pa.RecordBatch.from_arrays([part.column("k"), part.column("u"), pa.array(texts, pa.string())], ["k", "u", "text"])
 
-    joined = source.join(wrappers, "h").select("k", "u", "v", "h", "content")
-    return joined.mapInArrow(work, f"k {key}, u string, text string").withColumnsRenamed({"k": id_col, "u": url_col})
+    judged = source.mapInArrow(own, f"k {key}, u string, h string, v string, shape string, salt int, text string")
+    salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS))))
+    joined = judged.join(rules.select("*", salts.alias("salt")), ["h", "shape", "salt"], "left").select("k", "u", "v", "shape", "root", "text")
+    return joined.mapInArrow(ruled, f"k {key}, u string, text string").withColumnsRenamed({"k": id_col, "u": url_col})

@@ -64,3 +64,22 @@ def test_odd_rows(spark):
         (6, "no tags at all & more"),
     ]
     assert W.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("url", ["http://mixed.example.com/{}", None])
+def test_templates_of_one_host(spark, url, monkeypatch):
+    monkeypatch.setattr(W, "SALTS", 2)
+    rows, want = [], {}
+    rng = random.Random(5)
+    for i in range(60):
+        kind = ["article", "main", "plain", "report", "article"][i % 5]
+        body, text = ARTICLE[i % len(ARTICLE)]
+        words = " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=20))
+        page = frame(f"{body}<p>{words}</p>", kind, i)
+        if kind == "report" or i == 57:
+            page = page.replace("class=story", "class=report" if i != 57 else "class=single")
+        rows.append((i, url and url.format(i), page))
+        want[i] = f"{text} {words}"
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = W.extract(df).collect()
+    assert {r.page_id: r.text for r in got} == want and len(got) == len(rows)
