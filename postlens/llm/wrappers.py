@@ -46,6 +46,10 @@ SALTS = 32
 # Paths of wrappers and of pages' shapes that a task holds at a time.
 PATHS = 50_000
 
+# Parts of one element in a wrapper's expression; where classes differ by page, the expression
+# has their tags only.  Texts do not depend on it.
+CHILDREN = 200
+
 # Longest group of tags that is recognized as repeated.
 GROUP = 3
 
@@ -78,6 +82,7 @@ _OTHER_WORDS = frozenset(
 )
 _HEADER_WORDS = frozenset("header heading topbar top".split())
 _MAIN_WORDS = frozenset(["main", "article"])
+_KNOWN_WORDS = _OTHER_WORDS | _HEADER_WORDS | _MAIN_WORDS
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 blockquote pre ul ol table".split())
 
 _TOKEN = re.compile(
@@ -91,13 +96,15 @@ _TEXT = "#text"
 
 
 def _attributes(text: str) -> tuple[str, bool]:
-    """The words of class, id and role, and whether the element is hidden."""
+    """The words of class and role, those words of the id that have a meaning here, and whether the element is hidden."""
     marks, hidden = [], False
     for name, *values in _ATTR.findall(text):
         value = values[0] or values[1] or values[2]
         name = name.lower()
-        if name in ("class", "id", "role"):
+        if name in ("class", "role"):
             marks += [w.lower() for w in _WORD.findall(value)]
+        elif name == "id":  # often unique to a page, so it does not name a path
+            marks += [w for w in map(str.lower, _WORD.findall(value)) if w in _KNOWN_WORDS]
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = True
         elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
@@ -108,8 +115,7 @@ def _attributes(text: str) -> tuple[str, bool]:
 def blocks(page: str) -> Iterator[tuple[str, str | None]]:
     """A page as a stream: ``(path, None)`` where an element begins, ``(path, text)`` for its text.
 
-    A path is made of the open block elements, each its tag and the words of its class, id
-    and role.  Text comes as raw pieces; inline tags do not separate them, a break is a space.
+    A path is made of the open block elements, each its tag and the words of its class and role.  Text comes as raw pieces; inline tags do not separate them, a break is a space.
     """
     stack: list[tuple[str, str]] = []  # tag, path
     path, at, size = "", 0, len(page)
@@ -257,7 +263,16 @@ def merge(one: dict, two: dict) -> dict:
 def _joined(one: list, two: list) -> list:
     """What two wrappers have of one path."""
     (n, c, r, children, m, d), (pages, chars, crc, own, plain_pages, plain_chars) = one, two
-    return [n + pages, c + chars, r if r == crc else None, _aligned(children, own), m + plain_pages, d + plain_chars]
+    aligned = _general(_aligned(_general(children), _general(own)))
+    return [n + pages, c + chars, r if r == crc else None, aligned, m + plain_pages, d + plain_chars]
+
+
+def _general(children: list[list]) -> list[list]:
+    """Children as they are, or, if they are too many for a template, one repeated group per tag of any marks."""
+    if len(children) <= CHILDREN:
+        return children
+    names = sorted({_TEXT if n == _TEXT else _parts(n)[0] for c in children for n in c[0]})
+    return [[(n,), True, True] for n in names]
 
 
 def expression(wrapper: dict, path: str = "") -> str:
@@ -494,6 +509,9 @@ def wrapper_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(host, pages, expression)`` per host."""
     rows, _ = wrapper_rows(pages, url_col, html_col)
+    # What a single page of a host has is no part of its template; all of it stays in the rows.
+    total = rows.where("path = ''").select("h", F.col("pages").alias("total"))
+    rows = rows.join(total, "h").where("pages > 1 or total = 1").select("h", "path", "pages", "children")
 
     def work(table: pa.Table) -> pa.Table:
         columns = [table.column(c).to_pylist() for c in ("path", "pages", "children")]

@@ -83,3 +83,23 @@ def test_templates_of_one_host(spark, url, monkeypatch):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
     got = W.extract(df).collect()
     assert {r.page_id: r.text for r in got} == want and len(got) == len(rows)
+
+
+def test_wrapper_is_as_large_as_the_template(spark):
+    def page(i):
+        word = "".join(chr(97 + i // 26**k % 26) for k in range(3))
+        body = f"<h2 id=my-{word}>Title {word}</h2><p id=p{word}>Text {word}</p><div id='slug-{word}'><p>more {word}</p></div>"
+        return (i, "http://hot.example.com/", frame(body, "plain", 0)), f"Title {word} Text {word} more {word}"
+
+    sizes = set()
+    for count in (20, 300):
+        rows, want = zip(*map(page, range(count)), strict=True)
+        df = spark.createDataFrame(list(rows), "page_id long, url string, html string").repartition(4)
+        sizes.add(len(W.infer_wrappers(df).first().expression))
+        assert {r.page_id: r.text for r in W.extract(df).collect()} == dict(enumerate(want))
+    assert len(sizes) == 1
+    classes = [W.page_wrapper(f"<div class=post-{'x' * i}>t</div>") for i in range(1, 3 * W.CHILDREN)]
+    whole = classes[0]
+    for one in classes[1:]:
+        whole = W.merge(whole, one)
+    assert len(whole[""][3]) <= W.CHILDREN + 1 and whole[""][0] == len(classes)
