@@ -11,10 +11,12 @@ sees all pages of a large host, no row holds a whole wrapper.
 The main part is chosen per page, since a host can have several templates: the articles if
 they have text, else the main element, else the element whose paragraphs vary over the host
 and hold most text on a mean page that has it and no article or main.  That root is found
-once per host and set of paths, and pages are matched to it by a digest of their paths.  Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are left out by their tags and
-by the words of their class, id and role.  A page's text is what it has in the slots kept.
-Where that leaves no page of a host with text, its paths count unfiltered.
+once per host and set of paths, and pages are matched to it by a digest of their paths.
+
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
+are left out by their tags, by the words of their class and role, and by ids made of such words
+only.  A page's text is what it has in the slots kept.  Where that leaves no page of a host with
+text, its paths count unfiltered.
 
 Defined results: null html is empty and gives an empty text; pages without a host share the
 empty host; repeated rows are extracted each; an empty table gives no rows.
@@ -82,7 +84,18 @@ _OTHER_WORDS = frozenset(
 )
 _HEADER_WORDS = frozenset("header heading topbar top".split())
 _MAIN_WORDS = frozenset(["main", "article"])
-_KNOWN_WORDS = _OTHER_WORDS | _HEADER_WORDS | _MAIN_WORDS
+# Words of ids of what is no part of an article even within it, and of ids of main parts.
+_SECTION_IDS = frozenset(
+    "ad ads adsense advert adverts advertisement adbox comments commentlist disqus respond replies sidebar navbar breadcrumb "
+    "breadcrumbs newsletter pagination cookie cookies".split()
+)
+_MAIN_IDS = _MAIN_WORDS | frozenset("content body text wrap wrapper container area column col inner".split())
+# Classes of article elements that are comments or teasers.
+_NO_ARTICLE = frozenset(
+    "ad ads advert advertisement promo promotion sponsored sidebar related recommended comment comments reply replies widget".split()
+)
+_PAGE = frozenset(["html", "body"])
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p h1 h2 h3 h4 blockquote pre ul ol table".split())
 
 _TOKEN = re.compile(
@@ -95,37 +108,62 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _TEXT = "#text"
 
 
-def _attributes(text: str) -> tuple[str, bool]:
-    """The words of class and role, those words of the id that have a meaning here, and whether the element is hidden."""
-    marks, hidden = [], False
+def _signature(tag: str, text: str) -> str:
+    """A step of a path: the tag, the marks that its attributes give, and ``!`` if it is hidden.
+
+    Marks are the words of class and role.  Ids are often unique to a page, so of them only
+    ``#id`` (a whole name made of words of what is no article) and ``#ids`` (also inside of one,
+    where sections have ids as anchors) are kept.  Page and main elements state layout and topics
+    in their classes; of them only ``#all`` is kept, if all of an article's classes say it is none.
+    """
+    if tag in _PAGE:
+        return tag
+    names: dict[str, str] = {}
+    hidden = False
     for name, *values in _ATTR.findall(text):
         value = values[0] or values[1] or values[2]
         name = name.lower()
-        if name in ("class", "role"):
-            marks += [w.lower() for w in _WORD.findall(value)]
-        elif name == "id":  # often unique to a page, so it does not name a path
-            marks += [w for w in map(str.lower, _WORD.findall(value)) if w in _KNOWN_WORDS]
+        if name in ("class", "id", "role"):
+            names.setdefault(name, value)
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             hidden = True
         elif name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
-    return ".".join(sorted(set(marks))), hidden
+    words, own, role = (set(map(str.lower, _WORD.findall(names.get(n, "")))) for n in ("class", "id", "role"))
+    if tag in _MAIN_WORDS or role & _MAIN_WORDS:
+        marks = set() if tag in _MAIN_WORDS else role & _MAIN_WORDS
+        if words and words <= _NO_ARTICLE:
+            marks = marks | {"#all"}
+    else:
+        marks = words | role
+        if own and tag not in _HEADINGS:
+            if own <= _SECTION_IDS:
+                marks.add("#ids")
+            elif own <= _OTHER_WORDS | _HEADER_WORDS:
+                marks.add("#id")
+            elif own <= _MAIN_IDS:
+                marks |= own & _MAIN_WORDS
+    return tag + "".join("." + m for m in sorted(marks)) + ("!" if hidden else "")
 
 
 def blocks(page: str) -> Iterator[tuple[str, str | None]]:
     """A page as a stream: ``(path, None)`` where an element begins, ``(path, text)`` for its text.
 
-    A path is made of the open block elements, each its tag and the words of its class and role.  Text comes as raw pieces; inline tags do not separate them, a break is a space.
+    A path is made of the open block elements, see :func:`_signature`.  Text comes as raw pieces;
+    inline tags do not separate them, a break is a space.  Inline elements that are hidden or no
+    part of an article by their class are passed over.
     """
     stack: list[tuple[str, str]] = []  # tag, path
     path, at, size = "", 0, len(page)
     signatures: dict[tuple[str, str], str] = {}
+    muted = size  # place in the stack of an open inline element that is passed over
     while at < size:
         match = _TOKEN.search(page, at)
         if match is None:
-            yield path, html.unescape(page[at:])
+            if muted == size:
+                yield path, html.unescape(page[at:])
             return
-        if match.start() > at:
+        if match.start() > at and muted == size:
             yield path, html.unescape(page[at : match.start()])
         at = match.end()
         tag = match["tag"]
@@ -133,40 +171,60 @@ def blocks(page: str) -> Iterator[tuple[str, str | None]]:
             continue
         tag = tag.lower()
         if match["end"]:
-            if tag in _INLINE:
-                continue
             for depth in range(len(stack) - 1, -1, -1):
+                if tag in _INLINE and depth < muted:
+                    break
                 if stack[depth][0] == tag:
-                    del stack[depth:]
+                    if tag in _INLINE:
+                        del stack[depth]
+                        muted = size if depth == muted else muted
+                    else:
+                        del stack[depth:]
+                        muted = size if len(stack) <= muted else muted
                     path = stack[-1][1] if stack else ""
                     break
-            yield path, " "
+            if tag not in _INLINE and muted == size:
+                yield path, " "
             continue
         if tag in _RAW:
             close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = close.end() if close else size
-            yield path, " "
+            if muted == size:
+                yield path, " "
             continue
-        if tag in _INLINE and tag != "br":
+        if tag in _INLINE:
+            if tag not in _VOID and (muted < size or match["attrs"] and _inline_other(tag, match["attrs"], signatures)):
+                muted = min(muted, len(stack))
+                stack.append((tag, path))
             continue
         if tag in _VOID:
-            yield path, " "
+            if muted == size:
+                yield path, " "
             continue
         if tag in _CLOSES_P:
             _close(stack, ("p",), ("div", "article", "section", "td", "li", "blockquote", "body"))
         elif tag in _CLOSED_BY:
             _close(stack, _CLOSED_BY[tag][0].split(), _CLOSED_BY[tag][1])
+        muted = size if len(stack) <= muted else muted
         key = (tag, match["attrs"])
         signature = signatures.get(key)
         if signature is None:
-            marks, hidden = _attributes(key[1]) if key[1] else ("", False)
-            signature = signatures[key] = tag + ("." + marks if marks else "") + ("!" if hidden else "")
+            signature = signatures[key] = _signature(tag, key[1]) if key[1] else tag
         path = (stack[-1][1] if stack else "") + "/" + signature
         stack.append((tag, path))
-        yield path, " "
+        if muted == size:
+            yield path, " "
         yield path, None
 
 
+def _inline_other(tag: str, attrs: str, signatures: dict[tuple[str, str], str]) -> bool:
+    key = (tag, attrs)
+    if key not in signatures:
+        signatures[key] = _signature(tag, attrs)
+    name = signatures[key]
+    return name.endswith("!") or bool(_parts(name)[1] & _OTHER_WORDS)
+
+
 def _close(stack: list[tuple[str, str]], tags, walls) -> None:
     for depth in range(len(stack) - 1, -1, -1):
         if stack[depth][0] in tags:
@@ -296,9 +354,9 @@ def _parts(name: str) -> tuple[str, set[str]]:
 
 def _is_other(name: str, inside_main: bool) -> bool:
     tag, words = _parts(name)
-    if name.endswith("!") or tag in _DROPPED or words & _OTHER_WORDS:
+    if name.endswith("!") or tag in _DROPPED or words & _OTHER_WORDS or words & {"#all", "#ids"}:
         return True
-    return not inside_main and (tag == "header" or bool(words & _HEADER_WORDS and tag not in ("article", "main", "body", "html")))
+    return not inside_main and (tag == "header" or "#id" in words or bool(words & _HEADER_WORDS))
 
 
 class Standing(NamedTuple):
@@ -324,7 +382,7 @@ def standing(path: str) -> Standing:
     return Standing(
         kept(lambda tag, _: tag == "article"),
         kept(lambda tag, _: tag == "main"),
-        kept(lambda tag, words: tag not in ("html", "body") and bool(words & _MAIN_WORDS)),
+        kept(lambda tag, words: tag not in _PAGE and bool(words & _MAIN_WORDS)),
         outside > len(steps),
         last,
     )

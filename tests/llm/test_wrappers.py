@@ -103,3 +103,25 @@ def test_wrapper_is_as_large_as_the_template(spark):
     for one in classes[1:]:
         whole = W.merge(whole, one)
     assert len(whole[""][3]) <= W.CHILDREN + 1 and whole[""][0] == len(classes)
+
+
+OTHERS = [
+    ("<body class='has-sidebar search-enabled'><div class=story><p>a {0}</p></div><footer>no</footer>", "a {0}"),
+    ("<body hidden><main class=with-menu><p>a {0}</p></main><nav>no</nav>", "a {0}"),
+    ("<article class='post category-legal'><h2 id='related-work' >a</h2><section id=search><p>{0}</p></section></article><p>no {0}", "a {0}"),
+    ("<article><p>a<span class=ad>no <b>no</b><span>no</span> no</span>b <i hidden>no</i>{0}<a class=share>no</p><p>c</article>", "ab {0} c"),
+    ("<article><p>a <span class=ad>no <em>no</em></span>{0}</p><section id=comments>no</section></article>", "a {0}"),
+    ("<article class=comment><p>no {0}</p></article><main><p>a {0}</p></main>", "a {0}"),
+    ("<div class='layout with-sidebar'><div class=story><p>a {0}</p><p>b</p></div></div>", "a {0} b"),
+    ("<h2 id=main-results>r {0}</h2><p>a {0} {0}</p><div id='cookie-notice'>no</div>", "r {0} a {0} {0}"),
+]
+
+
+def test_only_what_is_no_article_is_left_out(spark):
+    rows, want = [], {}
+    for n, (page, text) in enumerate(OTHERS):
+        for i in range(4):
+            rows.append((4 * n + i, f"http://h{n}.example.com/{i}", page.format(f"word{i}")))
+            want[4 * n + i] = text.format(f"word{i}")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in W.extract(df).collect()} == want
