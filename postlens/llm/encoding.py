@@ -76,7 +76,7 @@ class Encoder:
         heads, tails = [], []
         for word, stem in zip(words.to_pylist(), stems.to_pylist(), strict=True):
             # The mark of a special token stays as it is.
-            if not stem or not stem[-1].isalnum() or "<|" in word:
+            if not stem or "<|" in word or (len(stem) < len(word) and not self._ends_alnum(stem)):
                 stem = word
             heads.append(stem)
             tails.append(word[len(stem) :] if len(stem) < len(word) else "")
@@ -85,6 +85,12 @@ class Encoder:
         count = len(heads)
         return np.fromiter(map(known.__getitem__, heads), np.int64, count), np.fromiter(map(known.__getitem__, tails), np.int64, count)
 
+    def _ends_alnum(self, stem: str) -> bool:
+        """Whether a stem ends in a letter or digit, also after the tokenizer's normalizer, which may leave a mark there."""
+        if not stem[-1].isascii() and self.tokenizer.normalizer is not None:
+            stem = self.tokenizer.normalizer.normalize_str(stem)
+        return stem[-1:].isalnum()
+
     def _learn(self, words) -> None:
         words = list(words)
         for lo in range(0, len(words), 10_000):
