@@ -37,11 +37,11 @@ def op3_token_counts(spark, sf_dir):
 
 
 def op4_warc_derivatives(spark, sf_dir):
-    """Metadata and conversion records of all pages; the blocks stand in the digest and length."""
+    """Metadata and conversion records of all pages, whole."""
     records = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
     return records.withColumn("page_id", F.col("source_id").cast("long")).select(
         "page_id", "warc_type", "record_id", "refers_to", "target_uri", "content_type", "source_digest", "block_digest",
-        "content_length", F.md5("source_headers").alias("headers_md5"),
+        "content_length", F.md5("source_headers").alias("headers_md5"), "warc_date", "source_headers", "block",
     )
 
 

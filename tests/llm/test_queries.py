@@ -1,5 +1,6 @@
 """Registered queries on a small table: with SQL by test_catalog, the others here by brute force."""
 
+import hashlib
 import html
 import re
 import zlib
@@ -69,6 +70,13 @@ def test_warc(spark):
     assert len(rows) == 2 * Q.table(spark, SF_DIR, "pages").count() == 2 * len({r.refers_to for r in rows})
 
 
+def test_warc_records_are_whole(spark):
+    rows = Q.op4_warc_derivatives(spark, SF_DIR).collect()
+    assert {"warc_date", "source_headers", "block"} <= set(rows[0].asDict())
+    assert all(len(r.block.encode()) == r.content_length and hashlib.md5(r.source_headers.encode()).hexdigest() == r.headers_md5 for r in rows)
+    assert all(r.block for r in rows if r.warc_type == "conversion")
+
+
 def test_neighbours(spark):
     table = Q.table(spark, SF_DIR, "embeddings").collect()
     ids = np.array([r.vec_id for r in table])
