@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import decontaminate, packing, quality, secret_scan, shingle_join, token_counts, token_store, vector_graph, warc, wrappers
+from postlens.llm import (
+    conversation_repair,
+    decontaminate,
+    fingerprints,
+    packing,
+    quality,
+    secret_scan,
+    shingle_join,
+    spelling,
+    token_counts,
+    token_store,
+    vector_graph,
+    warc,
+    wrappers,
+)
 from postlens.sources.staging import stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +99,19 @@ def op10_ngram_jaccard_join(spark, sf_dir):
     return shingle_join.link_components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
+def op12_document_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -98,6 +125,9 @@ QUERIES: dict[str, Query] = {
         op8_benchmark_decontamination,
         op9_nearest_neighbours,
         op10_ngram_jaccard_join,
+        op11_spelling_variants,
+        op12_document_fingerprints,
+        op13_conversation_repair,
     )
 }
 

@@ -25,7 +25,7 @@ def docs(spark):
 
 
 def test_every_operator_has_a_query():
-    assert [name.split("_")[0] for name in Q.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in Q.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(Q.ORACLES) <= set(Q.QUERIES)
 
 
@@ -90,3 +90,35 @@ def test_neighbours(spark):
         order = np.lexsort((ids, -(vectors @ vectors[q])))
         hits += len(got[ids[q]] & set(ids[order[order != q][:20]].tolist()))
     assert hits >= 0.9 * len(rows) and len(rows) == 20 * len(got)
+
+
+def test_spelling_variants(spark, docs):
+    from test_spelling import as_set, expected, words_of
+
+    assert as_set(Q.op11_spelling_variants(spark, SF_DIR)) == expected(words_of(docs))
+
+
+def test_document_fingerprints(spark, docs):
+    from test_fingerprints import jaccard, shingles
+
+    rows = {r.doc_id: r for r in Q.op12_document_fingerprints(spark, SF_DIR).collect()}
+    order = [(k, t or "") for k, t in docs[::-1]]
+    errors = []
+    for (key, text), (after, following) in zip(order, order[1:] + order[:1], strict=True):
+        changed = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        row = rows[key]
+        assert (row.n_chars, row.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
+        errors.append(row.near_edited - jaccard(shingles(text), shingles(changed)))
+        errors.append(row.near_next - jaccard(shingles(text), shingles(following)))
+        assert (row.fingerprint == rows[after].fingerprint) == (row.near_next == 1)
+    assert len(rows) == len(docs) and np.abs(errors).max() < 0.2 and abs(np.mean(errors)) < 0.01
+
+
+def test_conversation_repair(spark):
+    from test_conversation_repair import expected
+
+    talks = {}
+    for r in Q.table(spark, SF_DIR, "conversations").collect():
+        talks.setdefault(r.conv_id, []).append((r.conv_id, r.turn, r.role, r.text))
+    rows = Q.op13_conversation_repair(spark, SF_DIR).collect()
+    assert {r.conv_id: tuple(r) for r in rows} == {c: expected(c, t) for c, t in talks.items()}
