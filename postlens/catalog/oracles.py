@@ -224,6 +224,9 @@ SELECT CAST(doc_id AS VARCHAR) AS subject_id, 1 AS chunk, CAST(pos AS INTEGER) A
 SELECT CAST(doc_id AS VARCHAR) AS subject_id, 0 AS pos, CAST(length(trim(text, ' ')) AS INTEGER) AS n_chars,
        md5(trim(text, ' ')) AS text_md5
 FROM documents WHERE source NOT IN ('src0', 'src1')""",
+    "xml_sections": """
+    SELECT CAST(doc_id AS VARCHAR) AS subject_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5, CAST(0 AS BIGINT) AS rejects
+    FROM (SELECT doc_id, '</INDIVIDUAL><INDIVIDUAL>' || text || '<INDIVIDUAL>' AS t FROM documents)""",
     "xml_rejects": r"""
 SELECT CAST(doc_id AS VARCHAR) AS subject_id,
        CASE source WHEN 'src1' THEN 'no closing tag' ELSE 'not well-formed' END AS reason

@@ -18,7 +18,7 @@ from postlens.operators import posts as P
 from postlens.plans import dashboard, embedding_classifier, etl, roles, tfidf_classifier
 from postlens.sources.labels import label_rejects, read_labels
 from postlens.sources.staging import stage, staging_path
-from postlens.sources.subjects import read_subjects_xml, subject_rejects, write_subjects_xml
+from postlens.sources.subjects import accepted, read_subjects_xml, rejects, subject_rejects, write_subjects_xml
 from postlens.sources.views import read_dashboard_view, read_view, write_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,8 +81,26 @@ def xml_single_writings(spark, sf_dir):
 
 
 def xml_rejects(spark, sf_dir):
-    rejects = subject_rejects(spark, f"{_xml_with_errors(spark, sf_dir)}/*/*.txt")
-    return rejects.select(F.regexp_extract("record", "<ID>(.*?)</ID>", 1).alias("subject_id"), "reason")
+    bad = subject_rejects(spark, f"{_xml_with_errors(spark, sf_dir)}/*/*.txt")
+    return bad.select(F.regexp_extract("record", "<ID>(.*?)</ID>", 1).alias("subject_id"), "reason")
+
+
+def xml_sections(spark, sf_dir):
+    """Texts in CDATA sections that spell record tags, behind comments that hold whole records; ``rejects`` counts lost parts."""
+    path = staging_path(spark, "xml-sections")
+    S.documents(spark, sf_dir).select(
+        F.concat(
+            F.lit("<!-- <INDIVIDUAL><ID>none</ID></INDIVIDUAL> --><INDIVIDUAL><ID>"),
+            F.col("doc_id"),
+            F.lit("</ID><WRITING><TEXT><![CDATA[</INDIVIDUAL><INDIVIDUAL>"),
+            F.col("text"),
+            F.lit("<INDIVIDUAL>]]></TEXT></WRITING></INDIVIDUAL>"),
+        ).alias("value")
+    ).write.text(path)
+    subjects = stage(read_subjects_xml(spark, f"{path}/*.txt", ("TEXT",), corrupt=True), staging_path(spark, "subjects"))
+    posts = P.flatten_posts(accepted(subjects))
+    lost = rejects(subjects).groupBy().agg(F.count("*").alias("rejects")).scalar()
+    return posts.select("subject_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), lost.alias("rejects"))
 
 
 def _label_lines(spark, sf_dir) -> str:
@@ -548,6 +566,7 @@ QUERIES: dict[str, Query] = {
         xml_posts_roundtrip,
         xml_single_writings,
         xml_rejects,
+        xml_sections,
         label_parse,
         label_line_rejects,
         view_roundtrip,

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.sources import markup
+
 # Element names of the input format.
 ROW_TAG = "INDIVIDUAL"
 WRITING_FIELDS = ("TITLE", "DATE", "INFO", "TEXT")
@@ -41,25 +43,31 @@ def _records(spark: SparkSession, path: str | list[str], encoding: str) -> DataF
     The opening tag is the record separator of a plain text scan.  The scan therefore
     splits large files, a malformed record cannot hide the records behind it, which the
     whole-file XML reader loses, and a record without closing tag is seen: every opening
-    tag gives a row.  ``record`` is a key of the record, made of its file and text.
+    tag gives a row, unless it stands in a CDATA section or a comment (see ``markup``).
+    ``record`` is a key of the record, made of its file and text.
     """
-    pieces = spark.read.option("lineSep", f"<{ROW_TAG}").text(path)
+    tag = f"<{ROW_TAG}"
     value = F.col("value")
     if encoding.upper() not in ("UTF-8", "UTF8"):
         value = F.decode(value.cast("binary"), encoding)
-    parts = F.split(value, rf"</{ROW_TAG}\s*>", 2)
+    pieces = spark.read.option("lineSep", tag).text(path).select(
+        value.alias("value"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
+    )
+    value = F.col("value")
+    closed = markup.cut(value, rf"</{ROW_TAG}\s*>")
     single = F.regexp_extract(value, r"^[^<>]*/>", 0)
     text = (
-        F.when(F.size(parts) == 2, F.concat(F.lit(f"<{ROW_TAG}"), parts[0], F.lit(f"</{ROW_TAG}>")))
-        .when(single != "", F.concat(F.lit(f"<{ROW_TAG}"), single))
-        .otherwise(F.concat(F.lit(f"<{ROW_TAG}"), value))
+        F.when(single != "", F.concat(F.lit(tag), single))
+        .when(closed.isNotNull(), F.concat(F.lit(tag), closed, F.lit(f"</{ROW_TAG}>")))
+        .otherwise(F.concat(F.lit(tag), value))
     )
-    unclosed = (F.size(parts) < 2) & (single == "")
-    return pieces.where(value.rlike(_TAG_GOES_ON)).select(
+    unclosed = closed.isNull() & (single == "")
+    return markup.whole_pieces(pieces, tag).where(value.rlike(_TAG_GOES_ON)).select(
         text.alias("text"),
         F.when(unclosed, F.lit(UNCLOSED)).alias("reason"),
-        F.col("_metadata.file_path").alias("file"),
-        F.xxhash64("_metadata.file_path", value).alias("record"),
+        "file",
+        F.xxhash64("file", value).alias("record"),
     )
 
 
@@ -74,8 +82,8 @@ def read_subjects_xml(
 
     ``fields`` names the writing fields to parse; leave out those not needed.  Malformed and
     unclosed records are left out here and listed by :func:`subject_rejects`; with
-    ``corrupt`` they stay as rows that only fill ``_corrupt_record`` and ``reason``.  A
-    record tag spelled inside CDATA cuts the record, whose parts are then rejected.
+    ``corrupt`` they stay as rows that only fill ``_corrupt_record`` and ``reason``.  Record
+    tags in CDATA sections and comments are text, wherever the file is split.
     ``encoding`` is one in which the tags have the same bytes as in ASCII.  A path that does
     not exist raises.
     """

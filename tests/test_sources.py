@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 
 from postlens.operators.posts import flatten_posts, label_posts
 from postlens.plans.etl import read_labelled_posts, read_posts
-from postlens.sources import staging
+from postlens.sources import markup, staging
 from postlens.sources.labels import label_rejects, read_labels
 from postlens.sources.subjects import read_subjects_xml, subject_rejects, subject_schema, write_subjects_xml
 from postlens.sources.views import read_dashboard_view, read_view, write_view
@@ -122,6 +123,79 @@ def test_every_opening_tag_is_a_record_or_a_reject(spark, tmp_path):
     assert read_subjects_xml(spark, path, corrupt=True).count() == 5
 
 
+SECTIONS = [
+    "<INDIVIDUAL><ID>a</ID><WRITING><TEXT><![CDATA[see <INDIVIDUAL> and </INDIVIDUAL> there]]></TEXT></WRITING></INDIVIDUAL>",
+    "<!-- <INDIVIDUAL><ID>hidden</ID></INDIVIDUAL> -->",
+    "<INDIVIDUAL><ID>b</ID><!-- ]]> <INDIVIDUAL> --><WRITING><TEXT>plain</TEXT></WRITING></INDIVIDUAL>",
+    "<INDIVIDUAL><ID>c</ID><WRITING><TEXT><![CDATA[<INDIVIDUAL><!-- <INDIVIDUAL x='1'> " + "<INDIVIDUAL>" * 30 + "]]></TEXT></WRITING>"
+    "<WRITING><TEXT><![CDATA[</INDIVIDUAL>]]> tail</TEXT></WRITING></INDIVIDUAL >",
+    "<INDIVIDUAL><ID>d</ID><WRITING><TEXT>last --&gt; one</TEXT></WRITING></INDIVIDUAL>",
+]
+SECTION_POSTS = [
+    ("a", "see <INDIVIDUAL> and </INDIVIDUAL> there"), ("b", "plain"),
+    ("c", "<INDIVIDUAL><!-- <INDIVIDUAL x='1'> " + "<INDIVIDUAL>" * 30), ("c", "</INDIVIDUAL> tail"), ("d", "last --> one"),
+]
+
+
+@pytest.mark.parametrize("split", [61, 150, 1 << 20])
+def test_record_tags_in_sections(spark, tmp_path, split):
+    """Sections with record tags, in splits of every kind, next to a file without any."""
+    xml(tmp_path, "chunk1", "a.xml", "<SUBJECTS>\n" + "\n".join(SECTIONS) + "\n</SUBJECTS>")
+    xml(tmp_path, "chunk1", "b.xml", subject("e", writing(TEXT="other file")))
+    path = str(tmp_path / "chunk1")
+    old = {c: spark.conf.get(c, None) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for c in old:
+            spark.conf.set(c, split)
+        posts = read_posts(spark, path).select("subject_id", "text").collect()
+        rejected = subject_rejects(spark, path).collect()
+    finally:
+        for c, value in old.items():
+            spark.conf.unset(c) if value is None else spark.conf.set(c, value)
+    assert sorted(map(tuple, posts)) == sorted([*SECTION_POSTS, ("e", "other file")])
+    assert rejected == []
+
+
+def test_sections_that_are_never_closed(spark, tmp_path):
+    """They hide no record behind them; one that a later record closes hides what lies between."""
+    open_one = "<INDIVIDUAL><ID>o</ID><WRITING><TEXT><![CDATA[ open</TEXT></WRITING></INDIVIDUAL>"
+    comment = "<INDIVIDUAL><ID>p</ID><!-- open <WRITING><TEXT>x</TEXT></WRITING></INDIVIDUAL>"
+    good = [subject(f"g{i}", writing(TEXT=f"t{i}")) for i in range(4)]
+    xml(tmp_path, "chunk1", "a.xml", good[0] + open_one + good[1] + comment + good[2])
+    xml(tmp_path, "chunk1", "b.xml", open_one.replace("open<", "<") + good[3] + SECTIONS[0])
+    found = read_posts(spark, str(tmp_path / "chunk1")).select("subject_id").collect()
+    assert sorted(r.subject_id for r in found) == ["g0", "g1", "g2", "o"]
+    rejected = subject_rejects(spark, str(tmp_path / "chunk1")).collect()
+    assert sorted(r.record[16:17] for r in rejected) == ["o", "p"]
+
+
+def test_states_equal_a_lexer(spark):
+    """Maps of pieces against a character-wise lexer, for all three beginnings."""
+    rng = random.Random(7)
+    parts = ["<![CDATA[", "]]>", "<!--", "-->", "x", "<a>", "<!", "]]", "--", "\n"]
+    values = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(400)]
+
+    def lexed(value, state):
+        at = 0
+        while at < len(value):
+            if state == markup.TEXT:
+                found = [s for s, o in markup.OPENS.items() if value.startswith(o, at)]
+                if found:
+                    state, at = found[0], at + len(markup.OPENS[found[0]])
+                    continue
+            elif value.startswith(markup.CLOSES[state], at):
+                state, at = markup.TEXT, at + 3
+                continue
+            at += 1
+        return state
+
+    df = spark.createDataFrame([(v,) for v in values], "value string").select("value", markup.state_map(F.col("value")).alias("m"))
+    for row in df.collect():
+        # A closing token may not begin with what opened the section; see "<!-->".
+        if "<!-->" not in row.value:
+            assert row.m == [lexed(row.value, s) for s in (markup.TEXT, markup.CDATA, markup.COMMENT)]
+
+
 def test_other_encodings(spark, tmp_path):
     (tmp_path / "chunk1").mkdir()
     (tmp_path / "chunk1" / "a.xml").write_bytes(subject("é1", writing(TEXT="été")).encode("latin-1"))
