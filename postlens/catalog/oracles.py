@@ -208,7 +208,7 @@ metrics AS (
 )"""
 
 _NEAR = r"""
-seeds AS (SELECT min(vec_id) AS vec_id FROM embeddings GROUP BY label),
+seeds AS (SELECT vec_id FROM embeddings WHERE vec_id % 50 = 0),
 pairs AS (
   SELECT s.vec_id AS seed, v.vec_id,
          list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS similarity
@@ -329,6 +329,13 @@ FROM conversations GROUP BY ALL""",
 SELECT CASE WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS subject_id, conv_id, turn // 4 AS segment,
        string_agg(text, ' ' ORDER BY turn, text) AS all_text
 FROM conversations GROUP BY ALL""",
+    "subject_rope": """
+WITH whole AS (SELECT source, string_agg(text, ' ' ORDER BY doc_id) AS t FROM documents GROUP BY source),
+cut AS (
+  SELECT source, chunk, substr(t, 4096 * chunk + 1, 4096) AS piece, length(t) AS total_chars
+  FROM (SELECT source, t, unnest(range(0, CAST(greatest(1, ceil(length(t) / 4096)) AS BIGINT))) AS chunk FROM whole)
+)
+SELECT source, chunk, 4096 * chunk AS start, length(piece) AS n_chars, total_chars, md5(piece) AS text_md5 FROM cut""",
     "term_counts": f"WITH {_TERMS} SELECT doc_id, word, n FROM counts",
     "token_counts": f"WITH {_TERMS} SELECT doc_id, word, n FROM counts",
     "vocabulary": f"WITH {_TERMS} SELECT word, df, n FROM vocab",
@@ -354,6 +361,12 @@ train AS (SELECT * FROM parts WHERE is_train AND label IN (0, 1)),
 sizes AS (SELECT label, count(*) AS own, min(count(*)) OVER () AS smaller FROM train GROUP BY label)
 SELECT t.subject_id, t.label FROM train t JOIN sizes s USING (label)
 WHERE t.bits < CAST(s.smaller AS DOUBLE) / s.own * 4294967296""",
+    "balanced_train_exact": f"""
+WITH {_SPLIT},
+train AS (SELECT * FROM parts WHERE is_train AND label IN (0, 1)),
+ranked AS (SELECT subject_id, label, row_number() OVER (PARTITION BY label ORDER BY bits, subject_id) AS rank FROM train),
+sizes AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM train GROUP BY label))
+SELECT subject_id, label FROM ranked WHERE rank <= (SELECT n FROM sizes)""",
     "model_roles": f"WITH {_ROLES} SELECT subject_id, label, is_train FROM roles",
     "model_vocabulary": f"WITH {_MODEL_WORDS} SELECT index, word FROM model_index",
     "count_vectors": f"""

@@ -312,6 +312,13 @@ def subject_corpus_records(spark, sf_dir):
     )
 
 
+def subject_rope(spark, sf_dir):
+    """All documents of a source as one text, in chunks of 4096 characters."""
+    docs = S.documents(spark, sf_dir).select("source", "doc_id", "text")
+    rope = corpus.subject_rope(docs, ["source"], ["doc_id"], chunk_chars=4096)
+    return rope.select("source", "chunk", "start", "n_chars", "total_chars", F.md5("text").alias("text_md5"))
+
+
 def _counts(spark, sf_dir):
     docs = S.documents(spark, sf_dir)
     return terms.text_term_counts(docs, ["doc_id"], stop_words=text.english_stop_words())
@@ -379,6 +386,12 @@ def balanced_train(spark, sf_dir):
     return sampling.undersample(train)
 
 
+def balanced_train_exact(spark, sf_dir):
+    """Exactly as many training subjects of the larger class as of the smaller."""
+    train, _ = sampling.keyed_split(S.labels(spark, sf_dir))
+    return sampling.exact_undersample(train)
+
+
 def _rule_predictions(spark, sf_dir):
     """A prediction that SQL can repeat: class 1 if the text holds a given word."""
     hit = F.lower("text").contains("worthless")
@@ -399,14 +412,14 @@ def classification_metrics(spark, sf_dir):
 
 def similar_vectors(spark, sf_dir):
     vectors = S.table(spark, sf_dir, "embeddings")
-    seeds = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    seeds = vectors.where("vec_id % 50 = 0").select("vec_id")
     near = similarity.similar_vectors(vectors, seeds, 10, key="vec_id", vector="embedding")
     return near.withColumn("similarity", F.round("similarity", 5))
 
 
 def best_neighbours(spark, sf_dir):
     vectors = S.table(spark, sf_dir, "embeddings")
-    seeds = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    seeds = vectors.where("vec_id % 50 = 0").select("vec_id")
     near = similarity.similar_vectors(
         vectors, seeds, 10, min_similarity=0.2, key="vec_id", vector="embedding"
     )
@@ -548,9 +561,9 @@ def similar_words(spark, sf_dir):
 
 
 def similar_words_top20(spark, sf_dir):
-    """The chart's rows over the given vectors: neighbours of one seed per label, strongest last."""
+    """The chart's rows over the given vectors: neighbours of every fiftieth, strongest last."""
     vectors = S.table(spark, sf_dir, "embeddings")
-    seeds = vectors.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    seeds = vectors.where("vec_id % 50 = 0").select("vec_id")
     near = similarity.similar_vectors(vectors, seeds, 10, key="vec_id", vector="embedding")
     best = similarity.best_neighbours(near, "vec_id", 50)
     return similarity.strongest(best, "vec_id").withColumn("similarity", F.round("similarity", 5))
@@ -600,6 +613,7 @@ QUERIES: dict[str, Query] = {
         subject_corpus,
         subject_corpus_segments,
         subject_corpus_records,
+        subject_rope,
         term_counts,
         token_counts,
         vocabulary,
@@ -609,6 +623,7 @@ QUERIES: dict[str, Query] = {
         tfidf_of_counts,
         train_test_split,
         balanced_train,
+        balanced_train_exact,
         confusion_matrix,
         classification_metrics,
         similar_vectors,

@@ -167,3 +167,45 @@ def test_golden_metrics(spark):
 def test_confusion_has_no_empty_cells(spark):
     df = spark.createDataFrame([(1, 1.0), (0, 0.0), (0, 0.0)], "label int, prediction double")
     assert {tuple(r) for r in evaluate.confusion(df).collect()} == {(1, 1.0, 1), (0, 0.0, 2)}
+
+
+def expected_sample(keys, n):
+    import hashlib
+
+    own = lambda k: int(hashlib.md5(f"{'' if k is None else k}:sample".encode()).hexdigest()[:8], 16)
+    return sorted(keys, key=lambda k: (own(k), k is not None, k))[:n]
+
+
+@pytest.mark.parametrize("prefix_bits", [16, 4])
+def test_exact_sample(spark, monkeypatch, prefix_bits):
+    """Exactly n rows by hash, for every n, also where a histogram's bars hold many rows."""
+    monkeypatch.setattr(sampling, "PREFIX_BITS", prefix_bits)
+    keys = list(range(60))
+    df = spark.createDataFrame([(k, "x") for k in keys], "subject_id long, subject_id_rank string").repartition(5)
+    for n in (0, 1, 2, 31, 59, 60, 100):
+        got = sampling.exact_sample(df, n)
+        assert got.columns == df.columns
+        assert sorted(r.subject_id for r in got.collect()) == sorted(expected_sample(keys, n))
+
+
+def test_exact_sample_of_repeated_and_null_keys(spark):
+    rows = [(7, i) for i in range(50)] + [(None, 1), (None, 2), (3, 3)]
+    df = spark.createDataFrame(rows, "subject_id long, x int")
+    for n in (1, 2, 10, 52):
+        got = sampling.exact_sample(df, n).collect()
+        assert len(got) == n == len(set(got))
+        assert sorted(map(str, (r.subject_id for r in got))) == sorted(map(str, expected_sample([k for k, _ in rows], n)))
+    assert sampling.exact_sample(df.limit(0), 3).count() == 0
+
+
+def test_exact_undersample(spark):
+    for n1, n0 in ((17, 40), (40, 17), (5, 5)):
+        got = sampling.exact_undersample(subjects(spark, n1, n0, 5))
+        assert {r.label: r["count"] for r in got.groupBy("label").count().collect()} == {0: min(n1, n0), 1: min(n1, n0)}
+    assert sampling.exact_undersample(subjects(spark, 9, 0, 3)).count() == 9
+
+
+def test_random_split(spark):
+    df = spark.range(1000).withColumnRenamed("id", "subject_id")
+    train, test = sampling.random_split(df, 0.8, seed=1)
+    assert train.unionByName(test).distinct().count() == 1000 and 700 < train.count() < 900

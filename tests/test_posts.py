@@ -174,3 +174,29 @@ def test_records_of_one_subject_stay_apart(spark):
     df = spark.range(5000).selectExpr("'hot' AS subject_id", "1 AS label", "id AS record", "0 AS pos", "'t' || id AS text")
     got = corpus.subject_corpus(df, record=("record",))
     assert got.count() == 5000 and got.where("segment = 0 AND all_text = 't' || record").count() == 5000
+
+
+@pytest.mark.parametrize("chunk_chars", [7, 100, corpus.CHUNK_CHARS])
+def test_rope_is_the_whole_text(spark, chunk_chars):
+    """5000 posts of one subject, a very long post, empty and NULL texts: chunks joined are the whole text."""
+    few = 5000 if chunk_chars > 7 else 300
+    rows = [("hot", 1, i // 50, i % 50, f"pöst {i}" if i % 7 else None) for i in range(few)]
+    rows += [("long", 0, 0, 0, "é" * 2000), ("long", 0, 0, 1, ""), ("long", 0, 1, 0, "end"), ("none", 0, 0, 0, None), (None, 0, 0, 0, "x"), ("void", 1, 0, 0, "")]
+    df = spark.createDataFrame(rows, "subject_id string, label int, record int, pos int, text string").repartition(6)
+    rope = corpus.subject_rope(df, order=("record", "pos"), chunk_chars=chunk_chars).cache()
+    texts, want = {}, {}
+    for r in rope.orderBy("chunk").collect():
+        assert r.start == r.chunk * chunk_chars == len(texts.get(r.subject_id, "")) and r.n_chars == len(r.text) <= chunk_chars
+        texts[r.subject_id] = texts.get(r.subject_id, "") + r.text
+    for name in ("hot", "long", "none", None, "void"):
+        want[name] = " ".join(r[4] for r in rows if r[0] == name and r[4] is not None)
+    assert texts == want
+    assert {r.subject_id: r.total_chars for r in rope.collect()} == {k: len(v) for k, v in want.items()}
+    for start, length in ((0, 5), (95, 30), (350, 1)):
+        got = {r.subject_id: r.text for r in corpus.rope_range(rope, start, length, chunk_chars=chunk_chars).collect()}
+        assert {k: v for k, v in got.items() if v} == {k: v[start : start + length] for k, v in want.items() if v[start:]}
+    rope.unpersist()
+
+
+def test_rope_of_nothing(spark):
+    assert corpus.subject_rope(spark.createDataFrame([], "subject_id string, label int, pos int, text string")).count() == 0

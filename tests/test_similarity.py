@@ -82,3 +82,30 @@ def test_equals_find_synonyms(spark):
     for seed in ("w1", "w7"):
         want = {r.word: r.similarity for r in model.findSynonyms(seed, 5).collect()}
         assert {r.word: r.similarity for r in mine if r.seed == seed} == pytest.approx(want, abs=1e-5)
+
+
+@pytest.mark.parametrize("block", [1, 16, 256])
+def test_blocks_are_skipped_without_loss(spark, monkeypatch, block):
+    """Crowded directions, equal vectors and all seeds: the same neighbours as by brute force, with fewer pairs."""
+    monkeypatch.setattr(similarity, "ROW_BLOCK", block)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 10))
+    rows = centres[rng.integers(0, 12, size=900)] + rng.normal(size=(900, 10)) * 0.05
+    rows[:300] = rows[0] + rng.normal(size=(300, 10)) * 1e-9  # a third lies in one direction
+    rows[300:320] = rows[300]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id long, vector array<double>").repartition(6)
+    counts = spark.sparkContext.accumulator(np.zeros(2), similarity.PairCounts())
+    seeds = list(range(0, 900, 9))
+    found = similarity.similar_vectors(df, seeds, 15, skipped=counts).collect()
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    got = {}
+    for r in found:
+        got.setdefault(r.seed, []).append(r.similarity)
+    assert set(got) == set(seeds)
+    for seed in seeds:
+        cosines = np.delete(unit @ unit[seed], seed)
+        assert np.allclose(sorted(got[seed]), np.sort(cosines)[-15:], atol=1e-12)
+    skipped, pairs = counts.value
+    assert pairs == 900 * len(seeds) and skipped > 0.5 * pairs
+    same = {(r.seed, r.id) for r in found if r.seed in (306, 315)}
+    assert {(306, i) for i in range(300, 316) if i != 306} <= same
