@@ -9,9 +9,9 @@ signatures are its fragments' contents, hashed, and a set with ``h`` empty fragm
 share ``e + 1 - h`` signatures, at least one; only sets with more than ``e`` empty ones sign
 those too.  The number of fragments belongs to a size class, and a document signs for every
 class its partners may belong to.  One range sort of all signatures shows which documents
-share one.  A signature of few sets yields their pairs, of which those that share as many
-signatures as both need are candidates; sets that share one with many others go to the way
-for crowds, below.
+share one.  A signature of few sets yields their pairs; those of many are counted per set.
+Pairs that may share as many signatures as both need are candidates; sets that could do so by
+signatures of many sets alone go to the way for crowds, below.
 
 *Counts.*  Partial overlaps are counted per fragment and summed per pair.  A pair is first
 bounded from short hashes of 256 fragments (each unequal one is a difference) and, if it
@@ -47,6 +47,9 @@ from postlens.sources.staging import remove, stage, staging_path
 # Sets that share one signature and are paired directly; larger groups go to the way for crowds.
 GROUP = 16
 
+# One fragment more for so many, all of which linking sets need to share: few pairs of a common phrase do.
+SURPLUS = 6
+
 # Ratio of neighbouring size classes, fragments of the bounding sketch, fragments of the count.
 RATIO = 1.5
 SKETCH = 256
@@ -76,7 +79,7 @@ def fragment_counts(bounds: np.ndarray, sim: Similarity) -> tuple[np.ndarray, np
     """Per class ``(fragments, empty ones allowed)``; no fragments where only equal sets link."""
     largest = bounds[1:] - 1
     d = largest * (sim.den - sim.num) // sim.num
-    allowed = 1 + np.ceil(2 * (d + 1) * np.exp(-bounds[:-1] / (d + 1))).astype(np.int64)
+    allowed = 1 + np.ceil(2 * (d + 1) * np.exp(-bounds[:-1] / (d + 1))).astype(np.int64) + (d + 1) // SURPLUS
     return np.where(d > 0, d + 1 + allowed, 0), allowed
 
 
@@ -190,7 +193,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs ``(a, b, shared, need)`` of sets that share signatures, from rows sorted by ``(sign, f)``.
 
     A signature of more than ``GROUP`` sets, and the first and the last of a task, which may
-    go on in another one, give ``(a, null)`` for each of their sets.
+    go on in another one, give ``(a, null, shared)`` for each of their sets: how many such it has.
     """
     sign, f, need = (np.empty(0, np.int64) for _ in range(3))
     edge = True  # the first signature kept is the task's first
@@ -209,14 +212,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = np.flatnonzero((sign[d:] == sign[:-d]) & ~crowd[d:])
             pairs.append(np.column_stack([f[same], f[same + d], np.maximum(need[same], need[same + d])]))
         pairs, shared = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
-        lone = np.unique(f[crowd])
+        lone, times = np.unique(f[crowd], return_counts=True)
         nothing = np.zeros(len(lone), np.int64)
         missing = np.concatenate([np.zeros(len(pairs), bool), np.ones(len(lone), bool)])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([pairs[:, 0], lone])),
                 pa.array(np.concatenate([pairs[:, 1], nothing]), mask=missing),
-                pa.array(np.concatenate([shared, nothing])),
+                pa.array(np.concatenate([shared, times])),
                 pa.array(np.concatenate([pairs[:, 2], nothing])),
             ],
             ["a", "b", "shared", "need"],
@@ -368,23 +371,30 @@ def _components(docs, id_col, text_col, width, sim) -> DataFrame:
     ordered = signs.repartitionByRange("sign", "f").sortWithinPartitions("sign", "f")
     near = stage(ordered.mapInArrow(_neighbours, "a long, b long, shared long, need long"), path("near"))
     # The signatures are the largest table and are no longer needed.
-    described = stage(described.drop("signs", "need"), path("described"))
+    described = stage(described.drop("signs"), path("described"))
     remove(spark, signed)
     marked = described.where("sketch is not null").select("f", "node", "n", "sketch")
+    # What two sets share are signatures counted per pair, and at most the fewer of both sets' crowded ones.
+    crowded = near.where("b is null").groupBy("a").agg(F.sum("shared").alias("crowded"))
+    crowded = stage(crowded.withColumnRenamed("a", "f"), path("crowded"))
     inside = near.where("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
-    inside = stage(inside.where("shared >= need").select("a", "b"), path("candidates"))
+    times = lambda k: crowded.select(F.col("f").alias(k), F.col("crowded").alias(f"{k}_times"))
+    inside = inside.join(times("a"), "a", "left").join(times("b"), "b", "left")
+    most = F.col("shared") + F.least(F.coalesce("a_times", F.lit(0)), F.coalesce("b_times", F.lit(0)))
+    inside = stage(inside.where(most >= F.col("need")).select("a", "b"), path("candidates"))
     one = marked.select(F.col("f").alias("a"), F.col("node").alias("x"), F.col("n").alias("n1"), F.col("sketch").alias("s1"))
     two = marked.select(F.col("f").alias("b"), F.col("node").alias("y"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
     pairs = stage(
         _bounded(inside.join(one.dropDuplicates(["x"]), "a").join(two.dropDuplicates(["y"]), "b"), sim), path("pairs")
     )
-    crowd = marked.join(near.where("b is null").select(F.col("a").alias("f")), "f", "left_semi").select("node").distinct()
-    crowd = stage(crowd, path("crowd"))
+    # Sets that could link by crowded signatures alone.
+    able = described.where("sketch is not null").select("f", "node", "need").join(crowded, "f").where("crowded >= need")
+    crowd = stage(able.select("node").distinct(), path("crowd"))
     nodes = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).unionByName(crowd)
     sets = _sets(docs, nodes.distinct(), described, id_col, text_col, width)
     links = stage(_linked(pairs, sets, sim), path("links"))
-    crowded = _crowd_links(sets.join(crowd, "node", "left_semi"), links, sim)
-    labels = components(links.unionByName(crowded))
+    further = _crowd_links(sets.join(crowd, "node", "left_semi"), links, sim)
+    labels = components(links.unionByName(further))
     rows = described.select("id", "n", "node")
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
