@@ -22,6 +22,20 @@ MAX_WORDS = 250_000
 _TAIL = ".,!?;:#$%&*"
 
 
+# Bytes that are a letter or digit of ASCII.
+_ASCII_ALNUM = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+
+
+def _last_bytes(texts: pa.Array) -> np.ndarray:
+    """The last byte of each large string, 0 for an empty one."""
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+    out = np.zeros(len(texts), dtype=np.uint8)
+    filled = np.diff(offsets) > 0
+    out[filled] = data[offsets[1:][filled] - 1]
+    return out
+
+
 class Encoder:
     """``encode`` gives the ids of texts, as the tokenizer gives them without special tokens."""
 
@@ -69,21 +83,39 @@ class Encoder:
         return ids, np.concatenate([[0], stop])[2 * offsets]
 
     def _entries(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Per word, the entries of its stem and of the punctuation behind it."""
+        """Per word, the entries of its stem and of the punctuation behind it.
+
+        Trims and tests are Arrow masks over all words; only distinct stems are looked up one by one.
+        """
+        words = words.cast(pa.large_string())
         stems = pc.utf8_rtrim(words, _TAIL)
         if self.lowers:  # one entry for all cases of A-Z
             stems = pc.ascii_lower(stems)
-        heads, tails = [], []
-        for word, stem in zip(words.to_pylist(), stems.to_pylist(), strict=True):
-            # The mark of a special token stays as it is.
-            if not stem or "<|" in word or (len(stem) < len(word) and not self._ends_alnum(stem)):
-                stem = word
-            heads.append(stem)
-            tails.append(word[len(stem) :] if len(stem) < len(word) else "")
-        known = self.known
-        self._learn(w for w in dict.fromkeys(heads + tails) if w not in known)
-        count = len(heads)
-        return np.fromiter(map(known.__getitem__, heads), np.int64, count), np.fromiter(map(known.__getitem__, tails), np.int64, count)
+        size, own = (np.asarray(pc.binary_length(x), dtype=np.int64) for x in (words, stems))
+        last = _last_bytes(stems)
+        cut = (own < size) & (own > 0)
+        joins = cut & ~_ASCII_ALNUM[last]
+        # Ends beyond ASCII are judged one by one.
+        for at in np.flatnonzero(joins & (last >= 128)):
+            joins[at] = not self._ends_alnum(stems[int(at)].as_py())
+        # The mark of a special token stays as it is.
+        whole = (own == 0) | joins | np.asarray(pc.match_substring(words, "<|"))
+        stems = pc.if_else(pa.array(whole), words, stems)
+        heads = self._known(stems)
+        cut &= ~whole
+        tails = np.zeros(len(words), dtype=np.int64)
+        if cut.any():
+            rest = (size - own)[cut]  # punctuation is ASCII
+            kept = [w[-n:] for w, n in zip(words.filter(pa.array(cut)).to_pylist(), rest.tolist(), strict=True)]
+            tails[cut] = self._known(pa.array(kept, pa.large_string()))
+        return heads, tails
+
+    def _known(self, texts: pa.Array) -> np.ndarray:
+        """The entries of stems or punctuation; new ones are encoded."""
+        coded = texts.dictionary_encode()
+        names, known = coded.dictionary.to_pylist(), self.known
+        self._learn(w for w in names if w not in known)
+        return np.fromiter(map(known.__getitem__, names), np.int64, len(names))[np.asarray(coded.indices, dtype=np.int64)]
 
     def _ends_alnum(self, stem: str) -> bool:
         """Whether a stem ends in a letter or digit, also after the tokenizer's normalizer, which may leave a mark there."""

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import slices, two_columns
+from postlens.llm.batches import slices, small_side, two_columns
 from postlens.llm.encoding import Encoder
 from postlens.sources.staging import stage, staging_path
 
@@ -318,7 +318,9 @@ def _laid_end_to_end(tails: DataFrame, tokens: DataFrame, window: int, first_seq
         (F.floor((F.col("at") + F.col("d")) / window) + first_sequence).alias("sequence_id"),
         ((F.col("at") + F.col("d")) % window).alias("offset"),
     )
-    cut = piece_ids(pieces.where("ids_crc32 is null").drop("ids_crc32"), tokens)
+    # Few pieces are cut tails: they are sent to the ids instead of shuffling all ids.
+    pieces = stage(pieces, staging_path(tokens.sparkSession, "laid"))
+    cut = piece_ids(small_side(pieces.where("ids_crc32 is null").drop("ids_crc32")), tokens)
     return pieces.where("ids_crc32 is not null").unionByName(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
