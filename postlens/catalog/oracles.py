@@ -381,6 +381,8 @@ FROM roles, (VALUES ('tfidf'), ('embedding')) m(model) WHERE NOT is_train GROUP
     "rf_predictions": _PREDICTIONS,
     "lr_metrics": _METRIC_RANGES,
     "rf_metrics": _METRIC_RANGES,
+    "lr_certificate": f"WITH {_ROLES} SELECT count(*) AS n_test, TRUE AS replayed, TRUE AS converged, TRUE AS varied FROM roles WHERE NOT is_train",
+    "rf_certificate": f"WITH {_ROLES} SELECT count(*) AS n_test, TRUE AS replayed, TRUE AS varied FROM roles WHERE NOT is_train",
     "doc_embedding": f"""
 WITH {_MODEL_WORDS}
 SELECT r.subject_id, r.label, r.is_train, CAST(coalesce(sum(c.n), 0) AS BIGINT) AS n_words,
@@ -424,3 +426,6 @@ near AS (
 SELECT vec_id, round(max(similarity), 5) AS similarity FROM near
 GROUP BY vec_id ORDER BY max(similarity) DESC, vec_id LIMIT 50""",
 }
+ORACLES["dashboard_metrics"] = f"SELECT metric_name, CAST(value AS FLOAT) AS value FROM ({ORACLES['classification_metrics']})"
+ORACLES["dashboard_semantic_words"] = f"""
+SELECT 'v' || vec_id AS word, CAST(similarity AS FLOAT) AS similarity FROM ({ORACLES['best_neighbours']})"""

@@ -15,7 +15,7 @@ from postlens.functions.stopwords import REPORT_STOP_WORDS
 from postlens.operators import activity as A
 from postlens.operators import corpus, evaluate, sampling, similarity, summary, terms, words
 from postlens.operators import posts as P
-from postlens.plans import dashboard, embedding_classifier, etl, roles, tfidf_classifier
+from postlens.plans import certificates, dashboard, embedding_classifier, etl, roles, tfidf_classifier
 from postlens.sources.labels import label_rejects, read_labels
 from postlens.sources.staging import stage, staging_path
 from postlens.sources.subjects import accepted, read_subjects_xml, rejects, subject_rejects, write_subjects_xml
@@ -463,6 +463,44 @@ def rf_metrics(spark, sf_dir):
     return _judged(embedding_classifier.fit(S.training_posts(spark, sf_dir)).predictions())
 
 
+# Largest difference of a replayed probability, and share of the constant model's gradient that is left at the optimum.
+REPLAYED, CONVERGED = 1e-9, 1e-3
+
+
+def lr_certificate(spark, sf_dir):
+    """The regression replayed from its weights, its gradient against that of a constant model."""
+    found = certificates.regression_certificate(tfidf_classifier.fit(S.training_posts(spark, sf_dir)))
+    return found.select(
+        "n_test",
+        (F.col("difference") <= REPLAYED).alias("replayed"),
+        (F.col("gradient") <= CONVERGED * F.col("gradient_of_constant")).alias("converged"),
+        (F.col("distinct_probabilities") > 1).alias("varied"),
+    )
+
+
+def rf_certificate(spark, sf_dir):
+    """The forest replayed as a walk over its node table."""
+    found = certificates.forest_certificate(embedding_classifier.fit(S.training_posts(spark, sf_dir)))
+    return found.select("n_test", (F.col("difference") <= REPLAYED).alias("replayed"), (F.col("distinct_probabilities") > 1).alias("varied"))
+
+
+def _through_view(spark, df, name):
+    folder = staging_path(spark, "dashboard")
+    dashboard.write_views({name: df}, folder)
+    return read_dashboard_view(spark, folder, name)
+
+
+def dashboard_metrics(spark, sf_dir):
+    """The metric table through its CSV view, as floats."""
+    return _through_view(spark, classification_metrics(spark, sf_dir), "dashboard_metrics")
+
+
+def dashboard_semantic_words(spark, sf_dir):
+    """The most similar vectors, named as words, through their CSV view, as floats."""
+    best = best_neighbours(spark, sf_dir).withColumn("word", F.format_string("v%d", "vec_id"))
+    return _through_view(spark, best.select("word", "similarity"), "dashboard_semantic_words")
+
+
 def doc_embedding(spark, sf_dir):
     """Subjects' vectors next to the plain means of their words' vectors: ``differs`` counts components."""
     posts = S.training_posts(spark, sf_dir)
@@ -632,6 +670,10 @@ QUERIES: dict[str, Query] = {
         lr_metrics,
         rf_predictions,
         rf_metrics,
+        lr_certificate,
+        rf_certificate,
+        dashboard_metrics,
+        dashboard_semantic_words,
         doc_embedding,
         model_save_load,
         model_roles,
