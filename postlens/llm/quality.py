@@ -14,7 +14,10 @@ The model is fitted on a bounded sample of labelled rows (``MAX_LABELLED``, the
 hashes); everything else covers all rows.
 
 Defined results: null text is empty text; null host or path is a group of its own; repeated
-rows count each; documents without any label for the fit raise.  Empty tables give no rows.
+rows count each; texts of any length count whole; equal evidence gives equal decisions within a
+path.  Labels of one class only, none at all, or none of a given document say nothing: the
+evidence is 0 everywhere, every probability is one half, and all documents stay.  Extra columns
+may have any name.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -194,7 +197,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30
 def fit(
     docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED
 ) -> Model:
-    """The model from ``bad (id, bad 0/1)``; at most ``max_labelled`` labels, those of the smallest id hashes."""
+    """The model from ``bad (id, bad 0/1)``; at most ``max_labelled`` labels, those of the smallest id hashes.
+
+    Without documents of both classes it finds no evidence in any text.
+    """
     chosen = (
         bad.select(F.col(bad.columns[0]).alias("k"), F.col(bad.columns[1]).cast("int").alias("y"))
         .dropna()
@@ -221,7 +227,7 @@ def fit(
     rows = sample.mapInArrow(work, "x array<double>, y int").toArrow()
     y = np.asarray(rows.column("y"), dtype=np.float64)
     if not len(y) or y.min() == y.max():
-        raise ValueError("the labelled sample must hold good and bad documents")
+        return Model({}, [np.empty(0)] * len(MEASURES), [np.zeros(1)] * len(MEASURES), 0.0)
     table = np.asarray(rows.column("x").combine_chunks().flatten()).reshape(len(y), len(MEASURES))
     order = np.lexsort(table.T)
     table, y = table[order], y[order]
@@ -302,10 +308,12 @@ def posterior(
     """``scored`` with the path's share (without the document itself) and the probability ``out`` of being bad."""
     odd = F.col(evidence_col)
     own = _probability(odd)
-    rest = (F.col("__bad") - own + F.col("__strength") * F.col("__prior")) / (F.col("__n") - 1 + F.col("__strength"))
+    group = _unused("__group", scored.columns)
+    of = lambda c: F.col(group)[c]
+    rest = (of("bad") - own + of("strength") * of("prior")) / (of("n") - 1 + of("strength"))
     share = F.least(F.greatest(rest, F.lit(1e-6)), F.lit(1 - 1e-6))
-    table = groups.select(*[F.col(c).alias(f"__{c}") for c in groups.columns])
-    joined = scored.join(table, F.col(host).eqNullSafe(F.col("__h")) & F.col(path).eqNullSafe(F.col("__p")))
+    table = groups.select(F.struct(*groups.columns).alias(group))
+    joined = scored.join(table, F.col(host).eqNullSafe(of("h")) & F.col(path).eqNullSafe(of("p")))
     return joined.select(
         *scored.columns,
         share.alias(share_col),
@@ -313,6 +321,13 @@ def posterior(
     )
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def bad_labels(labels: DataFrame) -> DataFrame:
     """``(doc_id, bad)``: of low quality or toxic."""
     return labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
@@ -322,10 +337,9 @@ def keep_good(
     docs: DataFrame, model: Model, text_col: str = "text", host: str = "source", path: str = "lang", cut: float = CUT
 ) -> DataFrame:
     """The rows of ``docs`` whose posterior probability of being bad is below ``cut``, columns as they are."""
-    scored = evidence(docs, model, text_col, "__odds")
-    groups, _ = group_posteriors(
-        evidence(docs.select(text_col, host, path), model, text_col, "__odds"), host, path, "__odds"
-    )
+    odds, share, p_bad = (_unused(n, docs.columns) for n in ("__odds", "__share", "__p_bad"))
+    scored = evidence(docs, model, text_col, odds)
+    groups, _ = group_posteriors(evidence(docs.select(text_col, host, path), model, text_col, odds), host, path, odds)
     groups = small_side(stage(groups, staging_path(docs.sparkSession, "groups")))
-    judged = posterior(scored, groups, host, path, "__odds", "__share", "__p_bad")
-    return judged.where(F.col("__p_bad") < cut).select(*docs.columns)
+    judged = posterior(scored, groups, host, path, odds, share, p_bad)
+    return judged.where(F.col(p_bad) < cut).select(*docs.columns)

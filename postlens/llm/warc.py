@@ -4,8 +4,9 @@ Each response record gives two records that refer to it: ``metadata`` (``warc-fi
 title, character set, links, and the source's headers and digest) and ``conversion``
 (``text/plain``).  Their ids are name-based, so a repeated run or task gives the same ones.
 
-Defined results: null payload, headers or content type are empty; a null target or date
-gives no such header; repeated responses give records each; an empty table gives none.
+Defined results: null payload, headers or content type are empty; a null target gives no such
+header; a null date is ``UNDATED``, since every record has to state one; repeated responses give
+records each, with ids of their own; an empty table gives none; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -21,10 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.llm.batches import bounded, slices
+from postlens.llm.batches import bounded, slices, small_side
+from postlens.sources.staging import stage, staging_path
 
 VERSION = "WARC/1.1"
 
+# Date of records whose capture date is unknown.
+UNDATED = "1970-01-01T00:00:00Z"
+
 # Name space of derived record ids, itself named by what it is for.
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:derived-warc-records")
 
@@ -81,30 +86,57 @@ def metadata_fields(page: str, headers: str, content_type: str, source_digest: s
     return "".join(f"{name}: {value}\r\n" for name, value in fields)
 
 
-def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Response records ``(source_id, record_id, target_uri, warc_date, content_type, headers, payload)`` of raw pages."""
-    name = F.md5(F.concat_ws("\u0000", F.col(id_col).cast("string"), F.col(url_col), F.md5(F.coalesce(F.col(html_col), F.lit("")))))
-    dashed = F.regexp_replace(name, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+def responses(
+    pages: DataFrame,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    date: Column | str = UNDATED,
+) -> DataFrame:
+    """Response records ``(source_id, record_id, target_uri, warc_date, content_type, headers, payload)`` of raw pages.
+
+    ``date`` is when all pages were captured, or a timestamp column of ``pages`` that tells it per
+    page (in the session's time zone).  A record's id is named by the page's id, address and content;
+    pages that are equal in all of them add their place in the table, so ids are unique.
+    """
+    # A length before each part, and none for a null: no two different pages spell the same name.
+    spelled = lambda c: F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    name = F.md5(F.concat(spelled(F.col(id_col).cast("string")), spelled(F.col(url_col)), spelled(F.md5(F.col(html_col)))))
     size = F.octet_length(F.coalesce(F.col(html_col), F.lit("")))
-    return pages.select(
+    if isinstance(date, str):
+        when = F.lit(date)
+    else:
+        when = F.date_format(F.to_utc_timestamp(date, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    # Places are given where the table is read, before any exchange, so a repeated task gives the same.
+    named = pages.select(
         F.col(id_col).cast("string").alias("source_id"),
-        F.concat(F.lit("<urn:uuid:"), dashed, F.lit(">")).alias("record_id"),
+        name.alias("name"),
+        F.monotonically_increasing_id().alias("place"),
         F.col(url_col).alias("target_uri"),
-        F.lit(None).cast("string").alias("warc_date"),
+        F.coalesce(when, F.lit(UNDATED)).alias("warc_date"),
         F.lit("text/html; charset=utf-8").alias("content_type"),
         F.concat(
             F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size.cast("string")
         ).alias("headers"),
         F.col(html_col).alias("payload"),
     )
+    repeated = pages.select(name.alias("name")).groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = small_side(stage(repeated.select("name", F.lit(True).alias("again")), staging_path(pages.sparkSession, "repeated")))
+    own = F.when(F.col("again"), F.md5(F.concat_ws(" ", "name", F.col("place").cast("string")))).otherwise(F.col("name"))
+    dashed = F.regexp_replace(own, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return named.join(repeated, "name", "left").select(
+        "source_id", F.concat(F.lit("<urn:uuid:"), dashed, F.lit(">")).alias("record_id"), "target_uri", "warc_date",
+        "content_type", "headers", "payload",
+    )
 
 
 def derive(captured: DataFrame) -> DataFrame:
     """Two records per response of ``captured`` (columns as :func:`responses` gives them)."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     source = bounded(captured).select(
-        "source_id", text("record_id"), "target_uri", "warc_date", text("content_type"), text("headers"), text("payload")
-    )
+        "source_id", text("record_id"), "target_uri", F.coalesce("warc_date", F.lit(UNDATED)).alias("warc_date"),
+        text("content_type"), text("headers"), text("payload"),
+    )
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     kinds = [pa.int64() if c.endswith("long") else pa.string() for c in COLUMNS.split(", ")]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
@@ -141,7 +173,7 @@ def serialized() -> Column:
         line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Refers-To", F.col("refers_to")),
         optional("WARC-Target-URI", F.col("target_uri")),
-        optional("WARC-Date", F.col("warc_date")),
+        line("WARC-Date", F.col("warc_date")),
         line("WARC-Block-Digest", F.col("block_digest")),
         line("Content-Type", F.col("content_type")),
         line("Content-Length", F.col("content_length").cast("string")),

@@ -84,5 +84,22 @@ def test_empty_tables_and_missing_labels(spark, corpus):
     docs, labels = corpus
     model = Q.fit(docs, Q.bad_labels(labels))
     assert Q.keep_good(docs.limit(0), model).count() == 0
-    with pytest.raises(ValueError):
-        Q.fit(docs, Q.bad_labels(labels.limit(0)))
+    for one_sided in (labels.limit(0), labels.where("quality = 1 and toxic = 0")):
+        model = Q.fit(docs, Q.bad_labels(one_sided))
+        assert set(model.log_odds(pa.array(["", "a zzrude", "###"]))) == {0.0}
+        assert Q.keep_good(docs, model).count() == docs.count()
+    assert Q.keep_good(docs.limit(0), Q.fit(docs.limit(0), Q.bad_labels(labels))).count() == 0
+
+
+def test_clashing_names_ties_and_long_texts(spark, corpus):
+    docs, labels = corpus
+    model = Q.fit(docs, Q.bad_labels(labels))
+    long = spark.createDataFrame([(-1, "fair words " * 200_000, None, None), (-2, None, "s1", None)], docs.schema)
+    every = docs.unionByName(docs).unionByName(long)
+    names = ["__odds", "__SHARE", "__p_bad", "__h", "__p", "__bad", "__group"]
+    clashing = every.select("*", *(every.lang.alias(n) for n in names))
+    kept = Q.keep_good(clashing, model)
+    assert kept.columns == clashing.columns
+    got = sorted(r.doc_id for r in kept.select("doc_id").collect())
+    assert got == sorted(r.doc_id for r in Q.keep_good(every, model).select("doc_id").collect())
+    assert all(got.count(i) == 2 for i in got if i >= 0)

@@ -41,10 +41,11 @@ def test_records_are_linked(spark):
     captured = W.responses(df)
     rows = W.derive(captured).select("*", W.serialized().alias("record")).collect()
     assert len(rows) == 2 * len(pages)
-    ids = {r.source_id: r.record_id for r in captured.collect()}
+    ids = [r.record_id for r in captured.collect()]
+    assert len(set(ids)) == len(pages) and len({r.record_id for r in rows}) == len(rows)
     for r in rows:
         page = next(p for p in pages if str(p[0]) == r.source_id)
-        assert r.refers_to == ids[r.source_id] and r.record_id == W.record_name(r.warc_type, r.refers_to)
+        assert r.refers_to in ids and r.record_id == W.record_name(r.warc_type, r.refers_to)
         own = "sha1:" + base64.b32encode(hashlib.sha1((page[2] or "").encode()).digest()).decode()
         assert r.source_digest == own and "HTTP/1.1 200 OK" in r.source_headers
         body = r.block.encode()
@@ -53,7 +54,7 @@ def test_records_are_linked(spark):
         fields = dict(x.split(": ", 1) for x in head.split("\r\n")[1:])
         size = int(fields["Content-Length"])
         assert rest.encode()[:size] == body and rest.encode()[size:] == b"\r\n\r\n"
-        assert fields["WARC-Refers-To"] == r.refers_to and ("WARC-Target-URI" in fields) == (page[1] is not None)
+        assert fields["WARC-Refers-To"] == r.refers_to and fields["WARC-Date"] == W.UNDATED and ("WARC-Target-URI" in fields) == (page[1] is not None)
         if r.warc_type == "conversion":
             assert r.block == W.plain_text(page[2] or "")
         else:
@@ -61,3 +62,16 @@ def test_records_are_linked(spark):
     first = next(r.block for r in rows if r.source_id == "1" and r.warc_type == "metadata")
     assert "title: A & B\r\ncharset: utf-8\r\noutlink: /x?a=1&b=2\r\noutlink: y\r\noutlink: /x\r\n" in first
     assert W.derive(captured.limit(0)).count() == 0
+
+
+def test_dates_and_unique_ids(spark):
+    pages = [(1, "u", "x", "2024-05-06 07:08:09")] * 7 + [(2, None, "x", None), (2, "", "x", None), (2, "", None, None), (None, None, None, None)]
+    df = spark.createDataFrame(pages * 3, "page_id long, url string, html string, seen string").repartition(4)
+    df = df.withColumn("seen", df.seen.cast("timestamp")).withColumn("again", df.page_id).withColumn("name", df.url)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = W.derive(W.responses(df, date=df.seen)).collect()
+    spark.conf.unset("spark.sql.session.timeZone")
+    assert len(rows) == len({r.record_id for r in rows}) == 2 * 3 * len(pages)
+    assert len({r.refers_to for r in rows}) == 3 * len(pages)
+    assert {(r.source_id, r.warc_date) for r in rows} == {("1", "2024-05-06T07:08:09Z"), ("2", W.UNDATED), (None, W.UNDATED)}
+    assert {r.warc_date for r in W.derive(W.responses(df, date="2025-01-02T03:04:05Z")).collect()} == {"2025-01-02T03:04:05Z"}
