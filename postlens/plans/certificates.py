@@ -52,8 +52,9 @@ def gradient(table: DataFrame, weights: DataFrame, probabilities: DataFrame) ->
 def regression_certificate(fitted: tfidf_classifier.Fitted) -> DataFrame:
     """One row: the largest difference of a replayed test probability, the gradient's norm, and that of the best constant.
 
-    The regression minimizes the training loss, so its gradient is far smaller than that of
-    the model which gives every subject the classes' share, where iterations begin.
+    A regression trained to its end minimizes the training loss, so its gradient is far smaller than
+    that of the model which gives every subject the classes' share, where iterations begin.  One that
+    a number of iterations cut short may not be there yet.
     """
     classifier = fitted.model.stages[-1]
     weights = F.broadcast(regression_weights(fitted))

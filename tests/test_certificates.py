@@ -31,6 +31,15 @@ def test_a_barely_trained_regression_fails(posts):
     assert row.distinct_probabilities == 1 and row.gradient > 0.5 * row.gradient_of_constant
 
 
+def test_only_iterations_that_end_by_themselves_reach_the_optimum(posts):
+    made = tfidf_classifier.features(posts, min_df=2.0)
+    cut, uncut = (
+        certificates.regression_certificate(tfidf_classifier.fit_features(made, n)).first() for n in (3, tfidf_classifier.UNCUT_ITER)
+    )
+    assert cut.gradient > 1e-3 * cut.gradient_of_constant and uncut.gradient < 1e-5 * uncut.gradient_of_constant
+    assert uncut.difference < 1e-9
+
+
 def test_wrong_weights_are_seen(spark, posts):
     fitted = tfidf_classifier.fit(posts, min_df=2.0)
     weights = certificates.regression_weights(fitted)
