@@ -35,7 +35,7 @@ def term_counts(df: DataFrame, keys: Sequence[str], words: str = "words") -> Dat
     )
 
 
-def text_term_counts(
+def text_words(
     df: DataFrame,
     keys: Sequence[str],
     col: str = "text",
@@ -43,18 +43,29 @@ def text_term_counts(
     stop_words: Sequence[str] = (),
     keep_wordless: bool = False,
 ) -> DataFrame:
-    """:func:`term_counts` straight from text: ``(*keys, word, n)``, without ``stop_words``.
+    """``(*keys, word)``: a row per occurrence of a word in a text, without ``stop_words``.
 
     Split, explode and filter stay in generated code, where filtering an array would not.
-    With ``keep_wordless``, empty pieces and stop words are counted as word NULL, so that
-    every document has a row.
+    With ``keep_wordless``, empty pieces and stop words are rows of word NULL, so that every
+    document has a row.
     """
     lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
     words = df.select(*keys, F.explode(text.pieces(lowered, pattern)).alias("word"))
     if keep_wordless:
-        words = words.withColumn("word", F.when(_wanted(stop_words), F.col("word")))
-    else:
-        words = words.where(_wanted(stop_words))
+        return words.withColumn("word", F.when(_wanted(stop_words), F.col("word")))
+    return words.where(_wanted(stop_words))
+
+
+def text_term_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    col: str = "text",
+    pattern: str = text.NON_WORD,
+    stop_words: Sequence[str] = (),
+    keep_wordless: bool = False,
+) -> DataFrame:
+    """:func:`term_counts` straight from text: ``(*keys, word, n)``; see :func:`text_words`."""
+    words = text_words(df, keys, col, pattern, stop_words, keep_wordless)
     return words.groupBy(*keys, "word").agg(F.count("*").alias("n"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from postlens.functions import text
 from postlens.operators import similarity
 from postlens.plans import roles
-from postlens.plans.tfidf_classifier import post_words, text_stages
+from postlens.plans.tfidf_classifier import post_tokens, text_stages
 from postlens.sources.staging import stage, staging_path
 
 # Model parameters.
@@ -64,19 +64,20 @@ def w2v_rf_pipeline(
     )
 
 
-def subject_vectors(vectors: DataFrame, counts: DataFrame) -> DataFrame:
+def subject_vectors(word2vec: Word2VecModel, tokens: DataFrame) -> DataFrame:
     """``(*keys, features)``: the mean of a subject's words' vectors, unknown words as zero.
 
-    ``vectors (word, vector)`` meets ``counts (*keys, word, n)`` in a join that Spark plans
-    by size; sums are partial before the shuffle by subject.  The tiny weight of word NULL
-    only matters to a subject without any word, which gets the zero vector.
+    ``tokens (*keys, filtered)`` has a row per post.  The model gives each post the mean of its
+    words, in the task that reads it; a subject's mean weighs its posts by their words.  A
+    vector is made per post, not per word, and sums are partial before the shuffle by
+    subject, which a subject reaches as a row per task.  The tiny weight of a post without
+    words only matters to a subject without any, which gets the zero vector.
     """
-    keys = [c for c in counts.columns if c not in ("word", "n")]
-    size = vectors.select(F.max(F.size("vector")).alias("size")).scalar()
-    known = F.coalesce("vector", F.array_repeat(F.lit(0.0), F.coalesce(size, F.lit(0))))
-    weight = F.when(F.col("word").isNull(), F.lit(1e-300)).otherwise(F.col("n").cast("double"))
-    rows = counts.join(vectors, "word", "left").select(*keys, array_to_vector(known).alias("_v"), weight.alias("_w"))
-    return rows.groupBy(*keys).agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("features"))
+    keys = [c for c in tokens.columns if c != "filtered"]
+    words = F.size("filtered")
+    weight = F.when(words == 0, F.lit(1e-300)).otherwise(words.cast("double"))
+    rows = word2vec.transform(tokens).select(*keys, "features", weight.alias("_w"))
+    return rows.groupBy(*keys).agg(Summarizer.mean(F.col("features"), F.col("_w")).alias("features"))
 
 
 class Fitted(NamedTuple):
@@ -133,8 +134,7 @@ def features(
     tokens = token_posts(labelled, train_fraction, max_subjects)
     word2vec = fit_words(tokens, vector_size, min_count, num_partitions)
     keys = ["subject_id", "label", "is_train"]
-    counts = tokens.select(*keys, F.explode_outer("filtered").alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
-    vectors = subject_vectors(vector_table(word2vec), counts)
+    vectors = subject_vectors(word2vec, tokens.select(*keys, "filtered"))
     return Features(word2vec, stage(vectors, staging_path(spark, "embedding-features"), sort_by=["subject_id", "label"]))
 
 
@@ -162,7 +162,7 @@ def predict(model: PipelineModel, posts: DataFrame) -> DataFrame:
 
     The result has ``subject_id``, ``label`` if the posts have it, and the model's columns.
     """
-    vectors = subject_vectors(word_vectors(model), post_words(model, posts))
+    vectors = subject_vectors(_word_stage(model), post_tokens(model, posts))
     stored = stage(vectors, staging_path(posts.sparkSession, "predict-features"))
     return model.stages[-1].transform(stored)
 
@@ -172,9 +172,13 @@ def vector_table(word2vec: Word2VecModel) -> DataFrame:
     return word2vec.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
+def _word_stage(model: PipelineModel) -> Word2VecModel:
+    return next(s for s in model.stages if isinstance(s, Word2VecModel))
+
+
 def word_vectors(model: PipelineModel) -> DataFrame:
     """``(word, vector array<double>)`` of the Word2Vec stage."""
-    return vector_table(next(s for s in model.stages if isinstance(s, Word2VecModel)))
+    return vector_table(_word_stage(model))
 
 
 def similar_words(

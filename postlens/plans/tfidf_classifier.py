@@ -112,14 +112,13 @@ def _vector_schema(df: DataFrame) -> T.StructType:
     )
 
 
-def role_counts(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
-    """Term counts of the balanced training and the whole test subjects, without stop words.
+def role_words(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
+    """``(subject_id, label, is_train, word)``: the words of the balanced training and the whole test subjects, without stop words.
 
-    ``(subject_id, label, is_train, word, n)``; word NULL stands for what is no word, so that
-    a subject without words is not lost.
+    Word NULL stands for what is no word, so that a subject without words is not lost.
     """
     chosen = roles.train_and_test(labelled, train_fraction)
-    return terms.text_term_counts(
+    return terms.text_words(
         chosen,
         ["subject_id", "label", "is_train"],
         stop_words=text.english_stop_words(),
@@ -127,6 +126,12 @@ def role_counts(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     )
 
 
+def role_counts(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
+    """:func:`role_words` counted: ``(subject_id, label, is_train, word, n)``."""
+    words = role_words(labelled, train_fraction)
+    return words.groupBy(*words.columns).agg(F.count("*").alias("n"))
+
+
 class Features(NamedTuple):
     """The vocabulary, most frequent word first, and ``(subject_id, label, is_train, raw_features)``, stored."""
 
@@ -191,16 +196,22 @@ def fit_features(made: Features, max_iter: int = MAX_ITER) -> Fitted:
     return Fitted(PipelineModel([*text_stages(), vectorizer, *weights.stages]), train, test)
 
 
+def post_tokens(model: PipelineModel, posts: DataFrame) -> DataFrame:
+    """``(subject_id, [label], filtered)``: each post's words by the model's own tokenizer and stop words."""
+    keys = ["subject_id"] + ["label"] * ("label" in posts.columns)
+    tokenizer, remover = model.stages[:2]
+    rows = posts.select(*keys, F.coalesce("text", F.lit("")).alias("all_text"))
+    return remover.transform(tokenizer.transform(rows)).select(*keys, "filtered")
+
+
 def post_words(model: PipelineModel, posts: DataFrame) -> DataFrame:
-    """``(subject_id, [label], word, n)`` by the model's own tokenizer and stop words, post by post.
+    """``(subject_id, [label], word, n)`` of :func:`post_tokens`.
 
     Word NULL stands for a post without words, so that its subject is not lost.
     """
-    keys = ["subject_id"] + ["label"] * ("label" in posts.columns)
-    tokenizer, remover = model.stages[:2]
-    rows = posts.select(*keys, F.coalesce("text", F.lit("")).alias("all_text"))
-    done = remover.transform(tokenizer.transform(rows))
-    return done.select(*keys, F.explode_outer("filtered").alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
+    tokens = post_tokens(model, posts)
+    keys = [c for c in tokens.columns if c != "filtered"]
+    return tokens.select(*keys, F.explode_outer("filtered").alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("n"))
 
 
 def predict(model: PipelineModel, posts: DataFrame) -> DataFrame:

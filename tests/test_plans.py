@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -198,3 +199,17 @@ def test_dashboard(spark, posts, tfidf, embedded, tmp_path):
 def test_normalized_text(spark):
     df = spark.createDataFrame([("  ABC d ",)], "text string")
     assert etl.normalized_text(df).first().text == "abc d"
+
+
+def test_subject_vectors_are_made_per_post_without_a_join(spark):
+    rows = [("a", 0, ["x", "y", "x"]), ("a", 0, []), ("a", 0, ["z", "unknown"]), ("b", 1, []), ("c", 1, ["unknown"])]
+    tokens = spark.createDataFrame(rows, "subject_id string, label int, filtered array<string>")
+    train = spark.createDataFrame([(["x", "y", "z"],)] * 5, "filtered array<string>")
+    word2vec = Word2Vec(vectorSize=4, minCount=1, seed=1, inputCol="filtered", outputCol="features").fit(train)
+    known = {r.word: np.array(r.vector.toArray()) for r in word2vec.getVectors().collect()}
+    made = embedding_classifier.subject_vectors(word2vec, tokens)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    got = {r.subject_id: r.features.toArray() for r in made.collect()}
+    assert got["a"] == pytest.approx((2 * known["x"] + known["y"] + known["z"]) / 5, abs=1e-12)
+    assert not got["b"].any() and not got["c"].any() and len(got) == 3
