@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from postlens.functions import text
 
+# Words whose weights are sent to the tasks; any others are joined.
+HEAD_WORDS = 500_000
+
 
 def _wanted(stop_words: Sequence[str]) -> Column:
     """Whether ``word`` is a word, and none of ``stop_words``."""
@@ -69,6 +72,44 @@ def text_term_counts(
     return words.groupBy(*keys, "word").agg(F.count("*").alias("n"))
 
 
+def row_counts(
+    docs: DataFrame,
+    keys: Sequence[str],
+    col: str = "text",
+    pattern: str = text.NON_WORD,
+    stop_words: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`text_term_counts` of text whose every row is a whole document.
+
+    A row's words are sorted and runs of equal ones counted in the task that reads it, so
+    nothing is shuffled.
+    """
+    lowered = F.lower(F.coalesce(F.col(col), F.lit("")))
+    # Generators keep Catalyst from copying the arrays into every use of them.
+    one = lambda array, name: F.explode(F.array(array)).alias(name)
+    words = docs.select(*keys, one(F.sort_array(text.pieces(lowered, pattern)), "_words"))
+    at = lambda i: F.get("_words", i)
+    ends = F.filter(F.sequence(F.lit(1), F.size("_words")), lambda i: ~at(i).eqNullSafe(at(i - 1)))
+    runs = words.select(*keys, "_words", one(ends, "_ends"))
+    run = F.transform("_ends", lambda end, k: F.struct(
+        at(end - 1).alias("word"), (end - F.coalesce(F.get("_ends", k - 1), F.lit(0))).cast("bigint").alias("n")
+    ))
+    return runs.select(*keys, F.inline(run)).where(_wanted(stop_words))
+
+
+def document_term_counts(
+    docs: DataFrame,
+    keys: Sequence[str],
+    col: str = "text",
+    pattern: str = text.NON_WORD,
+    stop_words: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`text_term_counts`, without its shuffle of words if no two rows have the same ``keys``."""
+    repeated = docs.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    count = row_counts if repeated.isEmpty() else text_term_counts
+    return count(docs, keys, col, pattern, stop_words)
+
+
 def word_statistics(counts: DataFrame) -> DataFrame:
     """``(word, df, n)``: documents that hold the word, and occurrences."""
     return counts.groupBy("word").agg(F.count("*").alias("df"), F.sum("n").alias("n"))
@@ -170,3 +211,18 @@ def idf(vocab: DataFrame, n_docs: DataFrame) -> DataFrame:
 def tfidf(counts: DataFrame, weights: DataFrame) -> DataFrame:
     """Counts of vocabulary words, weighted by the result of :func:`idf`: adds ``idf`` and ``tfidf``."""
     return counts.join(weights.select("word", "idf"), "word").withColumn("tfidf", F.col("n") * F.col("idf"))
+
+
+def tfidf_by_head(counts: DataFrame, weights: DataFrame, head: int = HEAD_WORDS) -> DataFrame:
+    """:func:`tfidf` for stored ``weights (word, df, idf)``, whose counts are not shuffled.
+
+    The weights of the ``head`` words in most documents, which is a bounded table, are sent to
+    the counts.  If there are more words, the counts of the others meet theirs in a join.
+    """
+    if weights.count() <= head:
+        return tfidf(counts, F.broadcast(weights))
+    # Two ranges of one order: neither loses a word nor has it twice.
+    first = weights.orderBy(F.desc("df"), "word").limit(head)
+    others = weights.join(F.broadcast(first.select("word")), "word", "left_anti")
+    rest = counts.join(F.broadcast(first.select("word")), "word", "left_anti")
+    return tfidf(counts, F.broadcast(first)).unionByName(tfidf(rest, others))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.sql import functions as F
 
+from postlens.catalog import queries
 from postlens.operators import terms
 
 DOCS = [list("aaab"), list("bc"), list("cd"), list("db")]
@@ -119,3 +120,32 @@ def test_vocabulary_is_whole_unless_a_size_is_given(docs):
     assert whole.count() > 2 and terms.vocabulary(statistics, n_docs, 2, 1, 10**9).count() == 2
     plan = terms.tfidf(counts, terms.idf(whole, n_docs))._jdf.queryExecution().logical().toString()
     assert "strategy=broadcast" not in plan
+
+
+def test_row_counts_equal_grouped_counts_without_a_shuffle(spark):
+    rows = [(0, "b a, a; the B a"), (1, None), (2, ""), (3, "the the"), (4, "z"), (5, " x é x_1 É x"), (6, "a b " * 5000)]
+    df = spark.createDataFrame(rows, "id int, text string")
+    got = terms.document_term_counts(df, ["id"], stop_words=["The"])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = terms.text_term_counts(df, ["id"], stop_words=["the"])
+    assert sorted(got.collect()) == sorted(want.collect()) and got.schema["n"].dataType == want.schema["n"].dataType
+
+
+def test_rows_of_one_document_are_counted_together(spark):
+    df = spark.createDataFrame([(0, "a b"), (0, "a"), (1, "a"), (None, "c"), (None, "c")], "id int, text string")
+    got = terms.document_term_counts(df, ["id"])
+    assert set(got.collect()) == {(0, "a", 2), (0, "b", 1), (1, "a", 1), (None, "c", 2)}
+
+
+@pytest.mark.parametrize("head", [1, 2, 100])
+def test_weights_by_head_lose_no_word(docs, head):
+    counts, n_docs = terms.term_counts(docs, ["id"]), terms.document_count(docs)
+    weights = terms.idf(terms.vocabulary(terms.word_statistics(counts), n_docs, min_df=1, max_df=10**9), n_docs)
+    want = sorted(terms.tfidf(counts, weights).collect())
+    assert len(want) > 2 and sorted(terms.tfidf_by_head(counts, weights, head).collect()) == want
+
+
+@pytest.mark.parametrize("name", ["tfidf", "tfidf_of_counts", "term_counts"])
+def test_documents_words_are_not_shuffled(spark, name):
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(word" not in plan
