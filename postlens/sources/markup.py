@@ -77,17 +77,18 @@ def whole_pieces(pieces: DataFrame, tag: str) -> DataFrame:
 def _begins(pieces: DataFrame) -> DataFrame:
     """``(file, block, at, ends)``: the state behind every piece that holds a token."""
     place = F.struct("block", "at")
-    value = F.col("value")
-    holds = lambda state: F.contains(value, F.lit(CLOSES[state]))
-    marks = pieces.where(_marked(value))
+    value, own = F.col("value"), F.col("own")
+    holds = {s: F.contains(value, F.lit(CLOSES[s])).alias(f"closes_{s}") for s in (CDATA, COMMENT)}
+    # Texts are lexed once; what follows reads the stored maps.
+    marks = pieces.where(_marked(value)).select("file", "block", "at", state_map(value).alias("own"), *holds.values())
+    marks = stage(marks, staging_path(pieces.sparkSession, "marks"))
     # A section that no later piece closes is none.
-    last = marks.groupBy("file").agg(*(F.max(F.when(holds(s), place)).alias(f"last_{s}") for s in (CDATA, COMMENT)))
-    own = F.col("own")
+    last = marks.groupBy("file").agg(*(F.max(F.when(F.col(f"closes_{s}"), place)).alias(f"last_{s}") for s in (CDATA, COMMENT)))
     opened = F.get(own, F.lit(TEXT))
     closable = F.when(opened == TEXT, F.lit(True)).otherwise(
         F.coalesce(place < F.when(opened == CDATA, F.col(f"last_{CDATA}")).otherwise(F.col(f"last_{COMMENT}")), F.lit(False))
     )
-    marks = marks.select("file", "block", "at", state_map(value).alias("own")).join(last, "file").select(
+    marks = marks.join(last, "file").select(
         "file", "block", "at", F.when(closable, own).otherwise(F.array(F.lit(TEXT), *(F.get(own, F.lit(s)) for s in (CDATA, COMMENT)))).alias("own")
     )
     # Splits are of bounded size, so their lists of maps are short, and a file's list of splits is.
@@ -118,7 +119,8 @@ def _resolved(pieces: DataFrame, tag: str) -> DataFrame:
     ends = _begins(pieces)
     order = Window.partitionBy("file", "block").orderBy("at")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    known = pieces.join(ends, ["file", "block", "at"], "left")
+    # Places only: the texts meet their record's first piece at the end.
+    known = pieces.select("file", "block", "at").join(ends, ["file", "block", "at"], "left")
     # The state at a split's start is that at the end of the splits before it.
     last = known.groupBy("file", "block").agg(F.max_by("ends", F.when(F.col("ends").isNotNull(), F.col("at"))).alias("ends"))
     files = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,27 +129,25 @@ def _resolved(pieces: DataFrame, tag: str) -> DataFrame:
     states = known.join(starts, ["file", "block"]).withColumn("state", state)
     # The record's first piece: the last one so far that begins in text, in this split or an earlier one.
     head = F.when(F.col("state") == TEXT, F.struct("block", "at"))
-    states = states.select("file", "block", "at", "value", head.alias("head"))
+    states = states.select("file", "block", "at", head.alias("head"))
     heads = states.groupBy("file", "block").agg(F.max("head").alias("head"))
     carried = heads.select("file", "block", F.last("head", ignorenulls=True).over(files).alias("carried"))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     owned = states.join(carried, ["file", "block"]).select(
-        "file", "block", "at", "value", F.coalesce(F.last("head", ignorenulls=True).over(upto), F.col("carried")).alias("head")
+        "file", "block", "at", F.coalesce(F.last("head", ignorenulls=True).over(upto), F.col("carried")).alias("head")
     )
     parts = F.array_sort(F.collect_list(F.struct("block", "at", "value")))
-    joined = owned.groupBy("file", "head").agg(parts.alias("parts"))
+    joined = pieces.join(owned, ["file", "block", "at"]).groupBy("file", "head").agg(parts.alias("parts"))
     return joined.select(F.array_join(F.transform("parts", lambda p: p["value"]), tag).alias("value"), "file")
 
 
 def cut(value: Column, closing: str) -> Column:
-    """``value`` up to its first closing tag (a pattern) outside of sections, NULL if there is none."""
+    """``value`` up to its first closing tag (a pattern that begins with ``<``) outside of sections, NULL if there is none.
+
+    One match from the beginning walks over texts and whole sections.  Its loops are possessive
+    or of single characters, so they need no stack, however long the value is.
+    """
+    walk = rf"^((?:[^<]++|{SECTION}|<(?!{closing[1:]}))*+){closing}"
+    careful = F.get(F.regexp_extract_all(value, F.lit(walk), F.lit(1)), F.lit(0))
     plain = F.split(value, closing, 2)
-    texts, sections = F.split(value, SECTION), F.regexp_extract_all(value, F.lit(SECTION), F.lit(0))
-    closes = F.transform(texts, lambda t: t.rlike(closing))
-    at = F.array_position(closes, True).cast("int")
-    before = F.transform(F.sequence(F.lit(1), at), lambda i: F.concat(
-        F.when(i > 1, F.get(sections, i - 2)).otherwise(F.lit("")),
-        F.when(i == at, F.get(F.split(F.get(texts, i - 1), closing, 2), F.lit(0))).otherwise(F.get(texts, i - 1)),
-    ))
-    careful = F.when(at > 0, F.array_join(before, ""))
     return F.when(F.contains(value, F.lit("<!")), careful).when(F.size(plain) == 2, plain[0])

@@ -54,8 +54,7 @@ def _records(spark: SparkSession, path: str | list[str], encoding: str) -> DataF
         value.alias("value"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
     )
-    value = F.col("value")
-    closed = markup.cut(value, rf"</{ROW_TAG}\s*>")
+    value, closed = F.col("value"), F.col("closed")
     single = F.regexp_extract(value, r"^[^<>]*/>", 0)
     text = (
         F.when(single != "", F.concat(F.lit(tag), single))
@@ -63,7 +62,9 @@ def _records(spark: SparkSession, path: str | list[str], encoding: str) -> DataF
         .otherwise(F.concat(F.lit(tag), value))
     )
     unclosed = closed.isNull() & (single == "")
-    return markup.whole_pieces(pieces, tag).where(value.rlike(_TAG_GOES_ON)).select(
+    # A column of its own is cut once for all its uses.
+    whole = markup.whole_pieces(pieces, tag).where(value.rlike(_TAG_GOES_ON))
+    return whole.withColumn("closed", markup.cut(value, rf"</{ROW_TAG}\s*>")).select(
         text.alias("text"),
         F.when(unclosed, F.lit(UNCLOSED)).alias("reason"),
         "file",

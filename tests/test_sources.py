@@ -322,3 +322,32 @@ def test_staged_table(spark):
 def test_flatten_keeps_what_is_asked(spark):
     df = spark.createDataFrame([("a", [("x",)], 7)], "ID string, WRITING array<struct<TEXT:string>>, chunk int")
     assert flatten_posts(df, keep=["chunk"]).collect() == [("a", 7, 0, "x")]
+
+
+def _cuts(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "i int, value string")
+    return [r.cut for r in df.select("i", markup.cut(F.col("value"), r"</INDIVIDUAL\s*>").alias("cut")).orderBy("i").collect()]
+
+
+def test_cut_at_the_first_closing_tag_outside_of_sections(spark):
+    end = "</INDIVIDUAL >"
+    cases = {
+        f"a<b>{end}c{end}": "a<b>",
+        f"a<![CDATA[{end}]]>b{end}c": f"a<![CDATA[{end}]]>b",
+        f"a<!-- {end} --><![CDATA[<!--]]>{end}--></INDIVIDUAL>": f"a<!-- {end} --><![CDATA[<!--]]>",
+        f"a<!-- never closed {end} b": "a<!-- never closed ",
+        f"<![CDATA[{end}]]>": None,
+        f"{end}<!-- -->": "",
+        "a<!-- --></INDIVIDUALS>": None,
+        f"a\n<![CDATA[\n{end}\n]]>\n{end}": f"a\n<![CDATA[\n{end}\n]]>\n",
+        None: None,
+    }
+    assert _cuts(spark, cases) == list(cases.values())
+    long = "x<b>" * 300_000 + f"<!-- {'y' * 300_000} -->"
+    assert _cuts(spark, [f"{long}{end}z"]) == [long]
+
+
+def test_a_text_is_matched_once_to_cut_it(spark):
+    """Sections are not split off anew for each of a text's parts."""
+    plan = spark.range(1).select(markup.cut(F.concat(F.lit("a"), "id"), "</A>").alias("cut"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("CDATA") == 1
