@@ -351,3 +351,59 @@ def test_a_text_is_matched_once_to_cut_it(spark):
     """Sections are not split off anew for each of a text's parts."""
     plan = spark.range(1).select(markup.cut(F.concat(F.lit("a"), "id"), "</A>").alias("cut"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("CDATA") == 1
+
+
+PIECE = "file string, block long, at long, value string"
+
+
+def _whole_pieces(spark, rows):
+    pieces = spark.createDataFrame(rows, PIECE).coalesce(1).select("value", "file", "block", "at")
+    return markup.whole_pieces(pieces, "<T")
+
+
+def test_tables_of_pieces_are_not_broadcast(spark, monkeypatch):
+    """A stored table of many pieces is small on disk, and broke the driver when it was broadcast."""
+    plans = []
+    note = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(markup, "stage", lambda df, path: note(df) or staging.stage(df, path))
+    rows = [("f", i // 40, i, v) for i, v in enumerate(["a <!--", "b", "--> c", "d"] * 40)]
+    made = _whole_pieces(spark, rows)
+    note(made)
+    joins = [line for plan in plans for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert joins and not any("BuildLeft" in line for line in joins)
+    assert len(made.collect()) == 80
+
+
+def test_records_within_a_split_are_joined_where_they_are_read(spark):
+    rows = [("f", i // 400, i, v) for i, v in enumerate(["a <![CDATA[", "b", "]]> c", "d"] * 400)]
+    pieces = spark.createDataFrame(rows, PIECE).coalesce(1).withColumns({"opens_1": F.lit(True), "opens_2": F.lit(False)})
+    rows = markup._joined(pieces, "<T").collect()
+    whole = [r.value.decode() for r in rows if r.whole]
+    # Of 400 pieces, a later split's first three may belong to the record before; its last one may go on.
+    assert whole.count("a <![CDATA[<Tb<T]]> c") == 400 - 3 and whole.count("d") == 400 - 4
+    assert len(rows) - len(whole) == 3 * 3 + 4
+
+
+def test_whole_pieces_equal_a_walk_over_each_file(spark):
+    rng = random.Random(3)
+    tokens = ["<!--", "-->", "<![CDATA[", "]]>"]
+    rows = []
+    for file in range(30):
+        values = ["".join(rng.choices(["x", "\n", "é", *(tokens if rng.random() < 0.4 else [])], k=4)) for _ in range(60)]
+        cuts = sorted(rng.sample(range(1, 60), 4))
+        rows += [(f"f{file}", 100 * sum(i >= c for c in cuts), i, v) for i, v in enumerate(values)]
+    made = sorted((r.file, r.value) for r in _whole_pieces(spark, rows).collect())
+    df = spark.createDataFrame(rows, PIECE)
+    maps = {(r.file, r["at"]): r.m for r in df.select("file", "at", markup.state_map(F.col("value")).alias("m")).collect()}
+    want = []
+    for file in {r[0] for r in rows}:
+        values, state, records = [r[3] for r in rows if r[0] == file], markup.TEXT, []
+        for i, value in enumerate(values):
+            if state == markup.TEXT:
+                records.append([])
+            records[-1].append(value)
+            end = maps[file, i][state]
+            never = end != markup.TEXT and not any(markup.CLOSES[end] in v for v in values[i + 1 :])
+            state = markup.TEXT if state == markup.TEXT and never else end
+        want += [(file, "<T".join(r)) for r in records]
+    assert made == sorted(want) and len(made) < len(rows)
