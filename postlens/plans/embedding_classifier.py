@@ -90,15 +90,13 @@ class Fitted(NamedTuple):
         return self.model.stages[-1].transform(self.test)
 
 
-def token_posts(
-    labelled: DataFrame, train_fraction: float = 0.8, max_subjects: int = roles.MAX_TRAINING_SUBJECTS
-) -> DataFrame:
+def token_posts(labelled: DataFrame, train_fraction: float = 0.8) -> DataFrame:
     """``(subject_id, label, is_train, filtered)`` of every post of training and test subjects, stored.
 
     Rows of a file are in a fixed order, so that training on them can be repeated.
     """
     order = ["subject_id", *[c for c in ("chunk", "file", "record") if c in labelled.columns], "pos"]
-    chosen = roles.bounded_training(roles.train_and_test(labelled, train_fraction), max_subjects)
+    chosen = roles.train_and_test(labelled, train_fraction)
     words = text.tokens(F.col("text"), stop_words=text.english_stop_words()).alias("filtered")
     rows = chosen.select(*dict.fromkeys(["subject_id", "label", "is_train", *order]), words)
     return stage(rows, staging_path(labelled.sparkSession, "token-posts"), sort_by=order)
@@ -127,11 +125,10 @@ def features(
     min_count: int = MIN_COUNT,
     num_partitions: int = NUM_PARTITIONS,
     train_fraction: float = 0.8,
-    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
 ) -> Features:
     """Vectors of the training and test subjects of posts ``(subject_id, label, pos, text)``."""
     spark = labelled.sparkSession
-    tokens = token_posts(labelled, train_fraction, max_subjects)
+    tokens = token_posts(labelled, train_fraction)
     word2vec = fit_words(tokens, vector_size, min_count, num_partitions)
     keys = ["subject_id", "label", "is_train"]
     vectors = subject_vectors(word2vec, tokens.select(*keys, "filtered"))
@@ -145,13 +142,12 @@ def fit(
     num_trees: int = NUM_TREES,
     num_partitions: int = NUM_PARTITIONS,
     train_fraction: float = 0.8,
-    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
 ) -> Fitted:
-    """Train on posts ``(subject_id, label, pos, text)`` of about ``max_subjects`` subjects at most.
+    """Train on posts ``(subject_id, label, pos, text)`` of all training subjects.
 
-    Word2Vec keeps its vocabulary on the driver; ``max_subjects`` and ``min_count`` bound it.
+    Word2Vec keeps its vocabulary, the words of ``min_count`` occurrences, on the driver.
     """
-    word2vec, table = features(labelled, vector_size, min_count, num_partitions, train_fraction, max_subjects)
+    word2vec, table = features(labelled, vector_size, min_count, num_partitions, train_fraction)
     train, test = table.where("is_train"), table.where("not is_train")
     forest = _forest(num_trees).fit(train)
     return Fitted(PipelineModel([*text_stages(), word2vec, forest]), train, test)

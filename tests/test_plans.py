@@ -222,3 +222,38 @@ def test_doc_embedding_shuffles_sums_and_not_words(spark):
     assert "posexplode" not in plan and "SortMergeJoin [word" not in plan
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and not any("word#" in line for line in exchanges)
+
+
+class Thinned(Exception):
+    pass
+
+
+def _train_subjects(df):
+    return df.where("is_train").select("subject_id").distinct().count()
+
+
+@pytest.fixture
+def no_thinning(monkeypatch):
+    def thin(*_):
+        raise Thinned
+
+    monkeypatch.setattr(roles, "bounded_training", thin)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """1,050,000 training subjects or so, more than models once trained on."""
+    text = F.concat(F.lit("w"), F.col("id") % 7, F.lit(" w"), F.col("id") % 3)
+    return spark.range(1_320_000).select(
+        F.col("id").alias("subject_id"), F.lit(0).alias("pos"), text.alias("text"), (F.col("id") % 2).cast("int").alias("label")
+    )
+
+
+def test_every_training_subject_gives_words_to_the_vectors(many, no_thinning):
+    made = embedding_classifier.token_posts(many)
+    assert _train_subjects(made) == _train_subjects(roles.train_and_test(many)) > 1_000_000
+
+
+def test_embedding_features_hold_every_subject(posts, no_thinning):
+    made = embedding_classifier.features(posts, vector_size=4, num_partitions=1)
+    assert made.table.count() == roles.train_and_test(posts).select("subject_id").distinct().count()
