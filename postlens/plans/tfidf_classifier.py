@@ -145,7 +145,6 @@ def features(
     min_df: float = MIN_DF,
     max_df: float = MAX_DF,
     train_fraction: float = 0.8,
-    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
 ) -> Features:
     """Vectors of posts ``(subject_id, label, text)``; no subject's text is ever put in one row.
 
@@ -155,7 +154,6 @@ def features(
     """
     spark = labelled.sparkSession
     counts = stage(role_counts(labelled, train_fraction), staging_path(spark, "term-counts"))
-    counts = roles.bounded_training(counts, max_subjects)
     train_counts = counts.where("is_train")
     vocab = terms.vocabulary(
         terms.word_statistics(train_counts.where(F.col("word").isNotNull())),
@@ -182,10 +180,9 @@ def fit(
     max_df: float = MAX_DF,
     max_iter: int = MAX_ITER,
     train_fraction: float = 0.8,
-    max_subjects: int = roles.MAX_TRAINING_SUBJECTS,
 ) -> Fitted:
-    """Train on posts ``(subject_id, label, text)`` of about ``max_subjects`` subjects at most."""
-    return fit_features(features(labelled, vocab_size, min_df, max_df, train_fraction, max_subjects), max_iter)
+    """Train on posts ``(subject_id, label, text)`` of all training subjects."""
+    return fit_features(features(labelled, vocab_size, min_df, max_df, train_fraction), max_iter)
 
 
 def fit_features(made: Features, max_iter: int = MAX_ITER) -> Fitted:

@@ -254,6 +254,11 @@ def test_every_training_subject_gives_words_to_the_vectors(many, no_thinning):
     assert _train_subjects(made) == _train_subjects(roles.train_and_test(many)) > 1_000_000
 
 
+def test_every_training_subject_counts_for_the_vocabulary(many, no_thinning):
+    made = tfidf_classifier.features(many)
+    assert _train_subjects(made.table) == _train_subjects(roles.train_and_test(many)) > 1_000_000
+
+
 def test_embedding_features_hold_every_subject(posts, no_thinning):
     made = embedding_classifier.features(posts, vector_size=4, num_partitions=1)
     assert made.table.count() == roles.train_and_test(posts).select("subject_id").distinct().count()
