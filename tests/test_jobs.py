@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import jobs
 from postlens.operators import evaluate
-from postlens.plans import etl
+from postlens.plans import etl, roles
 from postlens.sources.staging import shared_folder
 from postlens.sources.subjects import write_subjects_xml
 from postlens.sources.views import VIEWS, read_dashboard_view
@@ -90,3 +90,14 @@ def test_embedding(spark, inputs, tmp_path):
 def test_label_path_must_exist(spark, inputs, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         etl.read_labelled_posts(spark, inputs[0][1], str(Path(tmp_path) / "none.txt"))
+
+
+def test_jobs_train_on_every_subject(spark, inputs, tmp_path, monkeypatch):
+    """No job leaves out training subjects beyond the balance of the classes."""
+    def thin(*_):
+        raise AssertionError("training subjects are thinned")
+
+    monkeypatch.setattr(roles, "bounded_training", thin)
+    model = str(tmp_path / "model")
+    jobs.main(["tfidf", *inputs[0], *inputs[1], "--out", str(tmp_path / "out"), "--model", model])
+    assert len(PipelineModel.load(model).stages) == 5
