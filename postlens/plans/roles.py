@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from postlens.functions.hashing import KEY_BITS_RANGE, key_bits
 from postlens.operators import sampling
 
-# Subjects that train a model, at most about; all others are still predicted.
-MAX_TRAINING_SUBJECTS = 1_000_000
 
+def bounded_training(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """``rows`` with those training subjects left out that exceed ``most``, chosen by key hash; all rows without it.
 
-def bounded_training(rows: DataFrame, most: int = MAX_TRAINING_SUBJECTS) -> DataFrame:
-    """``rows`` with those training subjects left out that exceed ``most``, chosen by key hash.
-
-    A threshold on the hash keeps about ``most`` subjects; test subjects all stay.
+    A threshold on the hash keeps about ``most`` subjects; test subjects all stay.  For
+    callers that want fewer subjects: the fits of this package take all of them.
     """
+    if most is None:
+        return rows
     count = rows.where("is_train").agg(F.count_distinct("subject_id").alias("n")).scalar()
     limit = F.least(F.lit(1.0), F.try_divide(F.lit(float(most)), count)) * KEY_BITS_RANGE
     return rows.where(~F.col("is_train") | (key_bits(F.col("subject_id"), ":bound") < limit))

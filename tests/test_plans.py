@@ -262,3 +262,7 @@ def test_every_training_subject_counts_for_the_vocabulary(many, no_thinning):
 def test_embedding_features_hold_every_subject(posts, no_thinning):
     made = embedding_classifier.features(posts, vector_size=4, num_partitions=1)
     assert made.table.count() == roles.train_and_test(posts).select("subject_id").distinct().count()
+
+
+def test_training_subjects_are_thinned_only_on_request(posts):
+    assert roles.bounded_training(posts) is posts
